@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,8 +33,15 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_durable(df: DataFrame) -> None:
-    """Delete the files behind a durable() table that nothing reads any more."""
+def drop_durable(*tables: DataFrame) -> None:
+    """Delete the files behind durable() tables that nothing reads any more, and let Spark's cleaner see dead shuffles."""
+    for df in tables:
+        _drop(df)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
+def _drop(df: DataFrame) -> None:
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)

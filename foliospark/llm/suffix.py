@@ -17,17 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import batch_of, blocks, durable, partitions, row_key, utf8
+from .base import batch_of, blocks, drop_durable, durable, partitions, row_key, utf8
 from .substring import by_id
-from .windows import BYTE_UNIT, covered, mix, occurrences, window_hashes
+from .windows import BYTE_UNIT, covered, mix, occurrences, prefix, span, window_hashes
 
 
 class SuffixIndex:
     """window: bytes of a match; gram: bytes of a suffix by which it is ordered; crowd: classes below one
-    anchor from which on their windows are dealt out by their own hashes rather than by the anchor's."""
+    anchor from which on they are dealt out in stretches of `step` windows, by what a stretch holds rather than
+    by the anchor."""
 
-    def __init__(self, window: int = 200, gram: int = 48, crowd: int = 256):
-        self.window, self.gram, self.crowd = window, gram, crowd
+    def __init__(self, window: int = 200, gram: int = 48, crowd: int = 256, step: int = 20):
+        self.window, self.gram, self.crowd, self.step = window, gram, crowd, step
         self.arrays: list[DataFrame] = []
         self.levels: list[tuple[int, DataFrame]] = []
 
@@ -100,9 +101,9 @@ class SuffixIndex:
 
     def repeated(self, near: DataFrame) -> DataFrame:
         """Windows of the surroundings that occur in several classes below one anchor: rid, lo, n."""
-        window = self.window
+        window, gram, step = self.window, self.gram, self.step
         schema = pa.schema([("rid", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())])
-        keys = pa.schema([("h", pa.int64()), ("rid", pa.int64()), ("lo", pa.int32()), ("whole", pa.bool_())])
+        keys = pa.schema([("core", pa.int64()), ("full", pa.int64()), ("rid", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("whole", pa.bool_()), ("h", pa.list_(pa.int64()))])
 
         def hashed(table):
             data, off = utf8(table.column("near"))
@@ -151,26 +152,52 @@ class SuffixIndex:
                     rid, lo = (part.column(c).to_numpy() for c in ("rid", "lo"))
                     yield batch_of(schema, [rid[row[first]], lo[row[first]] + step[first], n])
 
-        def single(batches):
+        def divide(batches):
+            """Stretches of `step` starts, placed by their distance from the anchor. All windows of a stretch hold its core."""
             for batch in batches:
-                row, step, h = hashed(batch)
-                rid, lo, whole = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "lo", "whole"))
-                yield batch_of(keys, [h.view(np.int64), rid[row], lo[row] + step, whole[row]])
+                rows = []
+                data, off = utf8(batch.column("near"))
+                g, rid, lo, count = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "rid", "lo", "n"))
+                whole = batch.column("whole").to_pylist()
+                for i in range(len(batch)):
+                    units, n = BYTE_UNIT[data[off[i] : off[i + 1]]], int(count[i])
+                    sums, key = prefix(units), mix(g[i : i + 1].view(np.uint64))
+                    first = np.arange(len(units) - gram + 1)
+                    anchor = n - 1 + int(np.argmax(mix(span(sums, first, first + gram))[n - 1 :].view(np.int64) == g[i]))
+                    h = (window_hashes(units, window) ^ key).view(np.int64)
+                    for k in range((anchor - n + 1) // step, anchor // step + 1):
+                        top = anchor - k * step
+                        a, b = max(0, top - step + 1), min(n - 1, top)
+                        core = mix(span(sums, np.array([top]), np.array([top - step + 1 + window])) ^ mix(key + np.uint64(k)))
+                        full = mix(span(sums, np.array([a]), np.array([b + window])) ^ mix(core + np.uint64(top - a << 16 | b - a)))
+                        rows.append((core.view(np.int64)[0], full.view(np.int64)[0], rid[i], lo[i] + a, b - a + 1, whole[i], h[a : b + 1]))
+                if rows:
+                    yield batch_of(keys, list(zip(*rows, strict=True)))
 
         few = near.where("NOT crowded").select("g", "rid", "lo", "n", "whole", "near")
         few = few.repartition(partitions(near.sparkSession), "g").sortWithinPartitions("g").mapInArrow(merge, "rid long, lo int, n int")
-        many = durable(near.where("crowded").select("g", "rid", "lo", "n", "whole", "near").mapInArrow(single, "h long, rid long, lo int, whole boolean"))
-        twice = many.groupBy(F.col("h").alias("th")).count().where("count > 1").select("th")
-        many = many.where("NOT whole").join(twice, F.expr("h = th")).select("rid", "lo", F.lit(1).alias("n"))
+        many = durable(near.where("crowded").select("g", "rid", "lo", "n", "whole", "near").mapInArrow(divide, "core long, full long, rid long, lo int, n int, whole boolean, h array<long>"))
+        stretches = many.groupBy("core", "full").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "lo", "whole", "h")).alias("s"))
+        stretches = durable(stretches.select("core", "full", "copies", "s.*"))
+        equal = stretches.where("copies > 1").select(F.col("core").alias("ecore"), F.col("full").alias("efull"))
+        whole = many.where("NOT whole").join(equal, F.expr("core = ecore AND full = efull")).select("rid", "lo", "n")
+        shared = stretches.groupBy(F.col("core").alias("score")).count().where("count > 1").select("score")
+        single = stretches.join(shared, F.expr("core = score")).select("rid", "lo", F.expr("whole OR copies > 1").alias("done"), F.posexplode("h").alias("at", "h"))
+        twice = single.groupBy(F.col("h").alias("th")).count().where("count > 1").select("th")
+        single = single.where("NOT done").join(twice, F.expr("h = th")).select("rid", F.expr("lo + at").alias("lo"), F.lit(1).alias("n"))
+        many = whole.unionByName(single)
         return few.unionByName(many)
 
-    def removed(self, docs: DataFrame) -> DataFrame:
-        """Stretches of starts of repeated windows: rid, lo, n."""
+    def removed(self, docs: DataFrame, once: bool = False) -> DataFrame:
+        """Stretches of starts of repeated windows: rid, lo, n. once: the index isn't needed afterwards."""
         matches = durable(self.matches())
+        if once:
+            drop_durable(*self.arrays)
+            self.arrays, self.levels = [], []
         near = durable(self.surroundings(matches, docs))
         return matches.where("whole").select("rid", "lo", "n").unionByName(self.repeated(near))
 
-    def clean(self, docs: DataFrame) -> DataFrame:
+    def clean(self, docs: DataFrame, once: bool = False) -> DataFrame:
         """docs without repeated bytes: doc_id, n_bytes, n_removed, n_spans, kept."""
         window = self.window
         schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
@@ -195,7 +222,7 @@ class SuffixIndex:
                         yield batch_of(schema, list(zip(*rows, strict=True)))
                         rows, held = [], 0
 
-        spans = self.removed(docs).groupBy("rid").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
+        spans = self.removed(docs, once).groupBy("rid").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
         text = self.rows(docs)
         return text.join(spans.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
@@ -205,7 +232,7 @@ def dedup_bytes(docs: DataFrame, window: int = 200, gram: int = 48, batches: int
     index = SuffixIndex(window, gram)
     for batch in by_id(docs, batches):
         index.add(batch)
-    return index.clean(docs)
+    return index.clean(docs, once=True)
 
 
 def digest(cleaned: DataFrame) -> DataFrame:
