@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TOKEN = re.compile(r"%[^\n]*\n?\s*|\\[A-Za-z@]+|\\.|[\s\S]", re.S)
 DEFINERS = {"\\newcommand", "\\renewcommand", "\\newenvironment", "\\renewenvironment"}
@@ -162,7 +163,7 @@ class Expander:
         return join(t[:begin]) + join(self.expand(t[begin:]))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def expand_macros(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else Expander().run(t) if t else "")
 

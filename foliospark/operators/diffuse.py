@@ -33,7 +33,7 @@ SELECT doc_id, line_no, pos, text, label, CAST(dif AS INT) AS diffused, CAST(off
 
 def spread(rows: DataFrame) -> DataFrame:
     """doc_id, line_no, pos, text, label, diffused, spread_before, reading_order, block_id."""
-    return rows.sparkSession.sql(SPREAD, t=rows)
+    return rows.sparkSession.sql(SPREAD.replace(" IGNORE NULLS) OVER", ") IGNORE NULLS OVER"), t=rows)
 
 
 VOTES = f"""

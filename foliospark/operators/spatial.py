@@ -48,4 +48,4 @@ def containing_line(tokens: DataFrame, lines: DataFrame, band: float = 64.0) ->
     t = tokens.withColumn("mx", (F.col("x0") + F.col("x1")) / 2).withColumn("my", (F.col("y0") + F.col("y1")) / 2).withColumn("band", F.floor(F.col("my") / band).cast("long"))
     s = lines.select("doc_id", "page_no", "line_no", *[F.col(c).alias(f"s_{c}") for c in ("x0", "y0", "x1", "y1")]).withColumn("band", _bins("s_y0", "s_y1", band))
     inside = (F.col("mx") >= F.col("s_x0")) & (F.col("mx") < F.col("s_x1")) & (F.col("my") >= F.col("s_y0")) & (F.col("my") < F.col("s_y1"))
-    return t.join(s, ["doc_id", "page_no", "band"]).where(inside).groupBy("doc_id", "page_no", "pos").agg(F.max(s["line_no"]).alias("line_no"))
+    return t.join(s, ["doc_id", "page_no", "band"]).where(inside).groupBy("doc_id", "page_no", "pos").agg(F.max("line_no").alias("line_no"))

@@ -36,5 +36,6 @@ def rules(cells: DataFrame) -> DataFrame:
 
 def square(cells: DataFrame) -> DataFrame:
     """Cells and the empty ones below cells of several rows."""
-    below = cells.where("rowspan > 1").select("doc_id", (F.col("row_no") + F.explode(F.sequence(F.lit(1), F.col("rowspan") - 1))).alias("row_no"), "cell_no", F.lit(True).alias("filler"))
+    below = cells.where("rowspan > 1").select("doc_id", "row_no", "cell_no", F.explode(F.sequence(F.lit(1), F.col("rowspan") - 1)).alias("k"))
+    below = below.select("doc_id", (F.col("row_no") + F.col("k")).alias("row_no"), "cell_no", F.lit(True).alias("filler"))
     return cells.select("doc_id", "row_no", "cell_no", F.lit(False).alias("filler")).unionByName(below)

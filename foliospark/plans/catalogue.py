@@ -1,11 +1,490 @@
-"""Named queries of the engine's operators, and equivalent SQL."""
+"""Named queries of the engine's operators over the standard tables, and equivalent SQL.
+
+Every query runs over whole tables. Grammar operators run over the literal rows in samples.py.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from foliospark.functions import html, latex, textclean
+from foliospark.operators import assemble, catalogues, color, diffuse, evaluate, labels, logs, retrieve, spatial, tables, toc, tokens
+from foliospark.plans import samples
+from foliospark.sources import archives, files
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+LINES = "lines AS (SELECT doc_id, (unnest(range(len(l))))::INT line_no, unnest(l) line FROM (SELECT doc_id, string_split(text, chr(10)) l FROM documents))"
+TOK = LINES + r""", words AS (SELECT doc_id, line_no, (unnest(range(len(w))))::INT col, unnest(w) AS text FROM (SELECT doc_id, line_no, regexp_extract_all(line, '\S+') w FROM lines)),
+tok AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY line_no, col) - 1)::INT pos FROM words)"""
+LAB = TOK + """, lab AS (SELECT *, CASE length(text) % 5 WHEN 1 THEN 'Paragraph' WHEN 2 THEN 'Section' WHEN 3 THEN 'List' WHEN 4 THEN 'Figure' END AS label FROM tok),
+rows_ AS (SELECT *, CASE WHEN label IS NOT NULL THEN (count(label) OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT END AS raw, line_no AS block FROM lab)"""
+
+
+def _tokens(spark, d):
+    return tokens.tokens(table(spark, d, "documents"))
+
+
+def _rows(spark, d):
+    size = F.length("text") % 5
+    label = F.when(size == 1, "Paragraph").when(size == 2, "Section").when(size == 3, "List").when(size == 4, "Figure")
+    return tokens.reading_numbers(_tokens(spark, d).withColumn("label", label)).withColumn("block", F.col("line_no"))
+
+
+@query(f"WITH {TOK} SELECT doc_id, line_no, col, text, pos FROM tok")
+def tokenize_words(spark, d):
+    return _tokens(spark, d)
+
+
+@query(f"WITH {LINES} SELECT doc_id, line_no, line FROM lines")
+def line_tokens(spark, d):
+    return tokens.lines(table(spark, d, "documents"))
+
+
+@query(f"WITH {LAB} SELECT doc_id, pos, coalesce(raw, -1) AS raw FROM rows_")
+def reading_number(spark, d):
+    return _rows(spark, d).select("doc_id", "pos", F.coalesce("raw", F.lit(-1)).alias("raw"))
+
+
+_ENV = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(n), '{p}')" for p in parts) + f" THEN '{label}'" for parts, label in labels.ENVIRONMENTS) + " ELSE 'Paragraph' END"
+_NAMES = "(SELECT DISTINCT event_type AS n FROM events UNION SELECT DISTINCT p_type FROM part UNION SELECT unnest(['title','titlepage','frontAuthor','Abstract','keywords','mysection','footnotes','figcaption','enumerate','itemize','description','quote']))"
+
+
+@query(f"SELECT n AS name, {_ENV} AS label FROM {_NAMES}")
+def label_by_environment(spark, d):
+    names = table(spark, d, "events").select(F.col("event_type").alias("name")).union(table(spark, d, "part").select("p_type")).union(samples.names(spark)).distinct()
+    return names.select("name", labels.by_environment(F.col("name")).alias("label"))
+
+
+@query("""SELECT n AS name, CASE WHEN contains(n,'title') AND NOT contains(n,'short') THEN 'Title' WHEN (contains(n,'author') OR contains(n,'address') OR contains(n,'institut') OR contains(n,'affiliat')) AND NOT contains(n,'short') THEN 'Author'
+ WHEN contains(n,'abstract') OR contains(n,'keyword') THEN 'Abstract' WHEN contains(n,'footnote') OR contains(n,'thanks') THEN 'Footer' WHEN n = 'caption' THEN 'Caption' WHEN contains(n,'section') OR n IN ('chapter','part') THEN 'Section' ELSE 'Paragraph' END AS label
+ FROM (SELECT unnest(['title','shorttitle','author','institute','abstract','keywords','footnote','thanks','caption','section','subsection','chapter','part','textbf','emph']) n)""")
+def label_by_macro(spark, d):
+    return samples.macros(spark).select("name", labels.by_macro(F.col("name"), F.lit("Paragraph")).alias("label"))
+
+
+@query("SELECT l_orderkey AS id, l_linenumber AS n, '#' || printf('%06x', (l_orderkey * 7919 + l_partkey) % 16777216) AS color FROM lineitem")
+def color_hex(spark, d):
+    t = table(spark, d, "lineitem")
+    return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), color.hex_key((F.col("l_orderkey") * 7919 + F.col("l_partkey")) % 16777216).alias("color"))
+
+
+_DIGIT = "CASE WHEN {0} = 10 THEN '1.0' ELSE '0.' || {0} END"
+
+
+@query("SELECT n, " + " || ',' || ".join(_DIGIT.format(x) for x in ("(n // 121)", "(n % 121 // 11)", "(n % 11)")) + " AS color FROM (SELECT range n FROM range(1331))")
+def figure_colors(spark, d):
+    return spark.range(color.LEVELS**3).select(F.col("id").alias("n"), color.figure_key(F.col("id")).alias("color"))
+
+
+def _colored(spark, d):
+    own = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("#"), F.col("doc_id") % 97).alias("color_key"))
+    ann = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"), F.col("toxic").alias("section"))
+    return own, ann
+
+
+@query("""WITH ann AS (SELECT d.doc_id, d.lang || '#' || (d.doc_id % 97) AS color_key, l.quality::VARCHAR AS label, l.toxic AS section FROM documents d JOIN labels l USING (doc_id)),
+ own AS (SELECT a.* FROM ann a WHERE doc_id % 7 <> 0)
+ SELECT d.doc_id, d.lang || '#' || (d.doc_id % 97) AS color_key, o.label, coalesce(o.section, -1)::INT AS section, CASE WHEN o.doc_id IS NULL THEN -1 ELSE 0 END AS reading FROM documents d LEFT JOIN own o USING (doc_id)""")
+def color_join(spark, d):
+    own, ann = _colored(spark, d)
+    rows = own.join(ann, "doc_id").select("doc_id", "color_key", F.col("label").cast("string"), F.lit(0).alias("reading"), F.col("section").cast("int"), F.lit(0).alias("block"), F.lit("x").alias("tex"))
+    used = own.where("doc_id % 7 = 0")
+    return color.annotate(own, rows, used).select("doc_id", "color_key", "label", "section", "reading")
+
+
+@query("""WITH c AS (SELECT range o FROM range(4000)), items AS (SELECT c_custkey AS doc_id, (row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) - 1) AS n FROM customer JOIN orders ON o_custkey = c_custkey),
+ used AS (SELECT DISTINCT o_custkey doc_id, o_orderkey % 23 AS o FROM orders WHERE o_orderkey % 3 = 0),
+ free AS (SELECT d.doc_id, c.o, row_number() OVER (PARTITION BY d.doc_id ORDER BY c.o) - 1 AS n FROM (SELECT DISTINCT doc_id FROM items) d JOIN (SELECT o FROM c WHERE o < 80) c ON true WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.doc_id = d.doc_id AND u.o = c.o))
+ SELECT i.doc_id, i.n, f.o * 17 AS color FROM items i JOIN free f USING (doc_id, n)""")
+def existing_color_anti(spark, d):
+    o = table(spark, d, "orders")
+    items = o.select(F.col("o_custkey").alias("doc_id"), (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("long").alias("n"))
+    used = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") % 23 * 17).alias("color")).distinct()
+    colors = spark.range(4000).select(F.col("id").alias("ord"), (F.col("id") * 17).alias("color"))
+    return color.allocate(items, colors, used)
+
+
+@query()
+def palette(spark, d):
+    return color.palette(spark, 30, range(256, 236, -1)).orderBy("ord")
+
+
+@query(f"WITH {LAB} SELECT doc_id, pos, CASE WHEN lag(raw // 2) OVER (PARTITION BY doc_id ORDER BY pos) = raw // 2 THEN '' ELSE text END AS tex FROM rows_")
+def dup_suppress(spark, d):
+    rows = _rows(spark, d).withColumn("raw", F.floor(F.col("raw") / 2)).withColumn("tex", F.col("text"))
+    return tokens.suppress_repeats(rows).select("doc_id", "pos", "tex")
+
+
+@query(f"WITH {LAB} SELECT * FROM ({diffuse.SPREAD.format(t='rows_')})")
+def diffuse_order(spark, d):
+    return diffuse.spread(_rows(spark, d))
+
+
+@query(f"""WITH {LAB}, v AS (SELECT doc_id, line_no, pos, label, list_filter(list(label) OVER (PARTITION BY doc_id, line_no ORDER BY pos RANGE BETWEEN 20 PRECEDING AND 19 FOLLOWING), lambda x: x IS NOT NULL) AS a FROM rows_),
+ w AS (SELECT *, list_max(list_transform(list_distinct(a), lambda x: {{'n': len(list_filter(a, lambda y: y = x)), 'p': -list_position(a, x), 'x': x}})) AS m FROM v)
+ SELECT doc_id, line_no, pos, coalesce(label, m.x) AS label FROM w""")
+def diffuse_vote_originals(spark, d):
+    return diffuse.vote_originals(_rows(spark, d))
+
+
+@query()
+def diffuse_exact(spark, d):
+    return diffuse.spread_exact(_rows(spark, d))
+
+
+HEAD = LINES + """, h AS (SELECT doc_id, line_no AS pos, length(line) % 8 AS level FROM lines WHERE length(line) > 0)"""
+
+
+def _headings(spark, d):
+    return tokens.lines(table(spark, d, "documents")).where("length(line) > 0").select("doc_id", F.col("line_no").alias("pos"), (F.length("line") % 8).alias("level"))
+
+
+_EDGES = HEAD + """, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos)::INT AS section_id FROM h),
+ e AS (SELECT doc_id, section_id, level::INT AS level, coalesce((SELECT max(b.section_id) FROM n b WHERE b.doc_id = a.doc_id AND b.section_id < a.section_id AND b.level < a.level), 0)::INT AS nested_to FROM n a)"""
+
+
+@query(f"WITH {_EDGES} SELECT * FROM e")
+def toc_edges(spark, d):
+    return toc.edges(_headings(spark, d))
+
+
+@query(f"WITH {_EDGES} SELECT DISTINCT doc_id, 0 AS section_id, -1 AS nested_to FROM e UNION ALL SELECT doc_id, section_id, nested_to FROM e")
+def toc_export(spark, d):
+    return toc.with_root(toc.edges(_headings(spark, d)))
+
+
+@query("WITH RECURSIVE " + _EDGES + """, p AS (SELECT doc_id, section_id, section_id::VARCHAR AS path, 1 AS depth FROM e WHERE nested_to = 0
+ UNION ALL SELECT e.doc_id, e.section_id, p.path || '.' || e.section_id, p.depth + 1 FROM e JOIN p ON e.doc_id = p.doc_id AND e.nested_to = p.section_id WHERE e.nested_to > 0) SELECT doc_id, section_id, path, depth FROM p""")
+def toc_paths(spark, d):
+    return toc.paths(toc.edges(_headings(spark, d)))
+
+
+@query(f"""WITH {LAB}, s AS (SELECT * FROM ({diffuse.SPREAD.format(t='rows_')}) WHERE reading_order <> -1),
+ g AS (SELECT *, greatest(0, max(block_id) OVER (PARTITION BY doc_id ORDER BY reading_order, pos ROWS UNBOUNDED PRECEDING)) AS segment FROM s)
+ SELECT doc_id, segment::INT AS segment, coalesce(string_agg(CASE WHEN label IS DISTINCT FROM 'Figure' THEN text || ' ' END, '' ORDER BY reading_order, pos), '') AS text FROM g GROUP BY ALL""")
+def section_text(spark, d):
+    rows = diffuse.spread(_rows(spark, d)).withColumn("section_id", F.col("block_id"))
+    return assemble.sections(rows)
+
+
+def _gold(spark, d):
+    t = _tokens(spark, d).withColumn("page_no", F.floor(F.col("line_no") / 4))
+    gold = t.where("pos % 3 = 0").select("doc_id", "page_no", "text", "pos", F.when(F.length("text") % 2 == 0, "a").otherwise("b").alias("label"))
+    pred = t.where("pos % 2 = 0").select("doc_id", "page_no", "text", "pos", F.when(F.length("text") % 3 == 0, "a").when(F.length("text") % 3 == 1, "b").otherwise("c").alias("label"))
+    return evaluate.align(gold, pred)
+
+
+PAIRS = TOK + """, pg AS (SELECT *, line_no // 4 AS page_no FROM tok), gold AS (SELECT doc_id, page_no, text, CASE WHEN length(text) % 2 = 0 THEN 'a' ELSE 'b' END AS gold, row_number() OVER (PARTITION BY doc_id, page_no, text ORDER BY pos) AS rn, count(*) OVER (PARTITION BY doc_id, page_no, text) AS cnt FROM pg WHERE pos % 3 = 0),
+ pred AS (SELECT doc_id, page_no, text, pos, CASE length(text) % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS pred, row_number() OVER (PARTITION BY doc_id, page_no, text ORDER BY pos) AS rn FROM pg WHERE pos % 2 = 0),
+ pairs AS (SELECT p.doc_id, p.page_no, p.text, p.pos, g.gold, p.pred FROM pred p JOIN gold g ON p.doc_id = g.doc_id AND p.page_no = g.page_no AND p.text = g.text AND g.rn = CASE WHEN p.rn <= g.cnt THEN p.rn ELSE 1 END)"""
+
+
+@query(f"WITH {PAIRS} SELECT * FROM pairs")
+def occurrence_align(spark, d):
+    return _gold(spark, d)
+
+
+@query(f"WITH {PAIRS} SELECT gold, pred, count(*) AS n FROM pairs GROUP BY ALL")
+def confusion(spark, d):
+    return evaluate.confusion(_gold(spark, d))
+
+
+@query(f"""WITH {PAIRS}, t AS (SELECT count(*)::DOUBLE t, count(*) FILTER (gold = pred) a FROM pairs), g AS (SELECT gold c, count(*)::DOUBLE n FROM pairs GROUP BY 1), p AS (SELECT pred c, count(*)::DOUBLE n FROM pairs GROUP BY 1), e AS (SELECT sum(g.n * p.n) e FROM g JOIN p USING (c))
+ SELECT round((a / t - e / (t * t)) / (1 - e / (t * t)), 6) AS kappa FROM t, e""")
+def cohen_kappa(spark, d):
+    return evaluate.kappa(_gold(spark, d))
+
+
+@query(f"""WITH {PAIRS}, u AS (SELECT gold c FROM pairs UNION SELECT pred FROM pairs), s AS (SELECT c, (SELECT count(*) FROM pairs WHERE gold = c AND pred = c)::DOUBLE tp, (SELECT count(*) FROM pairs WHERE gold = c)::DOUBLE g, (SELECT count(*) FROM pairs WHERE pred = c)::DOUBLE p FROM u)
+ SELECT c AS label, round(CASE WHEN p > 0 THEN tp / p ELSE 0 END, 6) AS precision, round(CASE WHEN g > 0 THEN tp / g ELSE 0 END, 6) AS recall, round(CASE WHEN p + g > 0 THEN 2 * tp / (p + g) ELSE 0 END, 6) AS f1 FROM s""")
+def prf_per_class(spark, d):
+    return evaluate.scores(_gold(spark, d))
+
+
+@query("SELECT event_type AS label, (dense_rank() OVER (ORDER BY event_type) - 1)::INT AS code FROM (SELECT DISTINCT event_type FROM events)")
+def label_encode(spark, d):
+    return evaluate.encode(table(spark, d, "events").select(F.col("event_type").alias("label")))
+
+
+@query("SELECT user_id AS doc_id, count(DISTINCT event_type) AS labels FROM events GROUP BY 1 HAVING count(DISTINCT event_type) > 3")
+def quality_gate(spark, d):
+    return evaluate.rich_documents(table(spark, d, "events").select(F.col("user_id").alias("doc_id"), F.col("event_type").alias("label")))
+
+
+@query(f"""WITH {LINES}, e AS (SELECT doc_id, line_no, line, string_agg(line, chr(10)) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS error FROM lines)
+ SELECT doc_id, line_no, error FROM e WHERE starts_with(line, 'The')""")
+def log_errors_context(spark, d):
+    return logs.errors(tokens.lines(table(spark, d, "documents")), 3, F.col("line").startswith("The"))
+
+
+@query()
+def log_segments(spark, d):
+    return logs.segments(samples.logs(spark))
+
+
+@query("SELECT * FROM (VALUES (1::BIGINT, 'pdflatex'), (2, NULL), (3, 'latex')) t(doc_id, compiler)")
+def log_last_compiler(spark, d):
+    return samples.logs(spark).select("doc_id", logs.last_compiler(F.col("log")).alias("compiler"))
+
+
+@query("SELECT * FROM (VALUES (1::BIGINT, true), (3, false)) t(doc_id, failed)")
+def log_failed(spark, d):
+    return logs.failed(samples.logs(spark), "pdflatex")
+
+
+@query("SELECT 2::BIGINT AS doc_id, 0 AS n, 'main.tex' AS file")
+def log_compiled_files(spark, d):
+    return logs.compiled_files(samples.logs(spark))
+
+
+@query("SELECT 3::BIGINT AS doc_id, 'a.pdf,b c.pdf' AS pdfs, 'm.ps' AS ps")
+def log_outputs(spark, d):
+    names = lambda kind: F.array_join(logs.outputs(F.col("log"), kind), ",")
+    return samples.logs(spark).where("doc_id = 3").select("doc_id", names("pdf").alias("pdfs"), names("ps").alias("ps"))
+
+
+@query("""SELECT c_custkey AS id, array_to_string(list_filter([CASE WHEN c_custkey & 1 > 0 THEN 'superscript' END, CASE WHEN c_custkey & 2 > 0 THEN 'italic' END, CASE WHEN c_custkey & 4 > 0 THEN 'serifed' ELSE 'sans' END,
+ CASE WHEN c_custkey & 8 > 0 THEN 'monospaced' ELSE 'proportional' END, CASE WHEN c_custkey & 16 > 0 THEN 'bold' END], lambda x: x IS NOT NULL), ',') AS flags FROM customer""")
+def flags_decompose(spark, d):
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.array_join(spatial.flags(F.col("c_custkey")), ",").alias("flags"))
+
+
+@query("SELECT l_orderkey, l_linenumber, least(1000, greatest(0, trunc(l_extendedprice / 50000 * 1000)::INT)) AS x FROM lineitem")
+def bbox_norm(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", spatial.norm(F.col("l_extendedprice"), F.lit(50000)).alias("x"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 792 - l_quantity AS y0, 792 - l_quantity + (l_quantity - l_discount) AS y1 FROM lineitem")
+def yflip(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *spatial.flip(F.lit(792), F.col("l_quantity"), F.col("l_discount")))
+
+
+def _boxes(spark, d):
+    t = _tokens(spark, d).withColumn("page_no", F.floor(F.col("line_no") / 50) + 1).withColumn("y0", (F.col("line_no") % 50 * 12).cast("double")).withColumn("x0", (F.col("col") * 30).cast("double"))
+    t = t.withColumn("x1", F.col("x0") + F.length("text") * 6).withColumn("y1", F.col("y0") + 10)
+    spans = t.where("col % 4 = 0").select("doc_id", "page_no", F.col("pos").alias("span_no"), "x0", (F.col("y0") - 3).alias("y0"), (F.col("x0") + 118).alias("x1"), (F.col("y1") + 1).alias("y1"))
+    lines = t.groupBy("doc_id", "page_no", "line_no").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max(F.col("y1") + 4).alias("y1"))
+    return t.select("doc_id", "page_no", "pos", "x0", "y0", "x1", "y1"), spans, lines
+
+
+BOX = TOK + """, box AS (SELECT *, (line_no // 50 + 1) AS page_no, (col * 30)::DOUBLE AS x0, (line_no % 50 * 12)::DOUBLE AS y0, (col * 30 + length(text) * 6)::DOUBLE AS x1, (line_no % 50 * 12 + 10)::DOUBLE AS y1 FROM tok)"""
+
+
+@query(f"""WITH {BOX}, s AS (SELECT doc_id, page_no, pos AS span_no, line_no, x0, y0 - 3 AS y0, x0 + 118 AS x1, y1 + 1 AS y1 FROM box WHERE col % 4 = 0),
+ a AS (SELECT b.doc_id, b.page_no, b.pos, s.span_no, (least(b.x1, s.x1) - greatest(b.x0, s.x0)) * (least(b.y1, s.y1) - greatest(b.y0, s.y0)) AS area FROM box b JOIN s ON b.doc_id = s.doc_id AND b.page_no = s.page_no AND abs(b.line_no - s.line_no) <= 1 AND least(b.x1, s.x1) > greatest(b.x0, s.x0) AND least(b.y1, s.y1) > greatest(b.y0, s.y0))
+ SELECT doc_id, page_no, pos, arg_max(span_no, (area, -span_no)) AS span_no, round(max(area), 4) AS area FROM a GROUP BY ALL""")
+def span_overlap(spark, d):
+    t, spans, _ = _boxes(spark, d)
+    return spatial.best_span(t, spans)
+
+
+@query(f"""WITH {BOX}, l AS (SELECT doc_id, page_no, line_no, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) + 4 AS y1 FROM box GROUP BY ALL)
+ SELECT b.doc_id, b.page_no, b.pos, max(l.line_no) AS line_no FROM box b JOIN l ON b.doc_id = l.doc_id AND b.page_no = l.page_no AND abs(b.line_no - l.line_no) <= 1 AND (b.x0 + b.x1) / 2 >= l.x0 AND (b.x0 + b.x1) / 2 < l.x1 AND (b.y0 + b.y1) / 2 >= l.y0 AND (b.y0 + b.y1) / 2 < l.y1 GROUP BY ALL""")
+def line_contains(spark, d):
+    t, _, lines = _boxes(spark, d)
+    return spatial.containing_line(t, lines)
+
+
+def _values(rows: list[tuple[str, str]]) -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    return "SELECT * FROM (VALUES " + ", ".join(f"({quote(a)}, {quote(b)})" for a, b in rows) + ") t(text, result)"
+
+
+@query(_values(samples.BRACES))
+def brace_balance(spark, d):
+    return samples.inputs(spark, samples.BRACES).withColumn("result", textclean.balance_braces("text"))
+
+
+@query(_values(samples.PACKAGES))
+def usepackage_split(spark, d):
+    return samples.inputs(spark, samples.PACKAGES).withColumn("result", textclean.split_packages("text"))
+
+
+@query(_values(samples.ENDS))
+def single_end(spark, d):
+    return samples.inputs(spark, samples.ENDS).withColumn("result", textclean.single_end(F.col("text")))
+
+
+@query(_values(samples.MATH))
+def math_normalize(spark, d):
+    return samples.inputs(spark, samples.MATH).withColumn("result", textclean.normal_math(F.col("text"), True))
+
+
+@query(_values(samples.ESCAPES))
+def latex_escape(spark, d):
+    return samples.inputs(spark, samples.ESCAPES).withColumn("result", textclean.latex_escape("text"))
+
+
+@query(_values(samples.EXPANSIONS))
+def expand_macros(spark, d):
+    return samples.inputs(spark, samples.EXPANSIONS).withColumn("result", latex.expand_macros("text"))
+
+
+@query(_values(samples.PREAMBLES))
+def preamble(spark, d):
+    return samples.inputs(spark, samples.PREAMBLES).withColumn("result", textclean.preamble(F.col("text")))
+
+
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN translate(c_custkey::VARCHAR, '0123456789', '⁰¹²³⁴⁵⁶⁷⁸⁹') ELSE c_name END AS script FROM customer")
+def digits_script(spark, d):
+    t = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), textclean.script_digits(t, True).alias("script"))
+
+
+@query()
+def md_postclean(spark, d):
+    return table(spark, d, "documents").select("doc_id", textclean.clean_markdown(F.col("text")).alias("text"))
+
+
+@query("SELECT doc_id, '\\pdfoutput=1' || chr(10) || '\\interactionmode=1' || chr(10) || text AS text FROM documents")
+def preprocess_tex(spark, d):
+    return table(spark, d, "documents").select("doc_id", textclean.preprocess(F.col("text")).alias("text"))
+
+
+@query()
+def parse_latex(spark, d):
+    return latex.parse_latex(samples.documents(spark))
+
+
+@query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages")
+def html_title(spark, d):
+    return table(spark, d, "pages").select("page_id", html.title(F.col("html")).alias("title"))
+
+
+@query("SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1)) AS href FROM pages")
+def html_links(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(html.links(F.col("html"))).alias("href"))
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', '', 'gis'), '<style[^>]*>.*?</style>', '', 'gis'), '<[^>]*>', ' ', 'gs'), '[ \\t\\r\\n\\f]+', ' ', 'g')) AS text FROM pages")
+def html_text(spark, d):
+    return table(spark, d, "pages").select("page_id", html.plain(F.col("html")).alias("text"))
+
+
+@query("SELECT page_id, lower(tag) AS tag, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages) GROUP BY ALL")
+def html_tag_counts(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(html.tags(F.col("html"))).alias("tag")).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+
+
+@query()
+def parse_html(spark, d):
+    return html.nodes(table(spark, d, "pages"))
+
+
+@query()
+def html_markdown(spark, d):
+    return table(spark, d, "pages").select("page_id", html.to_markdown("html").alias("markdown"))
+
+
+@query(_values(samples.BIBLIOGRAPHY))
+def bib_items(spark, d):
+    return samples.inputs(spark, samples.BIBLIOGRAPHY).withColumn("result", F.array_join(html.references(F.col("text")), "|"))
+
+
+def _cells(spark, d):
+    t = table(spark, d, "lineitem")
+    return t.select(
+        F.floor(F.col("l_orderkey") / 4).alias("doc_id"), F.col("l_orderkey").alias("row_no"), ((F.col("l_linenumber") * 1000000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")).alias("cell_no"), F.when(F.col("l_partkey") % 5 == 0, 2).alias("colspan"),
+        (F.col("l_partkey") % 3).cast("int").alias("rowspan"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("align"), (F.col("l_suppkey") % 2).alias("border"),
+    )
+
+
+CELLS = """cells AS (SELECT l_orderkey // 4 AS doc_id, l_orderkey AS row_no, (l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey AS cell_no, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 1 END AS colspan, (l_partkey % 3)::INT AS rowspan,
+ CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS align, l_suppkey % 2 AS border FROM lineitem),
+ wide AS (SELECT *, sum(colspan) OVER (PARTITION BY doc_id, row_no ORDER BY cell_no ROWS UNBOUNDED PRECEDING) AS ends, sum(colspan) OVER (PARTITION BY doc_id, row_no) AS width FROM cells)"""
+
+
+@query(f"WITH {CELLS} SELECT doc_id, max(width)::BIGINT AS width FROM wide GROUP BY 1")
+def table_width(spark, d):
+    return tables.table_width(_cells(spark, d))
+
+
+@query(f"""WITH {CELLS}, c AS (SELECT doc_id, ends::BIGINT AS col, align, count(*) n, min(row_no) f FROM wide WHERE colspan = 1 AND align IS NOT NULL GROUP BY ALL) SELECT doc_id, col, arg_max(align, (n, -f)) AS align FROM c GROUP BY ALL""")
+def col_spec_mode(spark, d):
+    return tables.column_align(_cells(spark, d))
+
+
+@query(f"""WITH {CELLS}, at_ AS (SELECT doc_id, row_no, width, unnest(range((ends - colspan + 1)::BIGINT, (ends + 1)::BIGINT)) AS col, border FROM wide), r AS (SELECT *, col - row_number() OVER (PARTITION BY doc_id, row_no ORDER BY col) AS run FROM at_ WHERE border > 0),
+ g AS (SELECT doc_id, row_no, width, run, min(col) a, max(col) b FROM r GROUP BY ALL) SELECT doc_id, row_no, CASE WHEN a = 1 AND b = width THEN '\\hline' ELSE '\\cline{{' || a || '-' || b || '}}' END AS rule FROM g""")
+def hline_runs(spark, d):
+    return tables.rules(_cells(spark, d))
+
+
+@query(f"WITH {CELLS} SELECT doc_id, row_no, cell_no, false AS filler FROM cells UNION ALL SELECT doc_id, row_no + unnest(range(1, rowspan)), cell_no, true FROM cells WHERE rowspan > 1")
+def rowspan_fill(spark, d):
+    return tables.square(_cells(spark, d))
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'p' || (p_partkey % 40) AS package, 'p' || (p_partkey % 40 * 3 + 1) % 40 AS includes FROM part), c AS (SELECT DISTINCT package AS root, package FROM e UNION SELECT c.root, e.includes FROM c JOIN e ON e.package = c.package) SELECT * FROM c""")
+def package_closure(spark, d):
+    name = lambda n: F.concat(F.lit("p"), n)
+    edges = table(spark, d, "part").select(name(F.col("p_partkey") % 40).alias("package"), name((F.col("p_partkey") % 40 * 3 + 1) % 40).alias("includes")).distinct()
+    return catalogues.closure(edges)
+
+
+@query("SELECT * FROM (VALUES ('frac', '{{'), ('sqrt', '[{'), ('item', '[')) t(name, args)")
+def macro_longest_args(spark, d):
+    return catalogues.longest_arguments(samples.keys(spark))
+
+
+@query("SELECT p_brand AS name, arg_min(p_name, (p_size, p_partkey)) AS body, min(p_size) AS priority FROM part GROUP BY 1")
+def context_merge(spark, d):
+    p = table(spark, d, "part").select(F.col("p_brand").alias("name"), F.col("p_size").alias("priority"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("body"))
+    return catalogues.merge(p).select("name", "body", "priority")
+
+
+@query("""WITH q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT query_id, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q::DOUBLE[]), 6) AS similarity FROM embeddings, q)
+ SELECT query_id, vec_id, similarity FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 5""")
+def cosine_topk(spark, d):
+    v = table(spark, d, "embeddings")
+    return retrieve.top_k(v.select("vec_id", "embedding"), v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")))
+
+
+@query("SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def resume_anti(spark, d):
+    return archives.pending(table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")), table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("doc_id")))
+
+
+@query("SELECT * FROM (VALUES (1::BIGINT, 'pdf one'), (2, NULL), (3, NULL)) t(doc_id, content)")
+def first_output(spark, d):
+    parsed = samples.responses(spark).select("doc_id", files.response(F.col("body")).alias("r"))
+    return parsed.select("doc_id", files.first_output(F.col("r"), "pdf").cast("string").alias("content"))
+
+
+@query("SELECT p_partkey AS file FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49")
+def file_set_diff(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("file")).exceptAll(table(spark, d, "lineitem").where("l_quantity > 49").select("l_partkey").distinct())
+
+
+@query("SELECT * FROM (VALUES (1::BIGINT, 'main', 'main.tex'), (1, 'b.tex', 'b.tex'), (1, 'c', '')) t(doc_id, name, member)")
+def resolve_files(spark, d):
+    return archives.resolve(*samples.members(spark))

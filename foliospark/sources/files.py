@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliospark import schemas
 
@@ -28,7 +29,7 @@ def write_tsv(rows: DataFrame, path: str) -> None:
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     flat = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
-    types = {f.name: f.dataType for f in schemas.DATA}
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(schemas.DATA)}
     return flat.select(*[F.from_json(c, types[c].simpleString()).alias(c) if types[c].typeName() == "array" else F.col(c).cast(types[c]) for c in flat.columns if c in types])
 
 
