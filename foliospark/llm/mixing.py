@@ -10,7 +10,7 @@ are consistent with every table; given shares replace them.
 
 Defined cases: a null or empty text has no tokens and the least topic; nulls in source or language
 are a value of their own; rows with equal ids are sampled alike; extra columns are kept by
-sample(); an empty table gives an empty result.
+sample(), but for those with the names that it adds; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -107,7 +107,8 @@ def sample(docs: DataFrame, powers: dict[str, float] = POWERS, rounds: int = ROU
     cells = cells.select(*[F.col(f"m_{m}").alias(f"c_{m}") for m in MARGINS], F.col("p").alias("m_p"))
     on = (F.col("m_source") == F.col("c_source")) & (F.col("m_lang") == F.col("c_lang")) & (F.col("m_topic") == F.col("c_topic"))
     picked = keyed(docs).join(F.broadcast(cells) if few else cells, on).where(chance(F.col("doc_id")) < F.col("m_p"))
-    return picked.select(*docs.columns, F.col("m_topic").alias("topic"), F.col("m_tokens").alias("tokens"), F.round("m_p", 6).alias("probability"), F.round(1 / F.col("m_p"), 6).alias("weight"))
+    added = ("topic", "tokens", "probability", "weight")
+    return picked.select(*[c for c in docs.columns if c not in added], F.col("m_topic").alias("topic"), F.col("m_tokens").alias("tokens"), F.round("m_p", 6).alias("probability"), F.round(1 / F.col("m_p"), 6).alias("weight"))
 
 
 def table(docs: DataFrame) -> DataFrame:

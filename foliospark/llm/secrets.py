@@ -68,34 +68,37 @@ def spans(text: str, novelty: Novelty, least: float = 0.45, reach: int = 48) ->
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+#: Columns that redact() adds: spans in between, and their number.
+FOUND, COUNT = "__secret_spans", "__secrets"
 SPANS = "array<struct<kind: string, start: int, end: int, novelty: double>>"
 
 
-def scan_secrets(docs: DataFrame, least: float = 0.45, reach: int = 48) -> DataFrame:
-    """docs with a column `spans` of all secrets found in the text."""
+def scan_secrets(docs: DataFrame, least: float = 0.45, reach: int = 48, column: str = "spans") -> DataFrame:
+    """docs with a column (in the place of one of that name) of all secrets found in the text."""
+    docs = docs.drop(column)
     names = docs.columns
-    schema = docs.withColumn("spans", F.lit(None).cast(SPANS)).schema
+    schema = docs.withColumn(column, F.lit(None).cast(SPANS)).schema
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float64())]))
 
     def scan(batches):
         novelty = Novelty()
         for batch in batches:
             found = [[{"kind": k, "start": a, "end": b, "novelty": c} for k, a, b, c in spans(t.as_py() or "", novelty, least, reach)] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*names, "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*names, column])
 
     return docs.mapInArrow(scan, schema)
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with every stretch that spans cover replaced by a mark; other texts stay as they are."""
+    """docs with every stretch that spans cover replaced by a mark, and their number in COUNT; other texts stay as they are."""
     names = docs.columns
-    mark_rows = scan_secrets(docs)
-    schema = docs.withColumn("n_secrets", F.lit(0)).schema
+    mark_rows = scan_secrets(docs, column=FOUND)
+    schema = docs.withColumn(COUNT, F.lit(0)).schema
 
     def cut(batches):
         for batch in batches:
             texts, counts = batch.column("text").to_pylist(), []
-            for i, found in enumerate(batch.column("spans").to_pylist()):
+            for i, found in enumerate(batch.column(FOUND).to_pylist()):
                 counts.append(len(found))
                 if found:
                     parts, at, text = [], 0, texts[i]
@@ -105,7 +108,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                         at = max(at, s["end"])
                     texts[i] = "".join(parts) + text[at:]
             columns = [pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, "n_secrets"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, COUNT])
 
     return mark_rows.mapInArrow(cut, schema)
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import batch_of, utf8
 
@@ -226,7 +227,7 @@ def decode(media: DataFrame, column: str = "media") -> DataFrame:
     """One row per page of every file: the other columns, page, width, height, compression, samples, error."""
     keep = [c for c in media.columns if c != column]
     base = media.select(*keep).schema
-    schema = base.add("page", "int").add("width", "int").add("height", "int").add("compression", "int").add("samples", "binary").add("error", "string")
+    schema = T.StructType([*base.fields, *[T.StructField(c, T.IntegerType()) for c in ("page", "width", "height", "compression")], T.StructField("samples", T.BinaryType()), T.StructField("error", T.StringType())])
 
     def scan(batches):
         for batch in batches:
