@@ -6,9 +6,6 @@ from pyspark.sql import types as T
 
 from foliospark import schemas
 
-#: Catalogue files that are no packages, and the one that is renamed.
-RENAMED = {"yathesis": "class-yathesis"}
-
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold tokens (tab separated, no header) with doc_id and 1-based page from the file name."""
@@ -24,11 +21,11 @@ def write_rows(rows: DataFrame, path: str) -> None:
 def write_tsv(rows: DataFrame, path: str) -> None:
     """Tab separated with a header; arrays become JSON."""
     arrays = {f.name for f in rows.schema if f.dataType.typeName() == "array"}
-    rows.select(*[F.to_json(c).alias(c) if c in arrays else F.col(c) for c in rows.columns]).write.mode("overwrite").csv(path, sep="\t", header=True)
+    rows.select(*[F.to_json(c).alias(c) if c in arrays else F.col(c) for c in rows.columns]).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="\\N")
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    flat = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
+    flat = spark.read.csv(path, sep="\t", header=True, inferSchema=False, nullValue="\\N")
     types = {f.name: f.dataType for f in T.StructType.fromDDL(schemas.DATA)}
     return flat.select(*[F.from_json(c, types[c].simpleString()).alias(c) if types[c].typeName() == "array" else F.col(c).cast(types[c]) for c in flat.columns if c in types])
 

@@ -75,14 +75,14 @@ def test_log_fixtures(spark):
 
 def test_color_codecs(spark):
     df = spark.createDataFrame([([0.5, 0.25, 1.0],), ([1.0, 0.0],), (None,), ([2.0, 0.0, 0.0],)], "c array<double>")
-    assert [r[0] for r in df.select(color.channel_key("c" and df["c"])).collect()] == ["0.5,0.2,1.0", None, None, None]
+    assert [r[0] for r in df.select(color.channel_key(df["c"])).collect()] == ["0.5,0.2,1.0", None, None, None]
     assert [r[0] for r in df.select(color.page_color(df["c"])).collect()] == ["#8040ff", "#000000", "#000000", "#000000"]
 
 
 def test_toc(spark):
     df = spark.createDataFrame([(1, i, lv) for i, lv in enumerate([0, 3, 4, 3])], "doc_id long, pos int, level int")
     got = sorted((r["section_id"], r["nested_to"]) for r in toc.with_root(toc.edges(df)).collect())
-    assert got == [(0, -1), (1, 0), (2, 1), (3, 2), (4, 1)] or got == [(0, -1), (1, 0), (2, 1), (3, 2), (4, 1)]
+    assert got == [(0, -1), (1, 0), (2, 1), (3, 2), (4, 1)]
 
 
 def test_walker():
@@ -95,7 +95,7 @@ def test_walker():
 
 def test_html_tree():
     rows = html.parse("<p>a<b>b</b><p>c<ul><li>x<li>y</ul>")
-    assert [r[3] for r in rows if r[1] == 0] == ["document", "p", "p"][1:] and sum(r[3] == "li" for r in rows) == 2
+    assert [r[3] for r in rows if r[1] == 0] == ["p", "p"] and sum(r[3] == "li" for r in rows) == 2
     assert html.markdown(html.parse("<h1>T</h1><p>a <b>b</b></p><ol><li>x</li><li>y</li></ol>")).startswith("# T\n\na **b**")
 
 
