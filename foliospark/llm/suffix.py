@@ -54,18 +54,17 @@ class SuffixIndex:
         """The batch's suffix array as level 0; equal-sized levels merge."""
         array = durable(self.suffixes(docs).sortWithinPartitions("g"))
         self.arrays.append(array)
-        self.levels.append((0, array.groupBy("g", "cls").agg(F.count("*").alias("copies"))))
+        self.levels.append((0, array))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (rank, a), (_, b) = self.levels.pop(), self.levels.pop()
-            self.levels.append((rank + 1, a.unionByName(b).groupBy("g", "cls").agg(F.sum("copies").alias("copies"))))
+            self.levels.append((rank + 1, a.unionByName(b)))
 
     def matches(self) -> DataFrame:
         """Suffixes that begin like another: rid, g, lo, n, whole (its surroundings occur again too), classes below the anchor."""
         index = self.levels[0][1]
         for _, level in self.levels[1:]:
             index = index.unionByName(level)
-        if len(self.levels) > 1:
-            index = index.groupBy("g", "cls").agg(F.sum("copies").alias("copies"))
+        index = index.groupBy("g", "cls").agg(F.count("*").alias("copies"))  # one exchange, counted before it, whatever the levels
         several = index.groupBy("g").agg(F.count("*").alias("classes")).where("classes > 1").withColumnRenamed("g", "sg")
         shared = index.join(several, F.expr("g = sg"), "left").where("classes > 1 OR copies > 1")
         arrays = self.arrays[0]
