@@ -37,8 +37,13 @@ def drop_durable(*tables: DataFrame) -> None:
     """Delete the files behind durable() tables that nothing reads any more, and let Spark's cleaner see dead shuffles."""
     for df in tables:
         _drop(df)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner see the shuffles of queries that are over, so that their files go."""
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def _drop(df: DataFrame) -> None:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import batch_of, blocks, drop_durable, durable, partitions, row_key, utf8
+from .base import batch_of, blocks, drop_durable, durable, partitions, release, row_key, utf8
 from .substring import by_id
 from .windows import BYTE_UNIT, covered, mix, occurrences, prefix, span, window_hashes
 
@@ -194,6 +194,7 @@ class SuffixIndex:
             drop_durable(*self.arrays)
             self.arrays, self.levels = [], []
         near = durable(self.surroundings(matches, docs))
+        release(docs.sparkSession)
         return matches.where("whole").select("rid", "lo", "n").unionByName(self.repeated(near))
 
     def clean(self, docs: DataFrame, once: bool = False) -> DataFrame:
