@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliospark.functions import html, latex, textclean
+from foliospark.functions import article, html, latex, symbols, textclean
 from foliospark.operators import assemble, catalogues, color, diffuse, evaluate, labels, logs, retrieve, spatial, tables, toc, tokens
 from foliospark.plans import samples
 from foliospark.sources import archives, files
@@ -405,6 +405,32 @@ def html_markdown(spark, d):
     return table(spark, d, "pages").select("page_id", html.to_markdown("html").alias("markdown"))
 
 
+@query()
+def parse_article(spark, d):
+    return article.nodes(table(spark, d, "pages"))
+
+
+@query()
+def article_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", article.article("html").getField("markdown").alias("markdown"))
+
+
+@query(_values(samples.ARTICLES))
+def article_markdown(spark, d):
+    return samples.inputs(spark, samples.ARTICLES).withColumn("result", article.article("text").getField("markdown"))
+
+
+@query(_values(samples.ARTICLE_TABLES))
+def article_tables(spark, d):
+    figures = samples.inputs(spark, samples.ARTICLE_TABLES).select("text", F.map_values(article.article("text").getField("figures")).alias("f"))
+    return figures.select("text", F.array_join("f", "|").alias("result"))
+
+
+@query(_values(samples.SYMBOLS))
+def unicode_symbols(spark, d):
+    return samples.inputs(spark, samples.SYMBOLS).withColumn("result", symbols.to_unicode("text"))
+
+
 @query(_values(samples.BIBLIOGRAPHY))
 def bib_items(spark, d):
     return samples.inputs(spark, samples.BIBLIOGRAPHY).withColumn("result", F.array_join(html.references(F.col("text")), "|"))

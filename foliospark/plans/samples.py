@@ -25,6 +25,23 @@ EXPANSIONS = [
 ]
 PREAMBLES = [("\\documentclass{a}\n\\usepackage{b}\n\\begin{document}\nx", "\\documentclass{a}\n\\usepackage{b}\n\\begin{document}\n")]
 BIBLIOGRAPHY = [('<ul><li class="ltx_bibitem" id="b1"> A <b>one</b>\n x</li><li>no</li><li class="ltx_bibitem">B</li></ul>', "A one x|B")]
+ARTICLES = [
+    ('<section class="ltx_section"><h2 class="ltx_title"><span class="ltx_tag ltx_tag_subsection">1.1</span>Intro</h2><p class="ltx_p">See <cite><a class="ltx_ref" href="#bib.bib3">3</a></cite> x<sup>2</sup>.</p></section>', "## Intro\n\nSee [3] x².\n"),
+    ('<ol class="ltx_enumerate"><li class="ltx_item">one</li><li class="ltx_item"><p>two</p><p>more</p></li></ol>', "1. one\n2. two more\n"),
+    ('<p class="ltx_p">a <math class="ltx_Math" alttext="x\\le y"></math> <em class="ltx_emph ltx_font_italic"> b </em>c</p><div class="ltx_ERROR">no</div>', "a \\(x\\leq y\\) _b_ c\n"),
+    ('<dl class="ltx_description"><dt class="ltx_item">T:</dt><dd class="ltx_item">d</dd></dl>', "T: d\n"),
+    ('<p>w<span class="ltx_note ltx_role_footnote"><span class="ltx_note_outer"><span class="ltx_note_content"><sup class="ltx_note_mark">1</sup>N.</span></span></span></p>', "w\n\n[FOOTNOTE:1][ENDFOOTNOTE]\n"),
+    ("", ""),
+]
+ARTICLE_TABLES = [
+    (
+        '<figure class="ltx_table" id="T1"><table class="ltx_tabular"><tr class="ltx_tr"><td class="ltx_td ltx_align_left ltx_border_t ltx_border_r">A&amp;B</td><td class="ltx_td ltx_align_center ltx_border_t">1</td></tr>'
+        '<tr class="ltx_tr"><td class="ltx_td ltx_align_left ltx_border_r">C</td><td class="ltx_td ltx_align_center ltx_border_b">2</td></tr></table><figcaption>Cap</figcaption></figure>',
+        "\\begin{table}\n\\begin{tabular}{l|c}\n\\hline\nA\\&B & 1 \\\\\nC & 2 \\\\ \\cline{2-2}\n\\end{tabular}\n\\end{table}\nCap",
+    ),
+    ('<figure class="ltx_figure" id="F1"><img/><figcaption>Shown.</figcaption></figure>', "Shown."),
+]
+SYMBOLS = [(r"\'{e}\^\i \"u \c{c}", "éî ü ç"), (r"\alpha+\Omega \varphi x", "α+Ωφx"), (r"\mathbf{A1}\mathbb{R}\mathit{h}\mathfrak{C}", "𝐀𝟏ℝℎℭ"), (r"\alphabet", r"\alphabet"), ("", "")]
 DOCUMENT = r"""\documentclass{article}
 \title{On Things}
 \author{A. Writer}
