@@ -2,8 +2,8 @@
 
 Paragraphs are lines. A multinomial logistic regression over sparse word 1- to 3-grams is trained on the
 templates below (whole, halved and within other words) as the licence families and on a bounded sample of
-the corpus's own lines without licence words as the unknown class. Lines that hold no word of the
-model's vocabulary have the score of an empty line, which is unknown, and are left out before scoring.
+the corpus's own lines without licence words as the unknown class. A licence paragraph must hold a mark, a
+template word that isn't one of the plain words below: lines without one are left out before scoring.
 A prediction counts if its probability reaches the calibrated cut (midway between the least certain
 template and the most certain unknown line) and the line shares half the template's or its own words.
 
@@ -89,7 +89,7 @@ def scan_licenses(docs: DataFrame, sample: int = 1500, overlap: float = 0.5) ->
     # the model has at most 4096 grams: bounded, so it may be broadcast
     table = F.broadcast(spark.createDataFrame(list(zip(vocabulary, weights, strict=True)), "gram string, w array<double>"))
     k = len(intercepts)
-    # every template word outside this list must be absent from a line without licence words; such a line can't overlap by half
+    # words too common to be a mark; a line of these alone is no licence paragraph, whatever it shares with a template
     plain = {"the", "of", "and", "in", "is", "to", "a", "any", "be", "by", "or", "on", "for", "this", "it", "as", "an", "you", "with", "not", "are", "under", "use", "may", "can", "all"}
     marks = sorted({w for f in FAMILIES for t in TEMPLATES[f] for w in _plain_words(t)} - plain)
     lines = paragraphs(docs).where(F.lower("line").rlike(r"(?<![\p{L}\p{N}])(" + "|".join(marks) + r")(?![\p{L}\p{N}])"))
