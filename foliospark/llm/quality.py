@@ -3,7 +3,7 @@
 Heuristic labellers vote good, bad or nothing on every document. Expectation-maximisation over the
 counts of vote patterns of all documents estimates each labeller's accuracy and the share of good
 documents; the posterior of a document's pattern is its label. A hashed linear scorer learns from a
-bounded sample of documents (the `sample` least id hashes) with their posteriors and scores all texts.
+bounded sample of documents (the `sample` least id hashes, each id once) with their posteriors and scores all texts.
 
 Defined cases: null and empty texts get votes from their (zero) sizes and a score like any other; a null
 id is kept; rows with equal ids are scored alike; an empty table gives an empty result; extra columns
@@ -171,7 +171,7 @@ def train(docs: DataFrame, sample: int = 4000):
     counts = {r["pattern"]: r["n"] for r in patterns(docs).groupBy("pattern").agg(F.count("*").alias("n")).collect()}  # 729 patterns at most
     posterior = estimate(counts)
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text").toPandas().sort_values(["doc_id"], kind="stable")
+    rows = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).toPandas().sort_values(["doc_id"], kind="stable")
     texts = [(t or "").encode() for t in rows.text]
     model = Linear()
     if texts:
