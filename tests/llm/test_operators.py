@@ -151,3 +151,20 @@ def test_pipeline(spark):
     items = [r["text"] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
     assert not any(i in t for t in texts for i in items)
     assert not any("AKIA" in r["text"] and secrets.ACCESS.search(r["text"]) and len(secrets.ACCESS.search(r["text"])[0]) >= 20 for r in got.collect())
+
+
+def test_repeated_ids_are_learnt_once(spark):
+    """A third of all rows under one labelled id must not reach the driver row by row."""
+    rows = [(i, "fine words here" if i % 2 else "scum and more words") for i in range(60)] + [(3, "fine words here")] * 200
+    labels = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = toxicity.table(frame(spark, rows), labels).collect()
+    assert len(got) == 260 and all(r["predicted"] == (r["doc_id"] % 2 == 0) for r in got)
+    assert quality.quality(frame(spark, rows)).count() == 260
+
+
+def test_words_seen_in_few_texts_have_no_embedding():
+    texts = [b"common rare%d" % i for i in range(20)]
+    net = toxicity.TextCnn()
+    net.fit(texts, np.arange(20) % 2 * np.float32(1), epochs=1, seen=3)
+    ids = lambda w: toxicity.word_ids(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0]
+    assert not net.table[0][ids(b"rare3")[0]].any() and net.table[0][ids(b"common")[0]].any()
