@@ -12,3 +12,13 @@ def sections(rows: DataFrame) -> DataFrame:
     part = F.when(~F.col("label").eqNullSafe(F.lit("Figure")), F.struct("reading_order", "pos", F.concat("text", F.lit(" ")).alias("t")))
     grouped = live.groupBy("doc_id", "segment").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     return grouped.select("doc_id", "segment", F.array_join(F.transform("parts", lambda p: p["t"]), "").alias("text"))
+
+
+def append_shapes(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Token rows and shape rows as one table, columns by name; a shape's missing columns are null."""
+    return rows.unionByName(shapes, allowMissingColumns=True)
+
+
+def last_bodies(parts: DataFrame) -> DataFrame:
+    """doc_id, key, body: of parts with equal keys (doc_id, key, pos, body) the last wins."""
+    return parts.groupBy("doc_id", "key").agg(F.max_by("body", "pos").alias("body"))

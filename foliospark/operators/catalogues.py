@@ -38,3 +38,8 @@ def merge(contexts: DataFrame) -> DataFrame:
 def private(defined: DataFrame, base: DataFrame) -> DataFrame:
     """Macros a document defines that no catalogue has, that are no internals and don't call themselves."""
     return defined.join(base, "name", "left_anti").where(~F.col("name").contains("@") & ~F.col("body").contains(F.col("name")))
+
+
+def colorable(uses: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Macro uses (name) whose catalogue entry (name, discard, replacement) is kept and renders as more than blanks."""
+    return uses.join(catalogue.where(~F.col("discard") & F.col("replacement").rlike(r"\S")).select("name"), "name", "left_semi")

@@ -90,3 +90,26 @@ def annotate_shapes(shapes: DataFrame, annotations: DataFrame, offsets: DataFram
 def standardized(annotations: DataFrame, fresh: DataFrame) -> DataFrame:
     """tex replaced where a standardised text of that colour exists."""
     return annotations.join(fresh.withColumnRenamed("tex", "new_tex"), ["doc_id", "color_key"], "left").withColumn("tex", F.coalesce("new_tex", "tex")).drop("new_tex")
+
+
+def paint(rows: DataFrame, colors: DataFrame, black: str = "#000000") -> DataFrame:
+    """Rows with the colour of their label (label, color; a row for each label), black where it has none."""
+    return rows.join(F.broadcast(colors), "label", "left").withColumn("color", F.coalesce("color", F.lit(black)))
+
+
+def colored_text(word: Column, key: Column) -> Column:
+    """TeX that sets a word in the colour #rrggbb."""
+    return F.concat(F.lit(r"{\color[RGB]{"), F.array_join(hex_channels(key), ", "), F.lit("}"), word, F.lit("}"))
+
+
+def batch(annotations: DataFrame) -> DataFrame:
+    r"""doc_id, tex: a \section named by colour for every equation and table, in reading order."""
+    part = F.struct("reading", "color_key", F.concat(F.lit("\\section{"), F.substring("color_key", 2, 6), F.lit("}\n"), F.col("tex"), F.lit("\n")).alias("t"))
+    live = annotations.where(F.col("label").isin("Equation", "Table"))
+    return live.groupBy("doc_id").agg(F.array_sort(F.collect_list(part)).alias("parts")).select("doc_id", F.array_join(F.transform("parts", lambda p: p["t"]), "").alias("tex"))
+
+
+def split_batch(batches: DataFrame) -> DataFrame:
+    r"""doc_id, color_key, tex of every section of a batch."""
+    each = batches.select("doc_id", F.explode(F.regexp_extract_all("tex", F.lit(r"(?s)(\\section\{[0-9a-f]{6}\}\n.*?)(?=\\section\{[0-9a-f]{6}\}\n|\z)"), F.lit(1))).alias("s"))
+    return each.select("doc_id", F.concat(F.lit("#"), F.substring("s", 10, 6)).alias("color_key"), F.regexp_replace(F.expr("substring(s, 18)"), r"\n\z", "").alias("tex"))

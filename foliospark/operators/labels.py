@@ -51,3 +51,9 @@ def by_kind(name: Column, math: Column, parent: Column) -> Column:
 
 def normal_label(label: Column) -> Column:
     return F.coalesce(F.lower(label), F.lit("none"))
+
+
+def skipped(macro: Column, documentclass: Column) -> Column:
+    """Macros whose arguments stay uncoloured in some document classes."""
+    affiliation = (macro == "affiliation") & documentclass.isin("revtex4-2", "elsarticle", "cas-dc")
+    return F.coalesce(affiliation | ((macro == "author") & F.lit("WileyNJD").contains(documentclass)), F.lit(False))

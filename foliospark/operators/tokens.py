@@ -26,3 +26,34 @@ def suppress_repeats(rows: DataFrame) -> DataFrame:
     """tex becomes empty where the row before has the same raw reading order."""
     before = F.lag("raw").over(Window.partitionBy("doc_id").orderBy("pos"))
     return rows.withColumn("tex", F.when(before == F.col("raw"), "").otherwise(F.col("tex")))
+
+
+def section_numbers(rows: DataFrame) -> DataFrame:
+    """section: how many headings (a boolean column) the document has up to the row, itself included."""
+    order = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("section", F.count_if("heading").over(order).cast("int"))
+
+
+def block_numbers(rows: DataFrame) -> DataFrame:
+    """block: the sum of `breaks`, the number of block ends at a row, over all rows up to it."""
+    order = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("block", F.sum(F.coalesce("breaks", F.lit(0))).over(order).cast("int"))
+
+
+def list_numbers(items: DataFrame) -> DataFrame:
+    """mark: an item's indent by level, and its number from 1 in an ordered list, else a star."""
+    number = F.row_number().over(Window.partitionBy("doc_id", "list_no").orderBy("pos"))
+    mark = F.when(F.col("numbered"), F.concat(number.cast("string"), F.lit(". "))).otherwise(F.lit("* "))
+    return items.withColumn("mark", F.concat(F.repeat(F.lit("  "), F.col("level") - 1), mark))
+
+
+def sample_page(rows: DataFrame, seed: int = 0) -> DataFrame:
+    """Rows of one page, picked by a hash of document, page and seed."""
+    name = F.concat_ws(":", "doc_id", "page_no", F.lit(str(seed)))
+    one = rows.select("doc_id", "page_no").distinct().orderBy(F.md5(name.cast("binary")), "doc_id", "page_no").limit(1)
+    return rows.join(F.broadcast(one), ["doc_id", "page_no"], "left_semi")
+
+
+def pages_of(rows: DataFrame) -> DataFrame:
+    """doc_id, pages: the sorted page numbers that a document has rows on."""
+    return rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("page_no")).alias("pages"))

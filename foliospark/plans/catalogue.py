@@ -514,3 +514,148 @@ def file_set_diff(spark, d):
 @query("SELECT * FROM (VALUES (1::BIGINT, 'main', 'main.tex'), (1, 'b.tex', 'b.tex'), (1, 'c', '')) t(doc_id, name, member)")
 def resolve_files(spark, d):
     return archives.resolve(*samples.members(spark))
+
+
+@query(f"WITH {LINES} SELECT doc_id, line_no AS pos, (count(*) FILTER (line LIKE '%.') OVER (PARTITION BY doc_id ORDER BY line_no))::INT AS section FROM lines")
+def section_number(spark, d):
+    rows = tokens.lines(table(spark, d, "documents")).select("doc_id", F.col("line_no").alias("pos"), F.col("line").endswith(".").alias("heading"))
+    return tokens.section_numbers(rows).select("doc_id", "pos", "section")
+
+
+@query(f"WITH {LINES} SELECT doc_id, line_no AS pos, (sum(CASE WHEN line = '' THEN 1 WHEN length(line) % 5 = 0 THEN 2 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no))::INT AS block FROM lines")
+def block_number(spark, d):
+    rows = tokens.lines(table(spark, d, "documents")).select("doc_id", F.col("line_no").alias("pos"), F.when(F.col("line") == "", 1).when(F.length("line") % 5 == 0, 2).alias("breaks"))
+    return tokens.block_numbers(rows).select("doc_id", "pos", "block")
+
+
+@query(f"""WITH {LINES}, i AS (SELECT doc_id, line_no, line_no // 6 AS list_no, length(line) % 3 + 1 AS level, length(line) % 2 = 0 AS numbered FROM lines)
+ SELECT doc_id, line_no AS pos, repeat('  ', (level - 1)::INT) || CASE WHEN numbered THEN row_number() OVER (PARTITION BY doc_id, list_no ORDER BY line_no) || '. ' ELSE '* ' END AS mark FROM i""")
+def list_marks(spark, d):
+    rows = tokens.lines(table(spark, d, "documents")).select("doc_id", F.col("line_no").alias("pos"), F.floor(F.col("line_no") / 6).alias("list_no"), (F.length("line") % 3 + 1).alias("level"), (F.length("line") % 2 == 0).alias("numbered"))
+    return tokens.list_numbers(rows).select("doc_id", "pos", "mark")
+
+
+def _paged(spark, d):
+    return _tokens(spark, d).withColumn("page_no", F.floor(F.col("line_no") / 4))
+
+
+@query(f"""WITH {TOK}, pg AS (SELECT *, line_no // 4 AS page_no FROM tok), one AS (SELECT DISTINCT doc_id, page_no FROM pg ORDER BY md5(doc_id || ':' || page_no || ':7'), doc_id, page_no LIMIT 1)
+ SELECT doc_id, page_no::BIGINT AS page_no, pos, text FROM pg SEMI JOIN one USING (doc_id, page_no)""")
+def page_sample(spark, d):
+    return tokens.sample_page(_paged(spark, d), 7).select("doc_id", "page_no", "pos", "text")
+
+
+@query(f"WITH {TOK}, pg AS (SELECT DISTINCT doc_id, line_no // 4 AS page_no FROM tok) SELECT doc_id, string_agg(page_no::VARCHAR, ',' ORDER BY page_no) AS pages FROM pg GROUP BY 1")
+def pages_per_document(spark, d):
+    return tokens.pages_of(_paged(spark, d)).select("doc_id", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"))
+
+
+@query(f"WITH {TOK} SELECT doc_id, pos, text FROM tok ORDER BY doc_id, pos LIMIT 100")
+def first_rows(spark, d):
+    return _tokens(spark, d).select("doc_id", "pos", "text").orderBy("doc_id", "pos").limit(100)
+
+
+@query("""SELECT conv_id AS doc_id, turn AS pos, text, NULL::VARCHAR AS label, -1::BIGINT AS reading FROM conversations
+ UNION ALL SELECT s.o_orderkey, -1, NULL, a.l, s.o_custkey % 11 + coalesce(o.n, 0) FROM (SELECT * FROM orders WHERE o_orderkey % 5 <> 0) s JOIN (SELECT o_orderkey AS k, o_orderstatus AS l FROM orders WHERE o_orderkey % 3 = 0) a ON a.k = s.o_orderkey
+ LEFT JOIN (SELECT c_custkey AS k, c_custkey % 13 AS n FROM customer) o ON o.k = s.o_orderkey""")
+def shape_rows(spark, d):
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), "text", F.lit(-1).cast("long").alias("reading"))
+    o = table(spark, d, "orders")
+    shapes = o.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("doc_id"), F.lit("c").alias("color_key"))
+    notes = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("doc_id"), F.lit("c").alias("color_key"), F.col("o_orderstatus").alias("label"), (F.col("o_custkey") % 11).alias("reading"))
+    offsets = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), (F.col("c_custkey") % 13).alias("offset"))
+    return assemble.append_shapes(rows, color.annotate_shapes(shapes, notes, offsets).select("doc_id", "label", "reading")).select("doc_id", F.coalesce("pos", F.lit(-1).cast("long")).alias("pos"), "text", "label", "reading")
+
+
+@query("""SELECT o.o_orderkey AS doc_id, o.o_orderstatus AS color_key, coalesce('new ' || p.o_orderpriority, o.o_orderpriority) AS tex FROM orders o LEFT JOIN (SELECT * FROM orders WHERE o_custkey % 4 = 0) p USING (o_orderkey)""")
+def standardized_tex(spark, d):
+    a = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderstatus").alias("color_key"), F.col("o_orderpriority").alias("tex"), "o_custkey")
+    fresh = a.where("o_custkey % 4 = 0").select("doc_id", "color_key", F.concat(F.lit("new "), "tex").alias("tex"))
+    return color.standardized(a.drop("o_custkey"), fresh).select("doc_id", "color_key", "tex")
+
+
+@query("SELECT event_id AS doc_id, event_type AS label, coalesce(CASE event_type WHEN 'click' THEN '#ff0000' WHEN 'view' THEN '#00ff00' END, '#000000') AS color FROM events")
+def label_palette(spark, d):
+    colors = spark.createDataFrame([("click", "#ff0000"), ("view", "#00ff00")], "label string, color string")
+    return color.paint(table(spark, d, "events").select(F.col("event_id").alias("doc_id"), F.col("event_type").alias("label")), colors).select("doc_id", "label", "color")
+
+
+@query("SELECT c_custkey AS id, '{\\color[RGB]{' || (c_custkey * 7919 % 16777216 // 65536) || ', ' || (c_custkey * 7919 % 65536 // 256) || ', ' || (c_custkey * 7919 % 256) || '}' || c_name || '}' AS tex FROM customer")
+def colored_text(spark, d):
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), color.colored_text(F.col("c_name"), color.hex_key(F.col("c_custkey") * 7919 % 16777216)).alias("tex"))
+
+
+_NOTES = "n AS (SELECT l_orderkey AS doc_id, l_linenumber AS reading, printf('#%06x', l_linenumber * 4097) AS color_key, CASE WHEN l_returnflag = 'R' THEN 'Table' WHEN l_returnflag = 'A' THEN 'Equation' ELSE 'Paragraph' END AS label, 'x_' || l_partkey || chr(10) || 'y' AS tex FROM lineitem)"
+
+
+def _notes(spark, d):
+    label = F.when(F.col("l_returnflag") == "R", "Table").when(F.col("l_returnflag") == "A", "Equation").otherwise("Paragraph")
+    tex = F.concat(F.lit("x_"), "l_partkey", F.lit("\ny"))
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("reading"), color.hex_key(F.col("l_linenumber") * 4097).alias("color_key"), label.alias("label"), tex.alias("tex"))
+
+
+@query(f"WITH {_NOTES} SELECT doc_id, string_agg('\\section{{' || color_key[2:] || '}}' || chr(10) || tex || chr(10), '' ORDER BY reading, tex) AS tex FROM n WHERE label <> 'Paragraph' GROUP BY 1")
+def tex_batch(spark, d):
+    return color.batch(_notes(spark, d))
+
+
+@query(f"WITH {_NOTES} SELECT doc_id, color_key, tex FROM n WHERE label <> 'Paragraph'")
+def tex_batch_split(spark, d):
+    return color.split_batch(color.batch(_notes(spark, d)))
+
+
+@query("SELECT conv_id AS doc_id, role AS key, arg_max(text, turn) AS body FROM conversations GROUP BY 1, 2")
+def figure_bodies(spark, d):
+    return assemble.last_bodies(table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("role").alias("key"), F.col("turn").alias("pos"), F.col("text").alias("body")))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_name || p_size AS name, p_type AS body FROM part)
+ SELECT name, body FROM p WHERE name NOT IN (SELECT name FROM p WHERE p_partkey % 3 = 0) AND NOT contains(name, '@') AND NOT contains(body, name)""")
+def private_macros(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.concat("p_name", "p_size").alias("name"), F.col("p_type").alias("body"))
+    return catalogues.private(p.select("name", "body"), p.where("p_partkey % 3 = 0").select("name"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey AS name FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size % 4 <> 0 AND p_size % 3 <> 0)")
+def colorable_macros(spark, d):
+    known = table(spark, d, "part").select(F.col("p_partkey").alias("name"), (F.col("p_size") % 4 == 0).alias("discard"), F.when(F.col("p_size") % 3 == 0, " ").otherwise("r").alias("replacement"))
+    return catalogues.colorable(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("name")), known)
+
+
+_SKIPS = [("affiliation", "elsarticle"), ("affiliation", "article"), ("author", "WileyNJD"), ("author", "NJD"), ("author", "article"), ("author", None)]
+
+
+@query("SELECT * FROM (VALUES ('affiliation', 'elsarticle', true), ('affiliation', 'article', false), ('author', 'WileyNJD', true), ('author', 'NJD', true), ('author', 'article', false), ('author', NULL, false)) t(macro, documentclass, skipped)")
+def skipped_macros(spark, d):
+    return spark.createDataFrame(_SKIPS, "macro string, documentclass string").withColumn("skipped", labels.skipped(F.col("macro"), F.col("documentclass")))
+
+
+@query("SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\\S'))) = 0 AS blank FROM documents")
+def blank_parts(spark, d):
+    return table(spark, d, "documents").select("doc_id", textclean.is_empty(F.split("text", "\n")).alias("blank"))
+
+
+@query("SELECT p_partkey AS id, repeat('=', greatest(length(p_name), length(p_type))::INT) AS rule FROM part")
+def title_rule(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), textclean.title_rule(F.col("p_name"), F.col("p_type")).alias("rule"))
+
+
+@query("SELECT o_orderkey AS id, strftime(o_orderdate, '%B %-d, %Y') AS day FROM orders")
+def long_date(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), textclean.long_date(F.col("o_orderdate")).alias("day"))
+
+
+@query("SELECT page_id, regexp_replace(url, '\\.[^./]*$', '') AS stem FROM pages")
+def cut_extension(spark, d):
+    return table(spark, d, "pages").select("page_id", textclean.cut_extension(F.col("url")).alias("stem"))
+
+
+@query(_values(samples.COMMENTS))
+def strip_comments(spark, d):
+    return samples.inputs(spark, samples.COMMENTS).withColumn("result", textclean.strip_comments(F.col("text")))
+
+
+@query("SELECT page_id, len(list_filter(regexp_extract_all(html, 'class=\"([^\"]*)\"', 1), lambda c: list_has_any(string_split(c, ' '), ['ad', 'footer', 'x']))) AS n FROM pages")
+def elements_of_class(spark, d):
+    wanted = F.array(*[F.lit(c) for c in ("ad", "footer", "x")])
+    return table(spark, d, "pages").select("page_id", F.size(F.filter(html.class_lists(F.col("html")), lambda c: F.arrays_overlap(c, wanted))).cast("long").alias("n"))

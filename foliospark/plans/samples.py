@@ -23,6 +23,7 @@ EXPANSIONS = [
     (r"\newcommand{\x}{}\begin{document}a\x b\end{document}", r"\newcommand{\x}{}\begin{document}a b\end{document}"),
     ("", ""),
 ]
+COMMENTS = [("a % note\n  b", "a b"), (r"50\% of % all", r"50\% of "), ("", ""), ("x%\n%y\nz", "xz")]
 PREAMBLES = [("\\documentclass{a}\n\\usepackage{b}\n\\begin{document}\nx", "\\documentclass{a}\n\\usepackage{b}\n\\begin{document}\n")]
 BIBLIOGRAPHY = [('<ul><li class="ltx_bibitem" id="b1"> A <b>one</b>\n x</li><li>no</li><li class="ltx_bibitem">B</li></ul>', "A one x|B")]
 ARTICLES = [
