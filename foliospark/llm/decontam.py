@@ -122,11 +122,14 @@ def item_blocks(benchmark: DataFrame, shortest: int, size: int):
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 11, shortest: int = 24, block: int = 1 << 22) -> DataFrame:
-    """One row for each document and item that it holds: distance, and where in the normal text."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 11, shortest: int = 24, block: int = 1 << 22, key: str | None = None) -> DataFrame:
+    """One row for each document and item that it holds: distance, and where in the normal text; key: a long column of docs to carry along."""
     spark = docs.sparkSession
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("item_chars", pa.int32())])
-    slim = docs.select(F.col("doc_id").cast("long"), "text")
+    slim = docs.select(F.col("doc_id").cast("long"), "text", *([key] if key else []))
+    match = f"{MATCH}, `{key}` long" if key else MATCH
+    if key:
+        schema = schema.append(pa.field(key, pa.int64()))
     out = None
     for items in item_blocks(benchmark, shortest, block):
         held = spark.sparkContext.broadcast(items)  # at most `block` characters and one item
@@ -136,12 +139,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piec
             sizes = {i: len(t) for i, t, _ in matcher.items}
             for batch in batches:
                 ids, rows = batch.column("doc_id"), []
+                keys = batch.column(key) if key else None
                 for i, text in enumerate(batch.column("text")):
                     for item, distance, start, end in matcher.find(normal(text.as_py())):
-                        rows.append((ids[i].as_py(), item, distance, start, end, sizes[item]))
+                        rows.append((ids[i].as_py(), item, distance, start, end, sizes[item], *([keys[i].as_py()] if key else [])))
                 if rows:
                     yield batch_of(schema, list(zip(*rows, strict=True)))
 
-        part = slim.mapInArrow(scan, MATCH)
+        part = slim.mapInArrow(scan, match)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], MATCH)
+    return out if out is not None else spark.createDataFrame([], match)
