@@ -1,16 +1,19 @@
 """Secret scans: fixed patterns, and dictionary-primed zstandard novelty.
 
-A candidate is a long string of letters, digits and +/_=.- near a word that speaks of secrets. Its
-novelty is the number of bytes by which it makes the compressed text around it longer, with a
+A candidate is a whole string of 16 or more letters, digits and +/_=.-, or a run of key lines that follow
+one another, whose edges are at most `reach` characters from a word that speaks of secrets; it has a letter
+and a digit. Its novelty is the number of bytes by which it makes the compressed text around it longer, with a
 dictionary of code and identifiers primed; text that repeats its surroundings or looks like code
 costs little, a key costs nearly its entropy. Candidates of `least` bytes or more a character are spans
-of kind "novel", next to the spans of the fixed patterns.
+of kind "novel", next to the spans of the fixed patterns; where the whole costs less, its lines and the
+parts between its dots are tried alone.
 
 Defined cases: null and empty texts have no spans; a null id is kept; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import pyarrow as pa
@@ -25,7 +28,14 @@ KINDS = ("assign", "access", "hex", "novel")
 #: Words that every match of ASSIGN has, and more that make a context sensitive.
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 SENSITIVE = re.compile(r"(?ai:passw|secret|token|api_?key|credential|private|bearer|auth|akia)")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-][A-Za-z0-9+/_=.-]{14,}[A-Za-z0-9+/_=-]")
+#: A line, after a candidate's, of key characters alone (line breaks may be written as \\n); a short one is the last of its run.
+KEY_LINE = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*([A-Za-z0-9+/_=-]+)(?=[ \t]*(?:[\r\n\\\"']|\Z))")
+#: What sets a short last line apart from a word.
+TAIL = re.compile(r"[0-9+/=]")
+KEY_LINE_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)?[ \t]*")
+PART = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LETTER, DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 #: Code and identifiers the compressor knows beforehand.
 DICTIONARY = (
     "import os sys json return self None True False def class for while if else elif try except function const let var public private static void int string "
@@ -46,7 +56,21 @@ class Novelty:
         return (len(self.zip.compress(near + text[start:end].encode())) - len(self.zip.compress(near))) / (end - start)
 
 
-def spans(text: str, novelty: Novelty, least: float = 0.45, reach: int = 48) -> list[tuple[str, int, int, float | None]]:
+def candidates(text: str):
+    """(start, end) of every whole candidate string, key lines that follow it included."""
+    at = 0
+    while m := CANDIDATE.search(text, at):
+        a, at = m.span()
+        while line := KEY_LINE.match(text, at):
+            if line.end(1) - line.start(1) < 16:
+                if TAIL.search(line[1]) or text.startswith("-----END", KEY_LINE_BREAK.match(text, line.end()).end()):
+                    at = line.end(1)
+                break
+            at = line.end(1)
+        yield a, at
+
+
+def spans(text: str, novelty: Novelty, least: float = 0.45, reach: int = 64) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, novelty) in code points, by start and kind."""
     out = []
     low = text.lower()
@@ -55,16 +79,22 @@ def spans(text: str, novelty: Novelty, least: float = 0.45, reach: int = 48) ->
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [("hex", m.start(), m.end(), None) for m in HEX.finditer(text)]
-    last = (-1, -1)
-    for word in SENSITIVE.finditer(text) if SENSITIVE.search(low) else ():
-        for m in CANDIDATE.finditer(text, max(0, word.start() - reach), min(len(text), word.end() + reach)):
-            a, b = m.span()
-            while b < len(text) and re.match(r"[A-Za-z0-9+/_=-]", text[b]):  # cut by the reach
-                b += 1
-            if a > last[0] and b > last[1]:
-                last = (a, b)
-                if (cost := novelty(text, a, b)) >= least:
-                    out.append(("novel", a, b, cost))
+    words = [m.span() for m in SENSITIVE.finditer(text)] if SENSITIVE.search(low) else []
+    ends = [e for _, e in words]
+    for a, b in candidates(text) if words else ():
+        near = bisect.bisect_left(ends, a - reach)
+        if near == len(words) or words[near][0] > b + reach:
+            continue
+        parts = [m.span() for m in PART.finditer(text, a, b)]
+        host = text[max(0, a - 1) : a] == "@" and "." in text[a:b]  # of a mail address: only its parts can be keys
+        tried = parts if host else [(a, b)]
+        for x, y in tried:
+            if not (LETTER.search(text, x, y) and DIGIT.search(text, x, y)):
+                continue
+            if (cost := novelty(text, x, y)) >= least:
+                out.append(("novel", x, y, cost))
+            elif (x, y) == (a, b):
+                tried += [p for p in parts if p != (a, b)]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -73,7 +103,7 @@ FOUND, COUNT = "__secret_spans", "__secrets"
 SPANS = "array<struct<kind: string, start: int, end: int, novelty: double>>"
 
 
-def scan_secrets(docs: DataFrame, least: float = 0.45, reach: int = 48, column: str = "spans") -> DataFrame:
+def scan_secrets(docs: DataFrame, least: float = 0.45, reach: int = 64, column: str = "spans") -> DataFrame:
     """docs with a column (in the place of one of that name) of all secrets found in the text."""
     docs = docs.drop(column)
     names = docs.columns
