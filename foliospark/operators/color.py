@@ -67,12 +67,20 @@ def allocate(items: DataFrame, colors: DataFrame, existing: DataFrame) -> DataFr
 
     A colour's rank among the unused ones is its order less the used ones before it, so only used
     colours are sorted within a document and the palette is never repeated for each document.
+    An item for which no colour is left fails the query.
     """
     used = existing.join(colors, "color").select("doc_id", "ord").distinct()
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord")) - 1
     gaps = used.withColumn("free", F.col("ord") - rank).groupBy("doc_id").agg(F.sort_array(F.collect_list("free")).alias("free"))
     at = items.join(gaps, "doc_id", "left").withColumn("ord", F.col("n") + F.coalesce(F.size(F.filter("free", lambda f: f <= F.col("n"))), F.lit(0)))
-    return at.join(colors, "ord").select("doc_id", "n", "color")
+    given = F.coalesce("color", F.raise_error(F.concat(F.lit("no colour left for item "), F.col("n").cast("string"))).cast(colors.schema["color"].dataType))
+    return at.join(colors, "ord", "left").select("doc_id", "n", given.alias("color"))
+
+
+def needed(items: DataFrame, existing: DataFrame) -> int:
+    """The colours that a palette must have for every document's items, whichever of them are used already."""
+    most = lambda df: df.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    return most(items) + most(existing.select("doc_id", "color").distinct())
 
 
 def annotate(tokens: DataFrame, annotations: DataFrame, existing: DataFrame) -> DataFrame:

@@ -129,7 +129,7 @@ def existing_color_anti(spark, d):
     o = table(spark, d, "orders")
     items = o.select(F.col("o_custkey").alias("doc_id"), (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("long").alias("n"))
     used = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") % 23 * 17).alias("color")).distinct()
-    colors = spark.range(4000).select(F.col("id").alias("ord"), (F.col("id") * 17).alias("color"))
+    colors = spark.range(color.needed(o.select(F.col("o_custkey").alias("doc_id")), used)).select(F.col("id").alias("ord"), (F.col("id") * 17).alias("color"))
     return color.allocate(items, colors, used)
 
 
