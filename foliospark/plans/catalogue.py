@@ -135,7 +135,7 @@ def existing_color_anti(spark, d):
 
 @query()
 def palette(spark, d):
-    return color.palette(spark, 30, range(256, 236, -1)).orderBy("ord")
+    return color.palette(spark).orderBy("ord")
 
 
 @query(f"WITH {LAB} SELECT doc_id, pos, CASE WHEN lag(raw // 2) OVER (PARTITION BY doc_id ORDER BY pos) = raw // 2 THEN '' ELSE text END AS tex FROM rows_")

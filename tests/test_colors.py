@@ -1,4 +1,6 @@
-"""Palettes as large as the data needs."""
+"""Palettes as large as the data needs, and the small palette apart."""
+
+import colorsys
 
 import pytest
 
@@ -22,3 +24,23 @@ def test_exhausted_palette_fails(spark):
     assert sorted(r["color"] for r in color.allocate(items, colors(color.needed(items, used)), used).collect()) == [17, 34, 51, 68]
     with pytest.raises(Exception, match="no colour left"):
         color.allocate(items, colors(4), used).collect()
+
+
+def rainbow(hues, levels):
+    order = [i for first in range(5) for i in range(first, hues, 5)]
+    rows = {}
+    for h in order:
+        for s in levels:
+            for v in levels:
+                r, g, b = (min(255, int(x * 255)) for x in colorsys.hsv_to_rgb(h / hues, s / 256, v / 256))
+                rows.setdefault(r * 65536 + g * 256 + b, len(rows))
+    return list(rows)
+
+
+def test_small_palette(spark):
+    got = [r["color"] for r in color.palette(spark, 30, range(256, 236, -1)).orderBy("ord").collect()]
+    assert got == rainbow(30, range(256, 236, -1))
+
+
+def test_registered_palette_is_whole(spark):
+    assert catalogue.palette(spark, "").count() == 9188930
