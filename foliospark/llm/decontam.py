@@ -5,8 +5,8 @@ one of them must occur unchanged. Pieces are found with an Aho-Corasick automato
 (lower case, blanks collapsed), and the text around each hit is verified with Myers' bit-parallel edit
 distance. Items go to the executors in blocks of bounded size, each against all documents.
 
-Defined cases: null and empty texts match nothing; items without text or shorter than `shortest`
-characters are left out; repeated items and rows are matched each; a null id is kept; extra columns
+Defined cases: null and empty texts match nothing; items without text are left out; items shorter than
+`shortest` characters match without edits and as whole words only; repeated items and rows are matched each; a null id is kept; extra columns
 are ignored.
 """
 
@@ -64,8 +64,9 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, str]], rate: float, piece: int):
-        self.items = [(i, t, budget(len(t), rate, piece)) for i, t in items]
+    def __init__(self, items: list[tuple[int, str]], rate: float, piece: int, shortest: int = 0):
+        self.shortest = shortest
+        self.items = [(i, t, budget(len(t), rate, piece) if len(t) >= shortest else 0) for i, t in items]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, k) in enumerate(self.items):
             for at, part in cut(text, k):
@@ -76,6 +77,12 @@ class Matcher:
         if pieces:
             self.automaton.make_automaton()
 
+    @staticmethod
+    def whole(text: str, a: int, b: int) -> bool:
+        """No word of the text goes on over an edge of text[a:b]."""
+        cut = lambda p: 0 < p < len(text) and text[p - 1].isalnum() and text[p].isalnum()
+        return not cut(a) and not cut(b)
+
     def find(self, text: str):
         """(item, distance, start, end) of the best occurrence of each item."""
         if not self.items or not text:
@@ -86,6 +93,11 @@ class Matcher:
                 begins.setdefault(n, set()).add(end + 1 - size - at)
         for n, places in begins.items():
             item, pattern, k = self.items[n]
+            if len(pattern) < self.shortest:
+                whole = [p for p in places if self.whole(text, p, p + len(pattern))]
+                if whole:
+                    yield item, 0, min(whole), min(whole) + len(pattern)
+                continue
             best = None
             stretches: list[list[int]] = []
             for p in sorted(places):
@@ -107,12 +119,12 @@ class Matcher:
                 yield item, *best
 
 
-def item_blocks(benchmark: DataFrame, shortest: int, size: int):
+def item_blocks(benchmark: DataFrame, size: int):
     """Items in blocks of about `size` characters, fetched block by block."""
     block, held = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL").toLocalIterator():
         text = normal(row["text"])
-        if len(text) >= shortest:
+        if text:
             block.append((row["item_id"], text))
             held += len(text)
             if held >= size:
@@ -131,11 +143,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piec
     if key:
         schema = schema.append(pa.field(key, pa.int64()))
     out = None
-    for items in item_blocks(benchmark, shortest, block):
+    for items in item_blocks(benchmark, block):
         held = spark.sparkContext.broadcast(items)  # at most `block` characters and one item
 
         def scan(batches, held=held):
-            matcher = Matcher(held.value, rate, piece)
+            matcher = Matcher(held.value, rate, piece, shortest)
             sizes = {i: len(t) for i, t, _ in matcher.items}
             for batch in batches:
                 ids, rows = batch.column("doc_id"), []
