@@ -60,7 +60,7 @@ def training(docs: DataFrame, sample: int) -> DataFrame:
             rows += [(text, float(i + 1))] * 4
             rows += [(x, float(i + 1)) for x in (f"{text} " + "and the of in", f"here and there {text}", " ".join(part[: max(4, len(part) * 2 // 3)]))]
     known = spark.createDataFrame(rows, "line string, label double")
-    other = paragraphs(docs).where(~F.lower("line").rlike(NOTICE)).select(F.substring("line", 1, 400).alias("line"))
+    other = paragraphs(docs).where(~F.lower("line").rlike(NOTICE)).select("line")
     other = other.withColumn("h", F.xxhash64("line")).orderBy("h", "line").limit(sample).select("line", F.lit(0.0).alias("label"))
     return known.unionByName(other)
 
