@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
 import uuid
 
@@ -17,9 +17,11 @@ BLOCK_BYTES = 1 << 19
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name under spark.checkpoint.dir; a temporary folder only where that is unset."""
+    """A new folder name under spark.checkpoint.dir; where that is unset, a temporary folder, in local mode only."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = tempfile.gettempdir() + "/checkpoints"
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/llm-{uuid.uuid4().hex}"
@@ -33,24 +35,13 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_durable(*tables: DataFrame) -> None:
-    """Delete the files behind durable() tables that nothing reads any more, and let Spark's cleaner see dead shuffles."""
+def drop(*tables: DataFrame) -> None:
+    """Delete the files behind tables that nothing reads any more."""
     for df in tables:
-        _drop(df)
-    release(tables[0].sparkSession)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner see the shuffles of queries that are over, so that their files go."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def _drop(df: DataFrame) -> None:
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -3,13 +3,18 @@
 A window is W consecutive units. Its anchor is the gram of K units with the least hash in it, the
 leftmost at a tie: a function of the window's content alone, so equal windows have equal anchors at
 equal places. The windows of a document that share one anchor follow each other; such a stretch is
-an occurrence. Its class is a hash of all units that its windows cover and of the anchor's place.
+an occurrence. Its class is the 128-bit BLAKE2b digest of the very words or bytes that its windows cover.
 Occurrences of one class hold the same windows; a window can be equal to another only below the
 same anchor hash. Comparing anchors and classes first leaves few windows to compare one by one.
+
+The rolling hash is only for finding candidates: equal units always have equal hashes, and different
+ones with equal hashes (which chosen input can bring about) make more to compare, never a hit.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -74,11 +79,23 @@ def word_bounds(data: np.ndarray, off: np.ndarray, separator: np.ndarray) -> tup
     return first, end, np.searchsorted(first, off)
 
 
+def stretches(first: np.ndarray, end: np.ndarray, limit: int = 1 << 20):
+    """Ranges of words that hold about limit bytes together."""
+    a = 0
+    while a < len(first):
+        b = max(a + 1, int(np.searchsorted(end, first[a] + limit, "right")))
+        yield a, b
+        a = b
+
+
 def word_units(data: np.ndarray, first: np.ndarray, end: np.ndarray, table: np.ndarray = BYTE_UNIT) -> np.ndarray:
     """A 64-bit hash of each word."""
-    if not len(first):
-        return np.zeros(0, U)
-    return mix(span(prefix(table[data]), first, end) + (end - first).astype(U) * U(0xD6E8FEB86659FD93))
+    out = np.zeros(len(first), U)
+    for a, b in stretches(first, end):
+        base = first[a]
+        sums = prefix(table[data[base : end[b - 1]]])
+        out[a:b] = mix(span(sums, first[a:b] - base, end[a:b] - base) + (end[a:b] - first[a:b]).astype(U) * U(0xD6E8FEB86659FD93))
+    return out
 
 
 #: Space and the bytes 9 to 13 part words.
@@ -96,17 +113,36 @@ def pieces(off: np.ndarray, window: int):
         yield row, a, b
 
 
+def digests(data, first: list[int], end: list[int]) -> np.ndarray:
+    """BLAKE2b digests of 128 bits of data[first:end], as two columns of 64-bit numbers."""
+    data, new = memoryview(data), hashlib.blake2b
+    return np.frombuffer(b"".join([new(data[a:b], digest_size=16).digest() for a, b in zip(first, end, strict=True)]), np.int64).reshape(-1, 2)
+
+
+def joined(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words data[first:end] with one blank after each, and where each begins in that (and the end of all)."""
+    start = np.append(0, np.cumsum(end - first + 1))
+    out = np.full(start[-1], 32, np.uint8)
+    for a, b in stretches(first, end):
+        size = end[a:b] - first[a:b]
+        word = np.repeat(np.arange(a, b), size)
+        step = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+        out[start[word] + step] = data[first[word] + step]
+    return out, start
+
+
 def occurrences(units: np.ndarray, off: np.ndarray, window: int, gram: int):
-    """Anchor occurrences of each row: row, first window's start in its row, number of windows, anchor hash, class."""
+    """Anchor occurrences of each row: row, first window's start in its row, number of windows, anchor hash, anchor's start in its row."""
     if len(off) > 1 and int(np.diff(off).max(initial=0)) > PIECE:
         parts = []
         for row, a, b in pieces(off, window):
-            r, lo, n, g, c = occurrences(units[a:b], np.array([0, b - a]), window, gram)
-            parts.append((r + row, lo + (a - int(off[row])), n, g, c))
+            r, lo, n, g, p = occurrences(units[a:b], np.array([0, b - a]), window, gram)
+            at = a - int(off[row])
+            parts.append((r + row, lo + at, n, g, p + at))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     n = len(units)
     if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64)
     sums = prefix(units)
     _, inverse = _need(n)
     grams = mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
@@ -119,16 +155,8 @@ def occurrences(units: np.ndarray, off: np.ndarray, window: int, gram: int):
     at = np.flatnonzero(fresh)
     count = np.diff(np.append(at, len(anchor)))
     lo, anchor = start[at], anchor[at]
-    shape = (anchor - lo).astype(U) | count.astype(U) << U(32)
-    return row[lo], lo - off[row[lo]], count, grams[anchor], mix(span(sums, lo, lo + count - 1 + window) ^ mix(shape))
-
-
-def window_hashes(units: np.ndarray, window: int) -> np.ndarray:
-    """A hash of each window, by its start."""
-    if len(units) < window:
-        return np.zeros(0, U)
-    sums = prefix(units)
-    return mix((sums[window:] - sums[:-window]) * _need(len(units))[1][: len(units) - window + 1] + U(window))
+    begin = off[row[lo]]
+    return row[lo], lo - begin, count, grams[anchor], anchor - begin
 
 
 def covered(n: int, lo, count, window: int) -> np.ndarray:

@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import shutil
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from foliospark.llm import simhash, substring, suffix
+from foliospark.llm import simhash, substring, suffix, textlog
 from foliospark.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, g long, rid string"
@@ -82,12 +84,52 @@ def removed_bytes(rows, window):
 def test_bytes(spark, crowd):
     rows = [*corpus(5), (2000, "ab" * 300), (2001, "q" * 199), (2002, "r" * 200), (2003, "r" * 200)]
     df = frame(spark, rows)
-    index = suffix.SuffixIndex(200, 48, crowd)
+    index = suffix.SuffixIndex(spark, 200, 48, crowd)
     for batch in substring.by_id(df, 3):
         index.add(batch)
-    got = suffix.digest(index.clean(df)).collect()
+    got = suffix.digest(index.clean()).collect()
     assert Counter(tuple(r) for r in got) == removed_bytes(rows, 200)
-    assert len(index.levels) == 2 and index.levels[0][0] == 1
+    assert [level.rank for level in index.levels] == [1, 0]
+
+
+def thue_morse(n, flip):
+    return "".join("ab"[(i.bit_count() + flip) % 2] for i in range(n))
+
+
+def test_structured_texts(spark):
+    """Words that a polynomial hash modulo 2^64 can't tell apart: no window is shared, nothing goes."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([*words[:20], thue_morse(1024, 0), *words[20:]])), (2, " ".join([*words[:20], thue_morse(1024, 1), *words[20:]]))]
+    rows += [(3, thue_morse(4096, 0)), (4, thue_morse(3000, 1))]
+    df = frame(spark, rows)
+    assert Counter(tuple(r) for r in substring.digest(substring.dedup_substrings(df)).collect()) == removed_words(rows, 50)
+    assert Counter(tuple(r) for r in suffix.digest(suffix.dedup_bytes(df)).collect()) == removed_bytes(rows, 200)
+
+
+def test_index_outlives_its_texts(spark, tmp_path):
+    """Batches are cleaned against earlier ones whose tables are gone, after save() and load() too."""
+    rows = sorted(corpus(11), key=lambda r: (r[0] is None, r[0] or 0))
+    index, got = substring.WindowIndex(spark, path=str(tmp_path / "index")), []
+    for k in range(3):
+        part = rows[k * len(rows) // 3 : (k + 1) * len(rows) // 3]
+        folder = str(tmp_path / f"batch{k}")
+        frame(spark, part).write.parquet(folder)
+        got += substring.digest(index.dedup(spark.read.parquet(folder))).collect()
+        shutil.rmtree(folder)
+        index = substring.WindowIndex.load(spark, index.save())
+    assert [run.rank for run in index.runs] == [1, 0]
+    assert Counter(tuple(r) for r in got) == removed_words(rows, 50)
+
+
+def test_blocks_lie_in_their_bucket(spark):
+    keys = np.array([0, 1, -5, 1 << 40, 123456789012345], np.int64)
+    assert [r[0] for r in spark.createDataFrame([(int(k),) for k in keys], "k long").selectExpr("hash(k)").collect()] == textlog.spark_hash(keys).tolist()
+    texts = textlog.store(frame(spark, corpus()), 3)
+    other = texts.select("blk").withColumnRenamed("blk", "b").hint("shuffle_hash")
+    joined = texts.join(other.repartition(7), F.expr("blk = b"))
+    assert joined.count() == texts.count() and texts.selectExpr("sum(size(ids))").first()[0] == len(corpus())
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1  # of the other side alone
 
 
 def test_empty(spark):
