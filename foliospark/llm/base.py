@@ -44,6 +44,14 @@ def drop(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have, whatever the case of letters."""
+    have = {c.lower() for c in docs.columns}
+    while name in have:
+        name = "_" + name
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -84,7 +84,7 @@ class Matcher:
         return not cut(a) and not cut(b)
 
     def find(self, text: str):
-        """(item, distance, start, end) of the best occurrence of each item."""
+        """(item, distance, start, end, characters) of the best occurrence of each item."""
         if not self.items or not text:
             return
         begins: dict[int, set[int]] = {}
@@ -96,7 +96,7 @@ class Matcher:
             if len(pattern) < self.shortest:
                 whole = [p for p in places if self.whole(text, p, p + len(pattern))]
                 if whole:
-                    yield item, 0, min(whole), min(whole) + len(pattern)
+                    yield item, 0, min(whole), min(whole) + len(pattern), len(pattern)
                 continue
             best = None
             stretches: list[list[int]] = []
@@ -116,7 +116,7 @@ class Matcher:
                     _, back = myers(pattern[::-1], text[a : a + end][::-1])
                     best = (distance, a + end - back, a + end)
             if best:
-                yield item, *best
+                yield item, *best, len(pattern)
 
 
 def item_blocks(benchmark: DataFrame, size: int):
@@ -134,30 +134,40 @@ def item_blocks(benchmark: DataFrame, size: int):
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 11, shortest: int = 24, block: int = 1 << 22, key: str | None = None) -> DataFrame:
-    """One row for each document and item that it holds: distance, and where in the normal text; key: a long column of docs to carry along."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 11, shortest: int = 24, block: int = 1 << 22) -> DataFrame:
+    """One row for each document and item that it holds: distance, and where in the normal text."""
     spark = docs.sparkSession
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("item_chars", pa.int32())])
-    slim = docs.select(F.col("doc_id").cast("long"), "text", *([key] if key else []))
-    match = f"{MATCH}, `{key}` long" if key else MATCH
-    if key:
-        schema = schema.append(pa.field(key, pa.int64()))
+    slim = docs.select(F.col("doc_id").cast("long"), "text")
     out = None
     for items in item_blocks(benchmark, block):
         held = spark.sparkContext.broadcast(items)  # at most `block` characters and one item
 
         def scan(batches, held=held):
             matcher = Matcher(held.value, rate, piece, shortest)
-            sizes = {i: len(t) for i, t, _ in matcher.items}
             for batch in batches:
                 ids, rows = batch.column("doc_id"), []
-                keys = batch.column(key) if key else None
                 for i, text in enumerate(batch.column("text")):
-                    for item, distance, start, end in matcher.find(normal(text.as_py())):
-                        rows.append((ids[i].as_py(), item, distance, start, end, sizes[item], *([keys[i].as_py()] if key else [])))
+                    for found in matcher.find(normal(text.as_py())):
+                        rows.append((ids[i].as_py(), *found))
                 if rows:
                     yield batch_of(schema, list(zip(*rows, strict=True)))
 
-        part = slim.mapInArrow(scan, match)
+        part = slim.mapInArrow(scan, MATCH)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], match)
+    return out if out is not None else spark.createDataFrame([], MATCH)
+
+
+def without(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 11, shortest: int = 24, block: int = 1 << 22) -> DataFrame:
+    """The rows of docs, whatever their ids, that hold no item; each row is judged where it is, without a shuffle."""
+    for items in item_blocks(benchmark, block):
+        held = docs.sparkSession.sparkContext.broadcast(items)  # at most `block` characters and one item
+
+        def scan(batches, held=held):
+            matcher = Matcher(held.value, rate, piece, shortest)
+            for batch in batches:
+                clean = [next(matcher.find(normal(text.as_py())), None) is None for text in batch.column("text")]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(scan, docs.schema)
+    return docs

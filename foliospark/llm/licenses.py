@@ -1,24 +1,25 @@
 """License scans by a trained paragraph classifier, in DataFrame operations only.
 
-Paragraphs are lines. A multinomial logistic regression over sparse word 1- to 3-grams is trained on the
-templates below (whole, halved and within other words) as the licence families and on a bounded sample of
-the corpus's own lines without licence words as the unknown class. A licence paragraph must hold a mark, a
-template word that isn't one of the plain words below: lines without one are left out before scoring.
-A prediction counts if its probability reaches the calibrated cut (midway between the least certain
-template and the most certain unknown line) and the line shares half the template's or its own words.
-
-Defined cases: null and empty texts have no paragraphs; repeated paragraphs give a row each; a null id
-is kept; extra columns are ignored.
+A paragraph is a line, or two lines that follow each other and are both short enough (`wrap` characters) to be one
+wrapped notice; such a pair counts only where neither of its lines does. A multinomial logistic regression over
+sparse word 1- to 3-grams is trained on the templates below (whole, cut and within other words) as the licence
+families and on a bounded sample of the corpus's own lines without licence words as the unknown class. Every
+paragraph is scored where it is, without a shuffle. A prediction counts if its probability reaches a cut,
+calibrated on other variants and other lines than those the model has learnt from (the cut with the best F1, in the
+middle of its gap), and if the paragraph shares half the template's or its own words.
+
+Defined cases: null and empty texts have no paragraphs; repeated paragraphs, rows of one id and rows without an id
+are judged each for itself and give a row each; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Short notices of common licence families.
 TEMPLATES = {
@@ -40,68 +41,83 @@ def words(line: Column) -> Column:
 
 
 def grams(w: Column) -> Column:
-    """Distinct word 1-, 2- and 3-grams."""
+    """Word 1-, 2- and 3-grams."""
     pair = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
     triple = F.zip_with(pair, F.slice(w, 3, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.filter(F.concat(w, pair, triple), lambda g: g.isNotNull()))
+    return F.filter(F.concat(w, pair, triple), lambda g: g.isNotNull())
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
+def lines(docs: DataFrame) -> DataFrame:
     """doc_id, paragraph (0-based line), line: lines with a letter."""
     return docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "line")).where(F.col("line").rlike(r"\p{L}"))
 
 
+def paragraphs(docs: DataFrame, wrap: int = 160) -> DataFrame:
+    """row (of docs), doc_id, paragraph (its first line, from 0), n_lines (1 or 2), line (its text): all paragraphs with a letter."""
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.split(F.coalesce("text", F.lit("")), "\n").alias("l"))
+    short = lambda x: (F.length(x) <= wrap) & x.rlike(r"\p{L}")
+    unit = lambda i, n, x: F.struct(i.cast("int").alias("paragraph"), F.lit(n).alias("n_lines"), x.alias("line"))
+    single = F.transform("l", lambda x, i: unit(i, 1, x))
+    both = F.zip_with("l", F.slice("l", 2, F.size("l")), lambda a, b: F.when(short(a) & short(b), F.concat(a, F.lit(" "), b)))
+    pairs = F.filter(F.transform(both, lambda x, i: unit(i, 2, x)), lambda u: u["line"].isNotNull())
+    found = own.select("row", "doc_id", F.explode(F.concat(single, pairs)).alias("u")).select("row", "doc_id", "u.*")
+    return found.where(F.col("line").rlike(r"\p{L}"))
+
+
+def variants(text: str) -> tuple[list[str], list[str]]:
+    """Forms of a template to learn from, and others to calibrate on."""
+    part = text.split()
+    most, half = max(4, len(part) * 2 // 3), max(4, len(part) * 3 // 4)
+    return [text] * 4 + [f"{text} and the of in", f"here and there {text}", " ".join(part[:most])], [f"note {text}", f"{text} please see the file", " ".join(part[-half:]), " ".join(part[:half])]
+
+
 def training(docs: DataFrame, sample: int) -> DataFrame:
-    spark = docs.sparkSession
+    """line, label (0: unknown), held (to calibrate on)."""
     rows = []
     for i, family in enumerate(FAMILIES):
         for text in TEMPLATES[family]:
-            part = text.split()
-            rows += [(text, float(i + 1))] * 4
-            rows += [(x, float(i + 1)) for x in (f"{text} " + "and the of in", f"here and there {text}", " ".join(part[: max(4, len(part) * 2 // 3)]))]
-    known = spark.createDataFrame(rows, "line string, label double")
-    other = paragraphs(docs).where(~F.lower("line").rlike(NOTICE)).select("line")
-    other = other.withColumn("h", F.xxhash64("line")).orderBy("h", "line").limit(sample).select("line", F.lit(0.0).alias("label"))
-    return known.unionByName(other)
-
-
-def fit(docs: DataFrame, sample: int = 1500):
-    """(vocabulary, weights by gram, intercepts, cut)."""
+            learn, held = variants(text)
+            rows += [(x, float(i + 1), False) for x in learn] + [(x, float(i + 1), True) for x in held]
+    known = docs.sparkSession.createDataFrame(rows, "line string, label double, held boolean")
+    other = lines(docs).where(~F.lower("line").rlike(NOTICE)).select("line")
+    other = other.withColumn("h", F.xxhash64("line")).orderBy("h", "line").limit(sample)
+    return known.unionByName(other.select("line", F.lit(0.0).alias("label"), (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(3)) == 0).alias("held")))
+
+
+def best_cut(scored: list[tuple[float, bool]]) -> float:
+    """The cut with the best F1 for (probability, is a licence), in the middle of its gap."""
+    scored = sorted(scored, reverse=True)
+    good = sum(k for _, k in scored)
+    best, cut, hits = -1.0, 0.5, 0
+    for n, (p, known) in enumerate(scored, 1):
+        hits += known
+        below = scored[n][0] if n < len(scored) else 0.0
+        if below < p and 2 * hits / (n + good) > best:
+            best, cut = 2 * hits / (n + good), (p + below) / 2
+    return cut
+
+
+def fit(docs: DataFrame, sample: int = 2000):
+    """(counts of grams, classifier, cut): two models of Spark ML and a probability."""
     spark = docs.sparkSession
-    rows = training(docs, sample).select("label", grams(words(F.col("line"))).alias("grams"))
+    rows = training(docs, sample).select("label", "held", grams(words(F.col("line"))).alias("grams"))
     templates = spark.createDataFrame([(t,) for f in FAMILIES for t in TEMPLATES[f]], "line string").select(grams(words(F.col("line"))).alias("grams"))
     counts = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=4096).fit(templates)
-    data = counts.transform(rows).select("label", "features").coalesce(1).cache()
-    model = LogisticRegression(maxIter=60, regParam=0.002, family="multinomial").fit(data)
-    scored = model.transform(data)
+    data = counts.transform(rows).select("label", "held", "features").coalesce(1).cache()
+    model = LogisticRegression(maxIter=60, regParam=0.002, family="multinomial").fit(data.where("NOT held"))
     p = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
-    cut = scored.agg(F.min(F.when(F.col("label") > 0, p)).alias("low"), F.max(F.when(F.col("label") == 0, p)).alias("high")).first()
+    held = model.transform(data.where("held")).select(p, F.col("label") > 0).collect()  # bounded by the sample
     data.unpersist()
-    weights = np.asarray(model.coefficientMatrix.toArray())
-    middle = max(0.3, min(0.9, ((cut["low"] or 0.5) + (cut["high"] or 0.1)) / 2))
-    return counts.vocabulary, weights.T.tolist(), [float(x) for x in model.interceptVector], middle
-
-
-def scan_licenses(docs: DataFrame, sample: int = 1500, overlap: float = 0.5) -> DataFrame:
-    """doc_id, paragraph, family, probability, overlap: one row for each licence paragraph."""
-    spark: SparkSession = docs.sparkSession
-    vocabulary, weights, intercepts, cut = fit(docs, sample)
-    # the model has at most 4096 grams: bounded, so it may be broadcast
-    table = F.broadcast(spark.createDataFrame(list(zip(vocabulary, weights, strict=True)), "gram string, w array<double>"))
-    k = len(intercepts)
-    # words too common to be a mark; a line of these alone is no licence paragraph, whatever it shares with a template
-    plain = {"the", "of", "and", "in", "is", "to", "a", "any", "be", "by", "or", "on", "for", "this", "it", "as", "an", "you", "with", "not", "are", "under", "use", "may", "can", "all"}
-    marks = sorted({w for f in FAMILIES for t in TEMPLATES[f] for w in _plain_words(t)} - plain)
-    lines = paragraphs(docs).where(F.lower("line").rlike(r"(?<![\p{L}\p{N}])(" + "|".join(marks) + r")(?![\p{L}\p{N}])"))
-    lines = lines.withColumn("words", words(F.col("line")))
-    hits = lines.select("doc_id", "paragraph", "words", F.explode(grams(F.col("words"))).alias("gram")).join(table, "gram")
-    sums = hits.groupBy("doc_id", "paragraph", F.array_distinct("words").alias("words")).agg(*[F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)])
-    z = [F.col(f"z{i}") + F.lit(intercepts[i]) for i in range(k)]
-    top = F.greatest(*z)
-    total = sum((F.exp(x - top) for x in z[1:]), F.exp(z[0] - top))
-    best = F.greatest(*z[1:])
-    family = F.coalesce(*[F.when(z[i + 1] == best, F.lit(f)) for i, f in enumerate(FAMILIES)])
-    scored = sums.select("doc_id", "paragraph", "words", family.alias("family"), (F.exp(best - top) / total).alias("probability")).where(F.col("probability") >= cut)
+    return counts, model, best_cut([(r[0], r[1]) for r in held])
+
+
+def scan_licenses(docs: DataFrame, sample: int = 2000, overlap: float = 0.5, wrap: int = 160) -> DataFrame:
+    """doc_id, paragraph, n_lines, family, probability, overlap: one row for each licence paragraph."""
+    counts, model, cut = fit(docs, sample)
+    scored = model.transform(counts.transform(paragraphs(docs, wrap).withColumn("words", words(F.col("line"))).withColumn("grams", grams(F.col("words")))))
+    p = F.slice(vector_to_array("probability"), 2, len(FAMILIES))
+    scored = scored.select("row", "doc_id", "paragraph", "n_lines", F.array_distinct("words").alias("words"), F.array_max(p).alias("probability"), F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), F.array_position(p, F.array_max(p)).cast("int")).alias("family"))
+    scored = scored.where(F.col("probability") >= cut)
     own = F.lit(0.0)
     for f in FAMILIES:
         shares = []
@@ -110,11 +126,17 @@ def scan_licenses(docs: DataFrame, sample: int = 1500, overlap: float = 0.5) ->
             shared = F.size(F.array_intersect("words", tw))
             shares.append(F.greatest(shared / F.size(tw), F.when(shared >= 4, shared / F.size("words")).otherwise(0.0)))
         own = F.when(F.col("family") == f, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(own)
-    return scored.withColumn("overlap", F.round(own, 4)).where(F.col("overlap") >= overlap).select("doc_id", "paragraph", "family", F.round("probability", 4).alias("probability"), "overlap")
+    hits = scored.withColumn("overlap", F.round(own, 4)).where(F.col("overlap") >= overlap)
+    # a pair of lines counts where neither line does by itself, and no pair before it has its first line
+    at = Window.partitionBy("row").orderBy("paragraph")
+    near = F.max(F.when(F.col("n_lines") == 1, 1)).over(at.rangeBetween(0, 1)).isNotNull()
+    earlier = F.max(F.when(F.col("n_lines") == 2, 1)).over(at.rangeBetween(-1, -1)).isNotNull()
+    kept = hits.withColumn("hidden", (F.col("n_lines") == 2) & (near | earlier)).where("NOT hidden")
+    return kept.select("doc_id", "paragraph", "n_lines", "family", F.round("probability", 4).alias("probability"), "overlap")
 
 
 def _plain_words(text: str) -> list[str]:
     return [w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split() if w]
 
 
-__all__ = ["FAMILIES", "TEMPLATES", "fit", "grams", "paragraphs", "scan_licenses", "words"]
+__all__ = ["FAMILIES", "TEMPLATES", "fit", "grams", "lines", "paragraphs", "scan_licenses", "words"]

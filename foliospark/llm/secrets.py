@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import free
+
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
@@ -98,8 +100,6 @@ def spans(text: str, novelty: Novelty, least: float = 0.45, reach: int = 64) ->
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-#: Columns that redact() adds: spans in between, and their number.
-FOUND, COUNT = "__secret_spans", "__secrets"
 SPANS = "array<struct<kind: string, start: int, end: int, novelty: double>>"
 
 
@@ -119,16 +119,18 @@ def scan_secrets(docs: DataFrame, least: float = 0.45, reach: int = 64, column:
     return docs.mapInArrow(scan, schema)
 
 
-def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with every stretch that spans cover replaced by a mark, and their number in COUNT; other texts stay as they are."""
-    names = docs.columns
-    mark_rows = scan_secrets(docs, column=FOUND)
-    schema = docs.withColumn(COUNT, F.lit(0)).schema
+def redact(docs: DataFrame, mark: str = "[secret]", count: str = "secrets") -> DataFrame:
+    """docs with every stretch that spans cover replaced by a mark, and their number in a column (in the place of one of that
+    name); other texts stay as they are."""
+    docs = docs.drop(count)
+    names, spans_in = docs.columns, free(docs, "spans")
+    mark_rows = scan_secrets(docs, column=spans_in)
+    schema = docs.withColumn(count, F.lit(0)).schema
 
     def cut(batches):
         for batch in batches:
             texts, counts = batch.column("text").to_pylist(), []
-            for i, found in enumerate(batch.column(FOUND).to_pylist()):
+            for i, found in enumerate(batch.column(spans_in).to_pylist()):
                 counts.append(len(found))
                 if found:
                     parts, at, text = [], 0, texts[i]
@@ -138,7 +140,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                         at = max(at, s["end"])
                     texts[i] = "".join(parts) + text[at:]
             columns = [pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, COUNT])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, count])
 
     return mark_rows.mapInArrow(cut, schema)
 

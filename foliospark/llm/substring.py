@@ -32,11 +32,11 @@ from .textlog import PLACE, TASK, bucketed, in_blocks, opened, store
 from .windows import WHITESPACE, covered, digests, joined, occurrences, word_bounds, word_units
 
 LAST = (1 << 63) - 1
-#: Tables of a run: schema and keys. a, lo: place in a block and first window of the stretch that stands for a class.
+#: Tables of a run: schema and keys. first, last: documents; blk, i, lo: block, place in it and first window of the stretch that stands for a class.
 TABLES = {
-    "classes": ("c1 long, c2 long, first long, g long, n int, blk long, i int, lo int", ("c1", "c2")),
+    "classes": ("c1 long, c2 long, first long, last long, g long, n int, blk long, i int, lo int", ("c1", "c2")),
     "anchors": ("g long, c1 long, c2 long, several boolean", ("g",)),
-    "windows": ("h1 long, h2 long, first long", ("h1", "h2")),
+    "windows": ("h1 long, h2 long, first long, last long", ("h1", "h2")),
 }
 FOUND = "blk long, i int, doc long, lo int, n int, g long, c1 long, c2 long"
 
@@ -153,7 +153,8 @@ class WindowIndex:
                 else:  # the row of the smaller first document stands for both
                     mine = F.col("b.first").isNull() | (F.col("a.first") <= F.col("b.first"))
                     rest = [c.split()[0] for c in columns.split(", ") if c.split()[0] not in keys]
-                    pick += [F.when(mine, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in rest]
+                    pick += [F.when(mine, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in rest if c != "last"]
+                    pick += [F.greatest("a.last", "b.last").alias("last")]
                 merged[name] = self.table(name, both.select(*pick), max(a.buckets, b.buckets))
             drop(*a.tables.values(), *b.tables.values())
             self.runs.append(Run(a.rank + 1, max(a.buckets, b.buckets), {k: p for k, (p, _) in merged.items()}, {k: t for k, (_, t) in merged.items()}))
@@ -189,18 +190,18 @@ class WindowIndex:
         found = durable(self.fingerprints(texts))
         place = [F.min_by(c, "doc").alias(c) for c in ("blk", "i", "lo")]  # of one row: all three go by the same column
         classes = found.groupBy("c1", "c2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.min("g").alias("g"), F.min("n").alias("n"), *place)
-        own = durable(classes)
-        _paths, tables = {}, {}
-        _paths["classes"], tables["classes"] = self.table("classes", own, buckets)
+        paths, tables = {}, {}
+        paths["classes"], tables["classes"] = self.table("classes", classes, buckets)
+        own = tables["classes"]
         shape = own.groupBy("g").agg(F.min("c1").alias("c1"), F.max("c1").alias("d1"), F.min("c2").alias("c2"), F.max("c2").alias("d2"))
-        _paths["anchors"], tables["anchors"] = self.table("anchors", shape.withColumn("several", F.expr("c1 <> d1 OR c2 <> d2")), buckets)
+        paths["anchors"], tables["anchors"] = self.table("anchors", shape.withColumn("several", F.expr("c1 <> d1 OR c2 <> d2")), buckets)
         crowded = durable(self.crowded(tables["anchors"]))
 
         runs = range(len(self.runs))
         seen = self.known("classes", own, ("first",))
         seen = seen.withColumn("least", at_least("first", *[F.coalesce(f"r{k}_first", F.lit(LAST)) for k in runs]))
-        seen = durable(seen.select("c1", "c2", "first", "last", "least", "g", "n", "blk", "i", "lo"))
-        drop(own)
+        seen = seen.select("c1", "c2", "first", "last", "least", "g", "n", "blk", "i", "lo")
+        seen = durable(seen) if self.runs else seen
         need = seen.where("least = first").join(crowded.select(F.col("g").alias("cg")), F.expr("g = cg"))
         singles = durable(self.singles(texts, need))
         windows = singles.select("h1", "h2", "first")
@@ -209,9 +210,9 @@ class WindowIndex:
             for n, (_, _, old) in enumerate(self.texts):
                 part = theirs.where(F.shiftright("blk", PLACE + TASK) == n)
                 windows = windows.unionByName(self.singles(old, part).select("h1", "h2", "first"))
-        spread = durable(windows.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("first").alias("last")))
-        _paths["windows"], tables["windows"] = self.table("windows", spread, buckets)
-        before = self.known("windows", spread, ("first",)).withColumn("least", at_least("first", *[F.coalesce(f"r{k}_first", F.lit(LAST)) for k in runs])).where("least < last")
+        spread = windows.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("first").alias("last"))
+        paths["windows"], tables["windows"] = self.table("windows", spread, buckets)
+        before = self.known("windows", tables["windows"], ("first",)).withColumn("least", at_least("first", *[F.coalesce(f"r{k}_first", F.lit(LAST)) for k in runs])).where("least < last")
         before = before.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), "least")
         marked = singles.join(before, F.expr("h1 = b1 AND h2 = b2")).where("least < first")
         marked = marked.groupBy(F.col("c1").alias("m1"), F.col("c2").alias("m2")).agg(F.collect_list("at").alias("ats"))
@@ -220,9 +221,9 @@ class WindowIndex:
         hits = found.join(outcome, F.expr("c1 = k1 AND c2 = k2")).where("doc > least OR ats IS NOT NULL")
         spans = hits.select("blk", "i", "lo", F.when(F.col("doc") > F.col("least"), F.col("n")).alias("n"), F.when(F.col("doc") <= F.col("least"), F.col("ats")).alias("ats"))
         spans = durable(spans.groupBy(F.col("blk").alias("sblk")).agg(F.collect_list(F.struct("i", "lo", "n", "ats")).alias("spans")))
-        drop(found, crowded, seen, singles, spread)
+        drop(found, crowded, singles, *([seen] if self.runs else []))
         self.texts.append((buckets, where, texts))
-        self.runs.append(Run(0, buckets, _paths, tables))
+        self.runs.append(Run(0, buckets, paths, tables))
         return self.cut(texts, spans)
 
     def cut(self, texts: DataFrame, spans: DataFrame) -> DataFrame:

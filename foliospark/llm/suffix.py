@@ -30,7 +30,7 @@ from .textlog import PLACE, TASK, bucketed, in_blocks, store
 from .windows import BYTE_UNIT, covered, digests, occurrences
 
 FOUND = "blk long, i int, lo int, n int, q int, g long, c1 long, c2 long"
-ENTRY = "g long, s int, blk long, i int, lo int, n int, q int, whole boolean, near binary, suffix binary"
+ENTRY = "g long, s int, blk long, i int, lo int, n int, q int, whole boolean, before binary, suffix binary"
 SPAN = "blk long, i int, lo int, n int"
 #: Parts into which the entries of one anchor are dealt in the levels.
 SALT = 8
@@ -108,9 +108,9 @@ class SuffixIndex:
         return texts.mapInArrow(scan, FOUND)
 
     def entries(self, texts: DataFrame, need: DataFrame) -> DataFrame:
-        """The entries in need (g, c1, blk, i, lo, n, q, whole) with their bytes: near, and from the anchor on, suffix."""
+        """The entries in need (g, c1, blk, i, lo, n, q, whole) with the bytes before the anchor, and from it on, suffix."""
         window = self.window
-        schema = pa.schema([("g", pa.int64()), ("s", pa.int32()), ("blk", pa.int64()), *[(c, pa.int32()) for c in ("i", "lo", "n", "q")], ("whole", pa.bool_()), ("near", pa.binary()), ("suffix", pa.binary())])
+        schema = pa.schema([("g", pa.int64()), ("s", pa.int32()), ("blk", pa.int64()), *[(c, pa.int32()) for c in ("i", "lo", "n", "q")], ("whole", pa.bool_()), ("before", pa.binary()), ("suffix", pa.binary())])
 
         def cut(batches):
             for batch in batches:
@@ -120,9 +120,10 @@ class SuffixIndex:
                     a = off[i.to_numpy()] + lo.to_numpy()
                     end = (a + n.to_numpy() - 1 + window).tolist()
                     raw = data.tobytes()
-                    near = [raw[x:y] for x, y in zip(a.tolist(), end, strict=True)]
-                    suffix = [raw[x:y] for x, y in zip((a + q.to_numpy()).tolist(), end, strict=True)]
-                    yield batch_of(schema, [g, s, np.full(len(near), blk), i, lo, n, q, whole, near, suffix])
+                    anchor = (a + q.to_numpy()).tolist()
+                    before = [raw[x:y] for x, y in zip(a.tolist(), anchor, strict=True)]
+                    suffix = [raw[x:y] for x, y in zip(anchor, end, strict=True)]
+                    yield batch_of(schema, [g, s, np.full(len(before), blk), i, lo, n, q, whole, before, suffix])
 
         salt = F.pmod("c1", F.lit(SALT)).cast("int").alias("s")
         need = need.groupBy(F.col("blk").alias("nblk")).agg(F.collect_list(F.struct("i", "lo", "n", "q", "g", salt, "whole")).alias("need"))
@@ -130,14 +131,16 @@ class SuffixIndex:
 
     # -- the family of levels
 
+    def table(self, df: DataFrame, *keys: str) -> DataFrame:
+        return bucketed(df, partitions(self.spark), keys, scratch(self.spark))
+
     def level(self, rank: int, classes: DataFrame, anchors: DataFrame, entries: DataFrame) -> Level:
         n = partitions(self.spark)
-        table = lambda df, *keys: bucketed(df, n, keys, scratch(self.spark))
         sorted_entries = entries.repartition(n, "g", "s").write.format("parquet").bucketBy(n, "g", "s").sortBy("g", "s", "suffix")
         name = scratch(self.spark)
         table_name = "llm_" + name.rsplit("-", 1)[1]
         sorted_entries.option("path", name).saveAsTable(table_name)
-        return Level(rank, classes=table(classes, "c1", "c2"), anchors=table(anchors, "g"), entries=self.spark.table(table_name))
+        return Level(rank, classes=classes, anchors=anchors, entries=self.spark.table(table_name))
 
     def compact(self) -> None:
         """Merge levels of equal rank, two by two."""
@@ -152,7 +155,7 @@ class SuffixIndex:
             both = left.join(right, F.expr("a.g = b.g"), "full_outer")
             several = F.expr("coalesce(a.several, false) OR coalesce(b.several, false) OR coalesce(a.c1 <> b.c1 OR a.c2 <> b.c2, false)")
             anchors = both.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in ("g", "c1", "c2")], several.alias("several"))
-            merged = self.level(a.rank + 1, classes, anchors, a.tables["entries"].unionByName(b.tables["entries"]))
+            merged = self.level(a.rank + 1, self.table(classes, "c1", "c2"), self.table(anchors, "g"), a.tables["entries"].unionByName(b.tables["entries"]))
             drop(*a.tables.values(), *b.tables.values())
             self.levels.append(merged)
 
@@ -177,9 +180,9 @@ class SuffixIndex:
         found = durable(self.anchored(texts))
         some = F.xxhash64("blk", "i", "lo")
         place = [F.min_by(c, some).alias(c) for c in ("blk", "i", "lo")]  # of one row: all three go by the same key
-        classes = durable(found.groupBy("c1", "c2").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("q").alias("q"), *place, F.count("*").alias("copies")))
+        classes = self.table(found.groupBy("c1", "c2").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("q").alias("q"), *place, F.count("*").alias("copies")), "c1", "c2")
         shape = classes.groupBy("g").agg(F.min("c1").alias("c1"), F.max("c1").alias("d1"), F.min("c2").alias("c2"), F.max("c2").alias("d2"))
-        anchors = durable(shape.select("g", "c1", "c2", F.expr("c1 <> d1 OR c2 <> d2").alias("several")))
+        anchors = self.table(shape.select("g", "c1", "c2", F.expr("c1 <> d1 OR c2 <> d2").alias("several")), "g")
         crowded = durable(self.crowded(anchors))
 
         seen = classes
@@ -190,7 +193,8 @@ class SuffixIndex:
         for k in range(len(self.levels)):
             past = past + F.coalesce(F.col(f"l{k}_copies"), F.lit(0))
         held = [F.coalesce(F.lit(None), *[F.col(f"l{k}_{c}") for k in range(len(self.levels))]).cast("int" if c != "blk" else "long").alias(f"old_{c}") for c in ("blk", "i", "lo")]
-        seen = durable(seen.select("c1", "c2", "g", "n", "q", "blk", "i", "lo", "copies", past.alias("past"), *held))
+        seen = seen.select("c1", "c2", "g", "n", "q", "blk", "i", "lo", "copies", past.alias("past"), *held)
+        seen = durable(seen) if self.levels else seen
         again = seen.where("copies + past > 1")
         spans = found.join(again.select(F.col("c1").alias("a1"), F.col("c2").alias("a2")), F.expr("c1 = a1 AND c2 = a2")).select("blk", "i", "lo", "n")
         spans = spans.unionByName(seen.where("past = 1").select(F.col("old_blk").alias("blk"), F.col("old_i").alias("i"), F.col("old_lo").alias("lo"), "n"))
@@ -207,7 +211,7 @@ class SuffixIndex:
             fresh = fresh.unionByName(part)
         level = self.level(0, classes, anchors, fresh)
         self.spans += [spans, durable(self.scan([*self.levels, level], crowded))]
-        drop(classes, anchors, seen, crowded)
+        drop(crowded, *([seen] if self.levels else []))
         self.texts.append(texts)
         self.levels.append(level)
 
@@ -218,9 +222,8 @@ class SuffixIndex:
         for level in levels:
             part = level.tables["entries"].join(wanted.hint("shuffle_hash"), F.expr("g = wg AND s = ws"), "left_semi")
             both = part if both is None else both.unionByName(part)
-        both = durable(both)
         large = durable(both.groupBy(F.col("g").alias("lg")).count().where(F.col("count") >= self.crowd).select("lg"))
-        few = both.join(large, F.expr("g = lg"), "left_anti").select("g", "suffix", "near", "blk", "i", "lo", "n", "q", "whole")
+        few = both.join(large, F.expr("g = lg"), "left_anti").select("g", "suffix", "before", "blk", "i", "lo", "n", "q", "whole")
         few = few.repartition(partitions(self.spark), "g").sortWithinPartitions("g", "suffix").mapInArrow(self.neighbours(), SPAN)
         many = both.join(large, F.expr("g = lg"), "left_semi")
         return few.unionByName(self.dealt(many))
@@ -237,8 +240,7 @@ class SuffixIndex:
             if not len(table):
                 return
             n, q = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "q"))
-            near = table.column("near").to_pylist()
-            before = [x[:k][::-1] for x, k in zip(near, q.tolist(), strict=True)]
+            before = [x[::-1] for x in table.column("before").to_pylist()]
             row, at = equal_windows(g[keep], table.column("suffix").to_pylist(), before, n, q, window)
             live = ~table.column("whole").to_numpy(zero_copy_only=False)[row]
             row, at = row[live], at[live]
@@ -277,10 +279,11 @@ class SuffixIndex:
             """Stretches of `step` starts, placed by their distance from the anchor. All windows of a stretch hold its core."""
             for batch in batches:
                 blk, i, lo, count, anchor = (batch.column(c).to_numpy() for c in ("blk", "i", "lo", "n", "q"))
-                whole, near = batch.column("whole").to_pylist(), batch.column("near")
+                whole = batch.column("whole").to_pylist()
+                near = [a + b for a, b in zip(batch.column("before").to_pylist(), batch.column("suffix").to_pylist(), strict=True)]
                 rows, cores, fulls = [], [], []
                 for r in range(len(batch)):
-                    text, n, q = near[r].as_py(), int(count[r]), int(anchor[r])
+                    text, n, q = near[r], int(count[r]), int(anchor[r])
                     h = digests(text, list(range(n)), list(range(window, window + n)))
                     for k in range((q - n + 1) // step, q // step + 1):
                         top = q - k * step
@@ -296,7 +299,7 @@ class SuffixIndex:
             end = np.cumsum([len(p) for p in parts])
             return np.append(0, end[:-1]).tolist(), end.tolist()
 
-        split = durable(many.select("near", "blk", "i", "lo", "n", "q", "whole").mapInArrow(divide, "k1 long, k2 long, f1 long, f2 long, blk long, i int, lo int, n int, whole boolean, h array<long>"))
+        split = durable(many.select("before", "suffix", "blk", "i", "lo", "n", "q", "whole").mapInArrow(divide, "k1 long, k2 long, f1 long, f2 long, blk long, i int, lo int, n int, whole boolean, h array<long>"))
         some = F.xxhash64("blk", "i", "lo")
         stretches = split.groupBy("k1", "k2", "f1", "f2").agg(F.count("*").alias("copies"), F.min(F.struct(some.alias("o"), "blk", "i", "lo", "whole", "h")).alias("s"))
         stretches = durable(stretches.select("k1", "k2", "f1", "f2", "copies", "s.*"))

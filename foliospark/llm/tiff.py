@@ -23,7 +23,7 @@ from .base import batch_of, utf8
 
 #: Fixed values of the TIFF 6.0 format: tags, compression codes, bytes of a field type.
 WIDTH, HEIGHT, DEPTH, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
-PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
+PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 284, 317, 322, 323, 324, 325
 PLAIN, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 OLD_DEFLATE = 32946
 FIELD = {1: "B", 2: "B", 3: "H", 4: "I", 6: "b", 7: "B", 8: "h", 9: "i"}
@@ -31,9 +31,10 @@ FIELD = {1: "B", 2: "B", 3: "H", 4: "I", 6: "b", 7: "B", 8: "h", 9: "i"}
 SIDE, PAGE_ROWS = 24, 24 * 2048
 
 
-def unpack_bits(data: bytes) -> bytes:
+def unpack_bits(data: bytes, limit: int) -> bytes:
+    """Up to limit bytes."""
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < limit:
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -43,7 +44,7 @@ def unpack_bits(data: bytes) -> bytes:
                 out += data[i + 1 : i + 2] * (257 - n)
                 i += 1
             i += 1
-    return bytes(out)
+    return bytes(out[:limit])
 
 
 def pack_bits(data: bytes) -> bytes:
@@ -64,10 +65,10 @@ def pack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unpack_lzw(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, high bit first; the width grows one code early, as TIFF has it."""
+def unpack_lzw(data: bytes, limit: int) -> bytes:
+    """Up to limit bytes from codes of 9 to 12 bits, high bit first; the width grows one code early, as TIFF has it."""
     words = [bytes((i,)) for i in range(256)] + [b"", b""]
-    out, last, width, have, bits = [], None, 9, 0, 0
+    out, last, width, have, bits, size = [], None, 9, 0, 0, 0
     for byte in data:
         bits = bits << 8 | byte
         have += 8
@@ -82,15 +83,21 @@ def unpack_lzw(data: bytes) -> bytes:
         elif code == 257:
             break
         else:
+            if code > len(words) or code >= 258 and last is None:
+                raise ValueError(f"LZW code {code} of {len(words)}")
             if last is None:
                 word = words[code]
             else:
                 word = words[code] if code < len(words) else last + last[:1]
-                words.append(last + word[:1])
+                if len(words) < 4096:
+                    words.append(last + word[:1])
                 width = 9 + (len(words) >= 511) + (len(words) >= 1023) + (len(words) >= 2047)
             out.append(word)
+            size += len(word)
+            if size >= limit:
+                break
             last = word
-    return b"".join(out)
+    return b"".join(out)[:limit]
 
 
 def pack_lzw(data: bytes) -> bytes:
@@ -120,62 +127,105 @@ def pack_lzw(data: bytes) -> bytes:
     return (bits << pad).to_bytes((have + pad) // 8, "big")
 
 
-def expand(data: bytes, compression: int) -> bytes:
+def expand(data: bytes, compression: int, size: int) -> bytes:
+    """The size bytes that a strip or tile must hold; never more is unpacked."""
     if compression == PLAIN:
-        return data
-    if compression == PACKBITS:
-        return unpack_bits(data)
-    if compression == LZW:
-        return unpack_lzw(data)
-    if compression in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
-    raise ValueError(f"compression {compression}")
-
-
-def pages(blob: bytes):
-    """(width, height, compression, samples array) of each page, by the chain of directories."""
-    if blob[:2] not in (b"II", b"MM"):
-        raise ValueError("no byte order mark")
-    order = "<" if blob[:2] == b"II" else ">"
-    magic, at = struct.unpack_from(order + "HI", blob, 2)
-    if magic != 42:
-        raise ValueError("no TIFF")
-    seen = set()
-    while at:
-        if at in seen:
-            raise ValueError("directories form a ring")
-        seen.add(at)
+        out = data[:size]
+    elif compression == PACKBITS:
+        out = unpack_bits(data, size)
+    elif compression == LZW:
+        out = unpack_lzw(data, size)
+    elif compression in (DEFLATE, OLD_DEFLATE):
+        out = zlib.decompressobj().decompress(data, size) if size else b""
+    else:
+        raise ValueError(f"compression {compression}")
+    if len(out) < size:
+        raise ValueError(f"{len(out)} bytes where {size} must be")
+    return out
+
+
+class Directory:
+    """The tags of one page."""
+
+    def __init__(self, blob: bytes, order: str, at: int):
         (n,) = struct.unpack_from(order + "H", blob, at)
-        tags = {}
+        self.tags: dict[int, tuple] = {}
         for i in range(n):
             tag, kind, count = struct.unpack_from(order + "HHI", blob, at + 2 + 12 * i)
             if kind in FIELD:
                 where = at + 10 + 12 * i
                 if count * struct.calcsize(FIELD[kind]) > 4:
                     (where,) = struct.unpack_from(order + "I", blob, where)
-                tags[tag] = struct.unpack_from(f"{order}{count}{FIELD[kind]}", blob, where)
-        (at,) = struct.unpack_from(order + "I", blob, at + 2 + 12 * n)
-        one = lambda t, default=None, tags=tags: tags[t][0] if t in tags else default
-        width, height, samples = one(WIDTH), one(HEIGHT), one(SAMPLES, 1)
-        if set(tags.get(DEPTH, (8,))) != {8}:
+                if where + count * struct.calcsize(FIELD[kind]) > len(blob):
+                    raise ValueError(f"the values of tag {tag} lie beyond the file")
+                self.tags[tag] = struct.unpack_from(f"{order}{count}{FIELD[kind]}", blob, where)
+        (self.next,) = struct.unpack_from(order + "I", blob, at + 2 + 12 * n)
+
+    def one(self, tag: int, default: int | None = None) -> int:
+        value = self.tags.get(tag) or (default,)
+        if value[0] is None:
+            raise ValueError(f"tag {tag} is missing")
+        return value[0]
+
+    def size(self, tag: int, default: int | None = None) -> int:
+        value = self.one(tag, default)
+        if value < 1:
+            raise ValueError(f"tag {tag} is {value}")
+        return value
+
+    def image(self, blob: bytes):
+        """(width, height, compression, samples array of height x width x samples)."""
+        width, height, samples = self.size(WIDTH), self.size(HEIGHT), self.size(SAMPLES, 1)
+        if set(self.tags.get(DEPTH, (1,))) != {8}:
             raise ValueError("samples are not of 8 bits")
-        tiled = TILE_WIDTH in tags
-        w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS, height), height))
-        image = np.zeros((-(-height // h) * h, -(-width // w) * w, samples), np.uint8)
-        across = -(-width // w)
-        starts, sizes = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[OFFSETS], tags[COUNTS])
+        compression, predictor, planar = self.one(COMPRESSION, PLAIN), self.one(PREDICTOR, 1), self.one(PLANAR, 1)
+        if predictor not in (1, 2) or planar not in (1, 2):
+            raise ValueError(f"predictor {predictor}, planes {planar}")
+        tiled = TILE_WIDTH in self.tags
+        w, h = (self.size(TILE_WIDTH), self.size(TILE_HEIGHT)) if tiled else (width, min(self.size(ROWS, height), height))
+        across, down = -(-width // w), -(-height // h)
+        planes, deep = (samples, 1) if planar == 2 and samples > 1 else (1, samples)
+        starts, sizes = (self.tags.get(TILE_OFFSETS, ()), self.tags.get(TILE_COUNTS, ())) if tiled else (self.tags.get(OFFSETS, ()), self.tags.get(COUNTS, ()))
+        if not len(starts) == len(sizes) == across * down * planes:
+            raise ValueError(f"{len(starts)} parts and {len(sizes)} sizes where {across * down * planes} must be")
+        parts = []
         for i, (a, size) in enumerate(zip(starts, sizes, strict=True)):
-            y, x = i // across * h, i % across * w
-            rows = h if tiled else min(h, height - y)
-            part = np.frombuffer(expand(blob[a : a + size], one(COMPRESSION, 1)), np.uint8)[: rows * w * samples].reshape(rows, w, samples)
-            if one(PREDICTOR, 1) == 2:
-                part = np.cumsum(part, axis=1, dtype=np.uint8)
-            image[y : y + rows, x : x + w] = part
-        yield width, height, one(COMPRESSION, 1), image[:height, :width]
+            rows = h if tiled else min(h, height - i % down * h)
+            data = expand(blob[a : a + size], compression, rows * w * deep) if a >= 0 and size >= 0 else b""
+            part = np.frombuffer(data, np.uint8).reshape(rows, w, deep)
+            parts.append(np.cumsum(part, axis=1, dtype=np.uint8) if predictor == 2 else part)
+        # all parts have what they must, so the image is no larger than what has been unpacked
+        image = np.zeros((down * h if tiled else height, across * w, samples), np.uint8)
+        for i, part in enumerate(parts):
+            plane, at = divmod(i, across * down)
+            y, x = at // across * h, at % across * w
+            image[y : y + len(part), x : x + w, plane : plane + deep] = part
+        return width, height, compression, image[:height, :width]
 
 
-def write(images: list[np.ndarray], compression: int = DEFLATE, rows: int = 4096, predictor: int = 1, tile: int = 0, order: str = "<") -> bytes:
-    """A file with one page per array (height, width) or (height, width, samples) of bytes."""
+def pages(blob: bytes):
+    """(width, height, compression, samples array) of each page, by the chain of directories; a damaged file raises ValueError."""
+    try:
+        if blob[:2] not in (b"II", b"MM"):
+            raise ValueError("no byte order mark")
+        order = "<" if blob[:2] == b"II" else ">"
+        magic, at = struct.unpack_from(order + "HI", blob, 2)
+        if magic != 42:
+            raise ValueError("no TIFF")
+        seen = set()
+        while at:
+            if at in seen:
+                raise ValueError("directories form a ring")
+            seen.add(at)
+            directory = Directory(blob, order, at)
+            yield directory.image(blob)
+            at = directory.next
+    except (struct.error, zlib.error) as e:
+        raise ValueError(str(e)) from e
+
+
+def write(images: list[np.ndarray], compression: int = DEFLATE, rows: int = 4096, predictor: int = 1, tile: int = 0, order: str = "<", planar: int = 1) -> bytes:
+    """A file with one page per array (height, width) or (height, width, samples) of bytes; planar 2: plane after plane."""
     pack = {PLAIN: bytes, PACKBITS: pack_bits, LZW: pack_lzw, DEFLATE: lambda b: zlib.compress(b, 1)}[compression]
     out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, 0))
     link = 4
@@ -188,17 +238,19 @@ def write(images: list[np.ndarray], compression: int = DEFLATE, rows: int = 4096
             parts = [whole[y : y + tile, x : x + tile] for y in range(0, height, tile) for x in range(0, width, tile)]
         else:
             parts = [image[y : y + rows] for y in range(0, height, rows)]
+        if planar == 2:
+            parts = [part[:, :, k : k + 1] for k in range(samples) for part in parts]
         starts, sizes = [], []
         for part in parts:
             if predictor == 2:
-                part = np.diff(part, axis=1, prepend=np.zeros((len(part), 1, samples), np.uint8))
+                part = np.diff(part, axis=1, prepend=np.zeros((len(part), 1, part.shape[2]), np.uint8))
             data = pack(part.tobytes())
             starts.append(len(out))
             sizes.append(len(data))
             out += data
         if len(out) % 2:
             out += b"\0"
-        fields = [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (DEPTH, 3, [8] * samples), (COMPRESSION, 3, [compression]), (PHOTOMETRIC, 3, [1 if samples == 1 else 2]), (SAMPLES, 3, [samples]), (PREDICTOR, 3, [predictor])]
+        fields = [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (DEPTH, 3, [8] * samples), (COMPRESSION, 3, [compression]), (PHOTOMETRIC, 3, [1 if samples == 1 else 2]), (SAMPLES, 3, [samples]), (PLANAR, 3, [planar]), (PREDICTOR, 3, [predictor])]
         fields += [(TILE_WIDTH, 4, [tile]), (TILE_HEIGHT, 4, [tile]), (TILE_OFFSETS, 4, starts), (TILE_COUNTS, 4, sizes)] if tile else [(OFFSETS, 4, starts), (ROWS, 4, [rows]), (COUNTS, 4, sizes)]
         entries = b""
         for tag, kind, values in sorted(fields):
@@ -237,8 +289,8 @@ def decode(media: DataFrame, column: str = "media") -> DataFrame:
                 try:
                     for p, (w, h, c, image) in enumerate(pages(batch.column(column)[i].as_py() or b"")):
                         rows.append((p, w, h, c, image.tobytes(), None))
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
-                    rows = [(None, None, None, None, None, f"{type(e).__name__}: {e}")]
+                except ValueError as e:
+                    rows = [(None, None, None, None, None, str(e))]
                 own = [[o[i]] * len(rows) for o in others]
                 names = [*keep, "page", "width", "height", "compression", "samples", "error"]
                 types = [*[batch.schema.field(c).type for c in keep], pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
