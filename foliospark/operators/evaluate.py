@@ -11,9 +11,11 @@ def align(gold: DataFrame, found: DataFrame) -> DataFrame:
     Both: doc_id, page_no, text, pos, label."""
     key = ["doc_id", "page_no", "text"]
     nth = F.row_number().over(Window.partitionBy(*key).orderBy("pos"))
-    g = gold.withColumn("rn", nth).withColumn("cnt", F.count("*").over(Window.partitionBy(*key))).select(*key, F.col("rn").alias("g_rn"), "cnt", F.col("label").alias("gold"))
-    p = found.withColumn("rn", nth).select(*key, "pos", "rn", F.col("label").alias("pred"))
-    return p.join(g, key).where(F.col("g_rn") == F.when(F.col("rn") <= F.col("cnt"), F.col("rn")).otherwise(1)).select("doc_id", "page_no", "text", "pos", "gold", "pred")
+    # one row for each token text of a page, with the labels of its occurrences in order: no pairs are made
+    g = gold.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("all"))
+    p = found.withColumn("rn", nth)
+    at = F.when(F.col("rn") <= F.size("all"), F.col("rn")).otherwise(1)
+    return p.join(g, key).select("doc_id", "page_no", "text", "pos", F.element_at("all", at)["label"].alias("gold"), F.col("label").alias("pred"))
 
 
 def confusion(pairs: DataFrame) -> DataFrame:
@@ -21,12 +23,13 @@ def confusion(pairs: DataFrame) -> DataFrame:
 
 
 def kappa(pairs: DataFrame) -> DataFrame:
+    """Agreement beyond chance; null where there are no pairs or one class alone, where it has no value."""
     c = confusion(pairs)
     total = c.agg(F.sum("n").alias("t"), F.sum(F.when(F.col("gold") == F.col("pred"), F.col("n")).otherwise(0)).alias("agree"))
     g, p = c.groupBy(F.col("gold").alias("c")).agg(F.sum("n").alias("gn")), c.groupBy(F.col("pred").alias("c")).agg(F.sum("n").alias("pn"))
     chance = g.join(p, "c").agg(F.sum(F.col("gn") * F.col("pn")).alias("e"))
-    po, pe = F.col("agree") / F.col("t"), F.coalesce("e", F.lit(0)) / (F.col("t") * F.col("t"))
-    return total.join(F.broadcast(chance)).select(F.round((po - pe) / (1 - pe), 6).alias("kappa"))
+    po, pe = F.try_divide("agree", "t"), F.try_divide(F.coalesce("e", F.lit(0)), F.col("t") * F.col("t"))
+    return total.join(F.broadcast(chance)).select(F.round(F.when(pe < 1, (po - pe) / (1 - pe)), 6).alias("kappa"))
 
 
 def scores(pairs: DataFrame) -> DataFrame:

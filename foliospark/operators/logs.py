@@ -33,7 +33,8 @@ def last_compiler(log: Column) -> Column:
 def segments(logs: DataFrame) -> DataFrame:
     """doc_id, n, compiler, body: from the end of a mark to the next mark."""
     names = F.regexp_extract_all("log", F.lit(STARTED), F.lit(1))
-    bodies = F.slice(F.split("log", STARTED, -1), 2, 1 << 20)
+    parts = F.split("log", STARTED, -1)
+    bodies = F.slice(parts, 2, F.size(parts))
     both = logs.select("doc_id", F.posexplode(F.arrays_zip(names.alias("compiler"), bodies.alias("body"))).alias("n", "s"))
     return both.select("doc_id", "n", "s.compiler", "s.body")
 
@@ -46,3 +47,12 @@ def failed(logs: DataFrame, compiler: str) -> DataFrame:
 def outputs(log: Column, kind: str) -> Column:
     """Names between the marks that a compile run prints for its outputs of a kind (pdf or ps)."""
     return F.regexp_extract_all(log, F.lit(OUTPUT[kind]), F.lit(1))
+
+
+def compiled(logs: DataFrame, outputs: DataFrame) -> DataFrame:
+    """doc_id, success, has_output, output: the results of compile runs (doc_id, success) with their outputs (doc_id, type,
+    path, contents), by type and path; a run without outputs has an empty list."""
+    each = F.array_sort(F.collect_list(F.struct("type", "path", "contents")))
+    found = outputs.groupBy("doc_id").agg(each.alias("output"))
+    none = F.array().cast("array<struct<type: string, path: string, contents: string>>")
+    return logs.join(found, "doc_id", "left").select("doc_id", "success", F.col("output").isNotNull().alias("has_output"), F.coalesce("output", none).alias("output"))

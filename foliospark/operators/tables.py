@@ -25,17 +25,25 @@ def column_align(cells: DataFrame) -> DataFrame:
 
 
 def rules(cells: DataFrame) -> DataFrame:
-    """Runs of columns with a border, by row: full width is a whole rule."""
+    r"""Runs of columns with a border, by row. A run of all columns is as many \hline as the first column's border is wide."""
     at = widths(cells).select("doc_id", "row_no", "width", F.explode(F.sequence(F.col("ends") - F.coalesce("colspan", F.lit(1)) + 1, F.col("ends"))).alias("col"), "border")
     live = at.where("border > 0")
     run = F.col("col") - F.row_number().over(Window.partitionBy("doc_id", "row_no").orderBy("col"))
-    return live.withColumn("run", run).groupBy("doc_id", "row_no", "width", "run").agg(F.min("col").alias("a"), F.max("col").alias("b")).select(
-        "doc_id", "row_no", F.when((F.col("a") == 1) & (F.col("b") == F.col("width")), F.lit("\\hline")).otherwise(F.format_string("\\cline{%d-%d}", "a", "b")).alias("rule")
-    )
+    runs = live.withColumn("run", run).groupBy("doc_id", "row_no", "width", "run").agg(F.min("col").alias("a"), F.max("col").alias("b"), F.min_by("border", "col").alias("wide"))
+    whole = (F.col("a") == 1) & (F.col("b") == F.col("width"))
+    lines = F.array_join(F.array_repeat(F.lit("\\hline"), F.col("wide").cast("int")), " ")
+    return runs.select("doc_id", "row_no", F.when(whole, lines).otherwise(F.format_string("\\cline{%d-%d}", "a", "b")).alias("rule"))
+
+
+def bars(cells: DataFrame) -> DataFrame:
+    """doc_id, col, bars: a column's vertical rules, as many as its widest border (cells: border) among cells without spans."""
+    plain = widths(cells).where("coalesce(colspan, 1) = 1")
+    return plain.groupBy("doc_id", F.col("ends").alias("col")).agg(F.repeat(F.lit("|"), F.max("border").cast("int")).alias("bars"))
 
 
 def square(cells: DataFrame) -> DataFrame:
-    """Cells and the empty ones below cells of several rows."""
-    below = cells.where("rowspan > 1").select("doc_id", "row_no", "cell_no", F.explode(F.sequence(F.lit(1), F.col("rowspan") - 1)).alias("k"))
-    below = below.select("doc_id", (F.col("row_no") + F.col("k")).alias("row_no"), "cell_no", F.lit(True).alias("filler"))
-    return cells.select("doc_id", "row_no", "cell_no", F.lit(False).alias("filler")).unionByName(below)
+    """Cells with the column they begin at (from 1), and the empty ones below cells of several rows, at the same column."""
+    placed = widths(cells).withColumn("col", F.col("ends") - F.coalesce("colspan", F.lit(1)) + 1)
+    below = placed.where("rowspan > 1").select("doc_id", "row_no", "cell_no", "col", F.explode(F.sequence(F.lit(1), F.col("rowspan") - 1)).alias("k"))
+    below = below.select("doc_id", (F.col("row_no") + F.col("k")).alias("row_no"), "cell_no", "col", F.lit(True).alias("filler"))
+    return placed.select("doc_id", "row_no", "cell_no", "col", F.lit(False).alias("filler")).unionByName(below)

@@ -23,12 +23,14 @@ def with_root(tree: DataFrame) -> DataFrame:
     return root.unionByName(tree.select("doc_id", "section_id", "nested_to"))
 
 
-PATHS = """
-WITH RECURSIVE p AS (SELECT doc_id, section_id, CAST(section_id AS STRING) AS path, 1 AS depth FROM {t} WHERE nested_to = 0
- UNION ALL SELECT t.doc_id, t.section_id, concat(p.path, '.', t.section_id), p.depth + 1 FROM {t} t JOIN p ON t.doc_id = p.doc_id AND t.nested_to = p.section_id WHERE t.nested_to > 0)
-SELECT doc_id, section_id, path, depth FROM p"""
-
-
-def paths(tree: DataFrame) -> DataFrame:
-    """The dotted path of every section (levels bound the depth)."""
-    return tree.sparkSession.sql(PATHS, t=tree)
+def paths(tree: DataFrame, deepest: int = len(LEVELS)) -> DataFrame:
+    """The dotted path of every section. A section's level is above its parent's, so no path is longer than there are levels:
+    one join a level, whatever the number of sections; `deepest` is for trees of other levels."""
+    rows = tree.select("doc_id", "section_id", "nested_to", F.col("section_id").cast("string").alias("path"), F.lit(1).alias("depth"), F.col("nested_to").alias("up"))
+    above = tree.select(F.col("doc_id").alias("a_doc"), F.col("section_id").alias("a_id"), F.col("nested_to").alias("a_up"))
+    for _ in range(deepest - 1):
+        rows = rows.join(above, (F.col("doc_id") == F.col("a_doc")) & (F.col("up") == F.col("a_id")), "left").select(
+            "doc_id", "section_id", "nested_to", F.when(F.col("a_id").isNotNull(), F.concat(F.col("a_id").cast("string"), F.lit("."), "path")).otherwise(F.col("path")).alias("path"),
+            (F.col("depth") + F.col("a_id").isNotNull().cast("int")).alias("depth"), F.coalesce("a_up", F.lit(0)).alias("up"),
+        )
+    return rows.select("doc_id", "section_id", "path", "depth")

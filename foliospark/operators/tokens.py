@@ -1,4 +1,7 @@
-"""Lines, whitespace tokens and running numbers; every window is within one document."""
+"""Lines, whitespace tokens and running numbers; every window is within one document.
+
+Rows of one doc_id are one document to the windows; give rows that are documents of their own ids of their own.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +13,10 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def tokens(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, col, text, pos: whitespace tokens in document order."""
-    words = lines(docs).select("doc_id", "line_no", F.posexplode(F.regexp_extract_all("line", F.lit(r"\S+"), F.lit(0))).alias("col", "text"))
-    order = Window.partitionBy("doc_id").orderBy("line_no", "col")
-    return words.withColumn("pos", F.row_number().over(order) - 1)
+    """doc_id, line_no, col, text, pos: whitespace tokens in document order, numbered within their row, without a shuffle."""
+    word = lambda line, i: F.transform(F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0)), lambda w, j: F.struct(i.alias("line_no"), j.alias("col"), w.alias("text")))
+    found = docs.select("doc_id", F.posexplode(F.flatten(F.transform(F.split("text", "\n"), word))).alias("pos", "w"))
+    return found.select("doc_id", "w.line_no", "w.col", "w.text", "pos")
 
 
 def reading_numbers(labelled: DataFrame) -> DataFrame:

@@ -1,33 +1,21 @@
 """Named queries of the engine's operators over the standard tables, and equivalent SQL.
 
-Every query runs over whole tables. Grammar operators run over the literal rows in samples.py.
+Every query runs over whole tables. Those of the grammar operators are in grammar.py.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliospark.functions import article, html, latex, symbols, textclean
+from foliospark.functions import article, html, textclean
 from foliospark.operators import assemble, catalogues, color, diffuse, evaluate, labels, logs, retrieve, spatial, tables, toc, tokens
+from foliospark.plans import grammar  # noqa: F401  it adds its own
 from foliospark.plans import samples
-from foliospark.sources import archives, files
+from foliospark.plans.registry import ORACLES, QUERIES, query, table
+from foliospark.sources import archives, files  # noqa: F401  the tests reach it here
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
 
 
 def queries() -> dict:
@@ -38,10 +26,6 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 LINES = "lines AS (SELECT doc_id, (unnest(range(len(l))))::INT line_no, unnest(l) line FROM (SELECT doc_id, string_split(text, chr(10)) l FROM documents))"
 TOK = LINES + r""", words AS (SELECT doc_id, line_no, (unnest(range(len(w))))::INT col, unnest(w) AS text FROM (SELECT doc_id, line_no, regexp_extract_all(line, '\S+') w FROM lines)),
 tok AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY line_no, col) - 1)::INT pos FROM words)"""
@@ -84,13 +68,6 @@ def label_by_environment(spark, d):
     return names.select("name", labels.by_environment(F.col("name")).alias("label"))
 
 
-@query("""SELECT n AS name, CASE WHEN contains(n,'title') AND NOT contains(n,'short') THEN 'Title' WHEN (contains(n,'author') OR contains(n,'address') OR contains(n,'institut') OR contains(n,'affiliat')) AND NOT contains(n,'short') THEN 'Author'
- WHEN contains(n,'abstract') OR contains(n,'keyword') THEN 'Abstract' WHEN contains(n,'footnote') OR contains(n,'thanks') THEN 'Footer' WHEN n = 'caption' THEN 'Caption' WHEN contains(n,'section') OR n IN ('chapter','part') THEN 'Section' ELSE 'Paragraph' END AS label
- FROM (SELECT unnest(['title','shorttitle','author','institute','abstract','keywords','footnote','thanks','caption','section','subsection','chapter','part','textbf','emph']) n)""")
-def label_by_macro(spark, d):
-    return samples.macros(spark).select("name", labels.by_macro(F.col("name"), F.lit("Paragraph")).alias("label"))
-
-
 @query("SELECT l_orderkey AS id, l_linenumber AS n, '#' || printf('%06x', (l_orderkey * 7919 + l_partkey) % 16777216) AS color FROM lineitem")
 def color_hex(spark, d):
     t = table(spark, d, "lineitem")
@@ -133,7 +110,7 @@ def existing_color_anti(spark, d):
     return color.allocate(items, colors, used)
 
 
-@query()
+@query()  # too many rows to compare one by one: palette_by_red has SQL for all of them
 def palette(spark, d):
     return color.palette(spark).orderBy("ord")
 
@@ -246,32 +223,6 @@ def log_errors_context(spark, d):
     return logs.errors(tokens.lines(table(spark, d, "documents")), 3, F.col("line").startswith("The"))
 
 
-@query()
-def log_segments(spark, d):
-    return logs.segments(samples.logs(spark))
-
-
-@query("SELECT * FROM (VALUES (1::BIGINT, 'pdflatex'), (2, NULL), (3, 'latex')) t(doc_id, compiler)")
-def log_last_compiler(spark, d):
-    return samples.logs(spark).select("doc_id", logs.last_compiler(F.col("log")).alias("compiler"))
-
-
-@query("SELECT * FROM (VALUES (1::BIGINT, true), (3, false)) t(doc_id, failed)")
-def log_failed(spark, d):
-    return logs.failed(samples.logs(spark), "pdflatex")
-
-
-@query("SELECT 2::BIGINT AS doc_id, 0 AS n, 'main.tex' AS file")
-def log_compiled_files(spark, d):
-    return logs.compiled_files(samples.logs(spark))
-
-
-@query("SELECT 3::BIGINT AS doc_id, 'a.pdf,b c.pdf' AS pdfs, 'm.ps' AS ps")
-def log_outputs(spark, d):
-    names = lambda kind: F.array_join(logs.outputs(F.col("log"), kind), ",")
-    return samples.logs(spark).where("doc_id = 3").select("doc_id", names("pdf").alias("pdfs"), names("ps").alias("ps"))
-
-
 @query("""SELECT c_custkey AS id, array_to_string(list_filter([CASE WHEN c_custkey & 1 > 0 THEN 'superscript' END, CASE WHEN c_custkey & 2 > 0 THEN 'italic' END, CASE WHEN c_custkey & 4 > 0 THEN 'serifed' ELSE 'sans' END,
  CASE WHEN c_custkey & 8 > 0 THEN 'monospaced' ELSE 'proportional' END, CASE WHEN c_custkey & 16 > 0 THEN 'bold' END], lambda x: x IS NOT NULL), ',') AS flags FROM customer""")
 def flags_decompose(spark, d):
@@ -291,7 +242,12 @@ def yflip(spark, d):
 def _boxes(spark, d):
     t = _tokens(spark, d).withColumn("page_no", F.floor(F.col("line_no") / 50) + 1).withColumn("y0", (F.col("line_no") % 50 * 12).cast("double")).withColumn("x0", (F.col("col") * 30).cast("double"))
     t = t.withColumn("x1", F.col("x0") + F.length("text") * 6).withColumn("y1", F.col("y0") + 10)
-    spans = t.where("col % 4 = 0").select("doc_id", "page_no", F.col("pos").alias("span_no"), "x0", (F.col("y0") - 3).alias("y0"), (F.col("x0") + 118).alias("x1"), (F.col("y1") + 1).alias("y1"))
+    # blocks that overlap: of every four spans of a line one belongs to a wide block of its own, whose boxes reach into the line above
+    other = F.col("col") % 16 == 4
+    spans = t.where("col % 4 = 0").select(
+        "doc_id", "page_no", F.when(other, 1000 + F.floor(F.col("line_no") / 3)).otherwise(F.floor(F.col("line_no") / 2)).alias("block_no"), "line_no", F.col("pos").alias("span_no"),
+        "x0", (F.col("y0") - F.when(other, 9).otherwise(3)).alias("y0"), (F.col("x0") + 118).alias("x1"), (F.col("y1") + 1).alias("y1"),
+    )
     lines = t.groupBy("doc_id", "page_no", "line_no").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max(F.col("y1") + 4).alias("y1"))
     return t.select("doc_id", "page_no", "pos", "x0", "y0", "x1", "y1"), spans, lines
 
@@ -299,9 +255,16 @@ def _boxes(spark, d):
 BOX = TOK + """, box AS (SELECT *, (line_no // 50 + 1) AS page_no, (col * 30)::DOUBLE AS x0, (line_no % 50 * 12)::DOUBLE AS y0, (col * 30 + length(text) * 6)::DOUBLE AS x1, (line_no % 50 * 12 + 10)::DOUBLE AS y1 FROM tok)"""
 
 
-@query(f"""WITH {BOX}, s AS (SELECT doc_id, page_no, pos AS span_no, line_no, x0, y0 - 3 AS y0, x0 + 118 AS x1, y1 + 1 AS y1 FROM box WHERE col % 4 = 0),
- a AS (SELECT b.doc_id, b.page_no, b.pos, s.span_no, (least(b.x1, s.x1) - greatest(b.x0, s.x0)) * (least(b.y1, s.y1) - greatest(b.y0, s.y0)) AS area FROM box b JOIN s ON b.doc_id = s.doc_id AND b.page_no = s.page_no AND abs(b.line_no - s.line_no) <= 1 AND least(b.x1, s.x1) > greatest(b.x0, s.x0) AND least(b.y1, s.y1) > greatest(b.y0, s.y0))
- SELECT doc_id, page_no, pos, arg_max(span_no, (area, -span_no)) AS span_no, round(max(area), 4) AS area FROM a GROUP BY ALL""")
+_HIT = "least(b.x1, {0}.x1) > greatest(b.x0, {0}.x0) AND least(b.y1, {0}.y1) > greatest(b.y0, {0}.y0)"
+_AREA = "greatest(0, least(b.x1, {0}.x1) - greatest(b.x0, {0}.x0)) * greatest(0, least(b.y1, {0}.y1) - greatest(b.y0, {0}.y0))"
+
+
+@query(f"""WITH {BOX}, s AS (SELECT doc_id, page_no, CASE WHEN col % 16 = 4 THEN 1000 + line_no // 3 ELSE line_no // 2 END AS block_no, line_no, pos AS span_no, x0, y0 - CASE WHEN col % 16 = 4 THEN 9 ELSE 3 END AS y0, x0 + 118 AS x1, y1 + 1 AS y1 FROM box WHERE col % 4 = 0),
+ l AS (SELECT doc_id, page_no, block_no, line_no, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM s GROUP BY ALL), k AS (SELECT doc_id, page_no, block_no, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM l GROUP BY ALL),
+ hit AS (SELECT b.doc_id, b.page_no, b.pos, s.block_no, s.line_no, s.span_no, {_AREA.format('s')} AS area, b.x0, b.y0, b.x1, b.y1 FROM box b JOIN s ON b.doc_id = s.doc_id AND b.page_no = s.page_no AND abs(b.line_no - s.line_no) <= 1 AND {_HIT.format('s')}),
+ h1 AS (SELECT b.*, {_AREA.format('k')} AS in_block FROM hit b JOIN k USING (doc_id, page_no, block_no)), h2 AS (SELECT * FROM h1 QUALIFY block_no = first_value(block_no) OVER (PARTITION BY doc_id, page_no, pos ORDER BY in_block DESC, block_no)),
+ h3 AS (SELECT b.*, {_AREA.format('l')} AS in_line FROM h2 b JOIN l USING (doc_id, page_no, block_no, line_no)), h4 AS (SELECT * FROM h3 QUALIFY line_no = first_value(line_no) OVER (PARTITION BY doc_id, page_no, pos ORDER BY in_line DESC, line_no))
+ SELECT doc_id, page_no, pos, span_no, round(area, 4) AS area FROM h4 QUALIFY row_number() OVER (PARTITION BY doc_id, page_no, pos ORDER BY area DESC, span_no) = 1""")
 def span_overlap(spark, d):
     t, spans, _ = _boxes(spark, d)
     return spatial.best_span(t, spans)
@@ -314,67 +277,17 @@ def line_contains(spark, d):
     return spatial.containing_line(t, lines)
 
 
-def _values(rows: list[tuple[str, str]]) -> str:
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    return "SELECT * FROM (VALUES " + ", ".join(f"({quote(a)}, {quote(b)})" for a, b in rows) + ") t(text, result)"
-
-
-@query(_values(samples.BRACES))
-def brace_balance(spark, d):
-    return samples.inputs(spark, samples.BRACES).withColumn("result", textclean.balance_braces("text"))
-
-
-@query(_values(samples.PACKAGES))
-def usepackage_split(spark, d):
-    return samples.inputs(spark, samples.PACKAGES).withColumn("result", textclean.split_packages("text"))
-
-
-@query(_values(samples.ENDS))
-def single_end(spark, d):
-    return samples.inputs(spark, samples.ENDS).withColumn("result", textclean.single_end(F.col("text")))
-
-
-@query(_values(samples.MATH))
-def math_normalize(spark, d):
-    return samples.inputs(spark, samples.MATH).withColumn("result", textclean.normal_math(F.col("text"), True))
-
-
-@query(_values(samples.ESCAPES))
-def latex_escape(spark, d):
-    return samples.inputs(spark, samples.ESCAPES).withColumn("result", textclean.latex_escape("text"))
-
-
-@query(_values(samples.EXPANSIONS))
-def expand_macros(spark, d):
-    return samples.inputs(spark, samples.EXPANSIONS).withColumn("result", latex.expand_macros("text"))
-
-
-@query(_values(samples.PREAMBLES))
-def preamble(spark, d):
-    return samples.inputs(spark, samples.PREAMBLES).withColumn("result", textclean.preamble(F.col("text")))
-
-
 @query("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN translate(c_custkey::VARCHAR, '0123456789', '⁰¹²³⁴⁵⁶⁷⁸⁹') ELSE c_name END AS script FROM customer")
 def digits_script(spark, d):
     t = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name"))
     return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), textclean.script_digits(t, True).alias("script"))
 
 
-@query()
-def md_postclean(spark, d):
-    return table(spark, d, "documents").select("doc_id", textclean.clean_markdown(F.col("text")).alias("text"))
-
-
 @query("SELECT doc_id, '\\pdfoutput=1' || chr(10) || '\\interactionmode=1' || chr(10) || text AS text FROM documents")
 def preprocess_tex(spark, d):
     return table(spark, d, "documents").select("doc_id", textclean.preprocess(F.col("text")).alias("text"))
 
 
-@query()
-def parse_latex(spark, d):
-    return latex.parse_latex(samples.documents(spark))
-
-
 @query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages")
 def html_title(spark, d):
     return table(spark, d, "pages").select("page_id", html.title(F.col("html")).alias("title"))
@@ -415,37 +328,16 @@ def article_pages(spark, d):
     return table(spark, d, "pages").select("page_id", article.article("html").getField("markdown").alias("markdown"))
 
 
-@query(_values(samples.ARTICLES))
-def article_markdown(spark, d):
-    return samples.inputs(spark, samples.ARTICLES).withColumn("result", article.article("text").getField("markdown"))
-
-
-@query(_values(samples.ARTICLE_TABLES))
-def article_tables(spark, d):
-    figures = samples.inputs(spark, samples.ARTICLE_TABLES).select("text", F.map_values(article.article("text").getField("figures")).alias("f"))
-    return figures.select("text", F.array_join("f", "|").alias("result"))
-
-
-@query(_values(samples.SYMBOLS))
-def unicode_symbols(spark, d):
-    return samples.inputs(spark, samples.SYMBOLS).withColumn("result", symbols.to_unicode("text"))
-
-
-@query(_values(samples.BIBLIOGRAPHY))
-def bib_items(spark, d):
-    return samples.inputs(spark, samples.BIBLIOGRAPHY).withColumn("result", F.array_join(html.references(F.col("text")), "|"))
-
-
 def _cells(spark, d):
     t = table(spark, d, "lineitem")
     return t.select(
         F.floor(F.col("l_orderkey") / 4).alias("doc_id"), F.col("l_orderkey").alias("row_no"), ((F.col("l_linenumber") * 1000000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")).alias("cell_no"), F.when(F.col("l_partkey") % 5 == 0, 2).alias("colspan"),
-        (F.col("l_partkey") % 3).cast("int").alias("rowspan"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("align"), (F.col("l_suppkey") % 2).alias("border"),
+        (F.col("l_partkey") % 3).cast("int").alias("rowspan"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("align"), (F.col("l_suppkey") % 5 % 3).alias("border"),
     )
 
 
 CELLS = """cells AS (SELECT l_orderkey // 4 AS doc_id, l_orderkey AS row_no, (l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey AS cell_no, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 1 END AS colspan, (l_partkey % 3)::INT AS rowspan,
- CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS align, l_suppkey % 2 AS border FROM lineitem),
+ CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS align, l_suppkey % 5 % 3 AS border FROM lineitem),
  wide AS (SELECT *, sum(colspan) OVER (PARTITION BY doc_id, row_no ORDER BY cell_no ROWS UNBOUNDED PRECEDING) AS ends, sum(colspan) OVER (PARTITION BY doc_id, row_no) AS width FROM cells)"""
 
 
@@ -460,12 +352,17 @@ def col_spec_mode(spark, d):
 
 
 @query(f"""WITH {CELLS}, at_ AS (SELECT doc_id, row_no, width, unnest(range((ends - colspan + 1)::BIGINT, (ends + 1)::BIGINT)) AS col, border FROM wide), r AS (SELECT *, col - row_number() OVER (PARTITION BY doc_id, row_no ORDER BY col) AS run FROM at_ WHERE border > 0),
- g AS (SELECT doc_id, row_no, width, run, min(col) a, max(col) b FROM r GROUP BY ALL) SELECT doc_id, row_no, CASE WHEN a = 1 AND b = width THEN '\\hline' ELSE '\\cline{{' || a || '-' || b || '}}' END AS rule FROM g""")
+ g AS (SELECT doc_id, row_no, width, run, min(col) a, max(col) b, arg_min(border, col) w FROM r GROUP BY ALL) SELECT doc_id, row_no, CASE WHEN a = 1 AND b = width THEN '\\hline' || repeat(' \\hline', (w - 1)::INT) ELSE '\\cline{{' || a || '-' || b || '}}' END AS rule FROM g""")
 def hline_runs(spark, d):
     return tables.rules(_cells(spark, d))
 
 
-@query(f"WITH {CELLS} SELECT doc_id, row_no, cell_no, false AS filler FROM cells UNION ALL SELECT doc_id, row_no + unnest(range(1, rowspan)), cell_no, true FROM cells WHERE rowspan > 1")
+@query(f"WITH {CELLS} SELECT doc_id, col::BIGINT AS col, max(b) AS bars FROM (SELECT doc_id, ends AS col, repeat('|', border::INT) AS b FROM wide WHERE colspan = 1) GROUP BY ALL")
+def column_bars(spark, d):
+    return tables.bars(_cells(spark, d))
+
+
+@query(f"WITH {CELLS}, c AS (SELECT *, (ends - colspan + 1)::BIGINT AS col FROM wide) SELECT doc_id, row_no, cell_no, col, false AS filler FROM c UNION ALL SELECT doc_id, row_no + unnest(range(1, rowspan)), cell_no, col, true FROM c WHERE rowspan > 1")
 def rowspan_fill(spark, d):
     return tables.square(_cells(spark, d))
 
@@ -477,11 +374,6 @@ def package_closure(spark, d):
     return catalogues.closure(edges)
 
 
-@query("SELECT * FROM (VALUES ('frac', '{{'), ('sqrt', '[{'), ('item', '[')) t(name, args)")
-def macro_longest_args(spark, d):
-    return catalogues.longest_arguments(samples.keys(spark))
-
-
 @query("SELECT p_brand AS name, arg_min(p_name, (p_size, p_partkey)) AS body, min(p_size) AS priority FROM part GROUP BY 1")
 def context_merge(spark, d):
     p = table(spark, d, "part").select(F.col("p_brand").alias("name"), F.col("p_size").alias("priority"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("body"))
@@ -500,22 +392,11 @@ def resume_anti(spark, d):
     return archives.pending(table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")), table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("doc_id")))
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 'pdf one'), (2, NULL), (3, NULL)) t(doc_id, content)")
-def first_output(spark, d):
-    parsed = samples.responses(spark).select("doc_id", files.response(F.col("body")).alias("r"))
-    return parsed.select("doc_id", files.first_output(F.col("r"), "pdf").cast("string").alias("content"))
-
-
 @query("SELECT p_partkey AS file FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49")
 def file_set_diff(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("file")).exceptAll(table(spark, d, "lineitem").where("l_quantity > 49").select("l_partkey").distinct())
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 'main', 'main.tex'), (1, 'b.tex', 'b.tex'), (1, 'c', '')) t(doc_id, name, member)")
-def resolve_files(spark, d):
-    return archives.resolve(*samples.members(spark))
-
-
 @query(f"WITH {LINES} SELECT doc_id, line_no AS pos, (count(*) FILTER (line LIKE '%.') OVER (PARTITION BY doc_id ORDER BY line_no))::INT AS section FROM lines")
 def section_number(spark, d):
     rows = tokens.lines(table(spark, d, "documents")).select("doc_id", F.col("line_no").alias("pos"), F.col("line").endswith(".").alias("heading"))
@@ -609,27 +490,12 @@ def figure_bodies(spark, d):
     return assemble.last_bodies(table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("role").alias("key"), F.col("turn").alias("pos"), F.col("text").alias("body")))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_name || p_size AS name, p_type AS body FROM part)
- SELECT name, body FROM p WHERE name NOT IN (SELECT name FROM p WHERE p_partkey % 3 = 0) AND NOT contains(name, '@') AND NOT contains(body, name)""")
-def private_macros(spark, d):
-    p = table(spark, d, "part").select("p_partkey", F.concat("p_name", "p_size").alias("name"), F.col("p_type").alias("body"))
-    return catalogues.private(p.select("name", "body"), p.where("p_partkey % 3 = 0").select("name"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey AS name FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size % 4 <> 0 AND p_size % 3 <> 0)")
 def colorable_macros(spark, d):
     known = table(spark, d, "part").select(F.col("p_partkey").alias("name"), (F.col("p_size") % 4 == 0).alias("discard"), F.when(F.col("p_size") % 3 == 0, " ").otherwise("r").alias("replacement"))
     return catalogues.colorable(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("name")), known)
 
 
-_SKIPS = [("affiliation", "elsarticle"), ("affiliation", "article"), ("author", "WileyNJD"), ("author", "NJD"), ("author", "article"), ("author", None)]
-
-
-@query("SELECT * FROM (VALUES ('affiliation', 'elsarticle', true), ('affiliation', 'article', false), ('author', 'WileyNJD', true), ('author', 'NJD', true), ('author', 'article', false), ('author', NULL, false)) t(macro, documentclass, skipped)")
-def skipped_macros(spark, d):
-    return spark.createDataFrame(_SKIPS, "macro string, documentclass string").withColumn("skipped", labels.skipped(F.col("macro"), F.col("documentclass")))
-
-
 @query("SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\\S'))) = 0 AS blank FROM documents")
 def blank_parts(spark, d):
     return table(spark, d, "documents").select("doc_id", textclean.is_empty(F.split("text", "\n")).alias("blank"))
@@ -650,11 +516,6 @@ def cut_extension(spark, d):
     return table(spark, d, "pages").select("page_id", textclean.cut_extension(F.col("url")).alias("stem"))
 
 
-@query(_values(samples.COMMENTS))
-def strip_comments(spark, d):
-    return samples.inputs(spark, samples.COMMENTS).withColumn("result", textclean.strip_comments(F.col("text")))
-
-
 @query("SELECT page_id, len(list_filter(regexp_extract_all(html, 'class=\"([^\"]*)\"', 1), lambda c: list_has_any(string_split(c, ' '), ['ad', 'footer', 'x']))) AS n FROM pages")
 def elements_of_class(spark, d):
     wanted = F.array(*[F.lit(c) for c in ("ad", "footer", "x")])

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -36,3 +36,13 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(path, path.relative_to(root.parent))
         context.addPyFile(str(to))
     return spark
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df, computed and written to the folder in spark.checkpoint.dir; a temporary folder where that is unset, in local mode only."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()

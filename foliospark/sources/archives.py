@@ -6,6 +6,7 @@ import gzip
 import io
 import posixpath
 import tarfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,11 +32,11 @@ def open_archive(blob: bytes):
     try:
         with tarfile.open(fileobj=io.BytesIO(blob)) as tar:
             return [(m.name, "tar", tar.extractfile(m).read()) for m in tar if m.isfile() and safe(m.name)]
-    except tarfile.TarError:
+    except (tarfile.TarError, EOFError, OSError, zlib.error):  # no tar, or one that ends early
         pass
     try:
         return [("main.tex", "gz", gzip.decompress(blob))]
-    except (OSError, EOFError):
+    except (OSError, EOFError, zlib.error):
         return [("file.pdf", "pdf", blob)]
 
 
@@ -54,9 +55,20 @@ def unpack(archives: DataFrame) -> DataFrame:
     return archives.select("doc_id", "content").mapInPandas(rows, MEMBERS)
 
 
+#: Marks at the beginning of a text in another encoding.
+MARKS = (("EFBBBF", "UTF-8"), ("FFFE", "UTF-16LE"), ("FEFF", "UTF-16BE"))
+
+
 def decode(content: Column) -> Column:
-    """UTF-8 where valid, else Latin-1."""
-    return F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
+    """By its byte order mark; without one UTF-16 where every other byte of the first ones is 0, UTF-8 where valid, else
+    Latin-1 (Windows-1252 where it has signs of that only)."""
+    head = F.hex(F.substring(content, 1, 8))
+    out = F.when(content.isNull(), F.lit(None).cast("string"))
+    for mark, name in MARKS:
+        out = out.when(head.startswith(mark), F.decode(F.substring(content, 1 + len(mark) // 2, 1 << 30), name))
+    out = out.when(head.rlike("^(?:[2-7][0-9A-F]00){2,}$"), F.decode(content, "UTF-16LE")).when(head.rlike("^(?:00[2-7][0-9A-F]){2,}$"), F.decode(content, "UTF-16BE"))
+    western = F.decode(content, "ISO-8859-1").rlike("[\u0080-\u009f]")
+    return out.when(western & ~F.is_valid_utf8(content.cast("string")), F.decode(content, "windows-1252")).when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
 def resolve(wanted: DataFrame, members: DataFrame) -> DataFrame:

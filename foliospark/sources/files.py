@@ -13,9 +13,21 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("doc_id", F.regexp_extract("file", r"^(.*)_\d+$", 1)).withColumn("page_no", F.regexp_extract("file", r"_(\d+)$", 1).cast("int") + 1).drop("file")
 
 
-def write_rows(rows: DataFrame, path: str) -> None:
-    """Canonical rows as Parquet by document."""
-    rows.write.mode("overwrite").partitionBy("doc_id").parquet(path)
+def write_rows(rows: DataFrame, path: str, buckets: int = 64) -> None:
+    """Canonical rows as Parquet in `buckets` folders by a hash of the document, sorted by document: its row groups can be
+    skipped when one is read, and there are no more folders than buckets, however many documents."""
+    placed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    placed.repartition("bucket").sortWithinPartitions("bucket", "doc_id").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def manifest(outputs: DataFrame) -> DataFrame:
+    """doc_id, path, type, bytes, sha256 of every compiled output (doc_id, type, path, contents in base64)."""
+    data = F.unbase64("contents")
+    return outputs.select("doc_id", "path", "type", F.length(data).cast("long").alias("bytes"), F.sha2(data, 256).alias("sha256"))
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
