@@ -217,11 +217,12 @@ class WindowIndex:
         marked = singles.join(before, F.expr("h1 = b1 AND h2 = b2")).where("least < first")
         marked = marked.groupBy(F.col("c1").alias("m1"), F.col("c2").alias("m2")).agg(F.collect_list("at").alias("ats"))
         outcome = seen.join(marked, F.expr("c1 = m1 AND c2 = m2"), "left").where("least < last OR ats IS NOT NULL")
-        outcome = outcome.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "least", "ats")
+        # written, so that both sides of the next join are plain shuffles and a class of very many copies can be split
+        outcome = durable(outcome.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "least", "ats"))
         hits = found.join(outcome, F.expr("c1 = k1 AND c2 = k2")).where("doc > least OR ats IS NOT NULL")
         spans = hits.select("blk", "i", "lo", F.when(F.col("doc") > F.col("least"), F.col("n")).alias("n"), F.when(F.col("doc") <= F.col("least"), F.col("ats")).alias("ats"))
         spans = durable(spans.groupBy(F.col("blk").alias("sblk")).agg(F.collect_list(F.struct("i", "lo", "n", "ats")).alias("spans")))
-        drop(found, crowded, singles, *([seen] if self.runs else []))
+        drop(found, crowded, singles, outcome, *([seen] if self.runs else []))
         self.texts.append((buckets, where, texts))
         self.runs.append(Run(0, buckets, paths, tables))
         return self.cut(texts, spans)

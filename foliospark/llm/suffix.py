@@ -195,11 +195,12 @@ class SuffixIndex:
         held = [F.coalesce(F.lit(None), *[F.col(f"l{k}_{c}") for k in range(len(self.levels))]).cast("int" if c != "blk" else "long").alias(f"old_{c}") for c in ("blk", "i", "lo")]
         seen = seen.select("c1", "c2", "g", "n", "q", "blk", "i", "lo", "copies", past.alias("past"), *held)
         seen = durable(seen) if self.levels else seen
-        again = seen.where("copies + past > 1")
-        spans = found.join(again.select(F.col("c1").alias("a1"), F.col("c2").alias("a2")), F.expr("c1 = a1 AND c2 = a2")).select("blk", "i", "lo", "n")
+        # written, so that both sides of the next join are plain shuffles and an entry of very many copies can be split
+        again = durable(seen.where("copies + past > 1").select(F.col("c1").alias("a1"), F.col("c2").alias("a2")))
+        spans = found.join(again, F.expr("c1 = a1 AND c2 = a2")).select("blk", "i", "lo", "n")
         spans = spans.unionByName(seen.where("past = 1").select(F.col("old_blk").alias("blk"), F.col("old_i").alias("i"), F.col("old_lo").alias("lo"), "n"))
         spans = durable(spans)
-        drop(found)
+        drop(found, again)
 
         need = seen.where("past = 0").join(crowded.select(F.col("g").alias("cg")), F.expr("g = cg"))
         parts = [self.entries(texts, need.withColumn("whole", F.expr("copies > 1")))]
