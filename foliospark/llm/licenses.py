@@ -3,7 +3,7 @@
 A paragraph is a line, or two lines that follow each other and are both short enough (`wrap` characters) to be one
 wrapped notice; such a pair counts only where neither of its lines does. A multinomial logistic regression over
 sparse word 1- to 3-grams is trained on the templates below (whole, cut and within other words) as the licence
-families and on a bounded sample of the corpus's own lines without licence words as the unknown class. Every
+families and on a bounded sample of the corpus's own different lines without licence words as the unknown class. Every
 paragraph is scored where it is, without a shuffle. A prediction counts if its probability reaches a cut,
 calibrated on other variants and other lines than those the model has learnt from (the cut with the best F1, in the
 middle of its gap), and if the paragraph shares half the template's or its own words.
@@ -79,8 +79,9 @@ def training(docs: DataFrame, sample: int) -> DataFrame:
             learn, held = variants(text)
             rows += [(x, float(i + 1), False) for x in learn] + [(x, float(i + 1), True) for x in held]
     known = docs.sparkSession.createDataFrame(rows, "line string, label double, held boolean")
-    other = lines(docs).where(~F.lower("line").rlike(NOTICE)).select("line")
-    other = other.withColumn("h", F.xxhash64("line")).orderBy("h", "line").limit(sample)
+    other = lines(docs).where(~F.lower("line").rlike(NOTICE)).select(F.xxhash64("line").alias("h"), "line")
+    least = other.select("h").distinct().orderBy("h").limit(sample).withColumnRenamed("h", "lh")  # at most `sample` numbers, so they may be broadcast
+    other = other.join(F.broadcast(least), F.expr("h = lh")).groupBy("h").agg(F.min("line").alias("line"))
     return known.unionByName(other.select("line", F.lit(0.0).alias("label"), (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(3)) == 0).alias("held")))
 
 

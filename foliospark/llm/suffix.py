@@ -85,7 +85,7 @@ class SuffixIndex:
     """window: bytes of a match; gram: bytes of an anchor; crowd: entries below one anchor from which on they are dealt out
     in stretches of `step` windows, by what a stretch holds rather than by the anchor (the result is the same)."""
 
-    def __init__(self, spark: SparkSession, window: int = 200, gram: int = 48, crowd: int = 256, step: int = 20):
+    def __init__(self, spark: SparkSession, window: int = 200, gram: int = 48, crowd: int = 256, step: int = 12):
         self.spark, self.window, self.gram, self.crowd, self.step = spark, window, gram, crowd, step
         self.levels: list[Level] = []
         self.texts: list[DataFrame] = []
@@ -211,13 +211,13 @@ class SuffixIndex:
         for part in parts[1:]:
             fresh = fresh.unionByName(part)
         level = self.level(0, classes, anchors, fresh)
-        self.spans += [spans, durable(self.scan([*self.levels, level], crowded))]
+        self.spans += [spans, durable(self.scan([*self.levels, level], crowded, number))]
         drop(crowded, *([seen] if self.levels else []))
         self.texts.append(texts)
         self.levels.append(level)
 
-    def scan(self, levels: list[Level], crowded: DataFrame) -> DataFrame:
-        """Windows that entries below the anchors in crowded have in common: blk, i, lo, n."""
+    def scan(self, levels: list[Level], crowded: DataFrame, number: int) -> DataFrame:
+        """Windows that entries below the anchors in crowded have in common, of which one at least is of batch `number`: blk, i, lo, n."""
         wanted = durable(crowded.select(F.col("g").alias("wg"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("ws")))
         both = None
         for level in levels:
@@ -227,7 +227,7 @@ class SuffixIndex:
         few = both.join(large, F.expr("g = lg"), "left_anti").select("g", "suffix", "before", "blk", "i", "lo", "n", "q", "whole")
         few = few.repartition(partitions(self.spark), "g").sortWithinPartitions("g", "suffix").mapInArrow(self.neighbours(), SPAN)
         many = both.join(large, F.expr("g = lg"), "left_semi")
-        return few.unionByName(self.dealt(many))
+        return few.unionByName(self.dealt(many, number))
 
     def neighbours(self):
         """A merge scan over entries in order; those of one anchor are bounded in number and come together."""
@@ -271,8 +271,9 @@ class SuffixIndex:
 
         return scan
 
-    def dealt(self, many: DataFrame) -> DataFrame:
-        """Windows that several entries below crowded anchors hold, by the digests of what they hold."""
+    def dealt(self, many: DataFrame, number: int) -> DataFrame:
+        """Windows that several entries below crowded anchors hold, by the digests of what they hold. Stretches that only
+        earlier batches have were compared then."""
         window, step = self.window, self.step
         keys = pa.schema([*[(c, pa.int64()) for c in ("k1", "k2", "f1", "f2", "blk")], *[(c, pa.int32()) for c in ("i", "lo", "n")], ("whole", pa.bool_()), ("h", pa.list_(pa.int64()))])
 
@@ -302,11 +303,12 @@ class SuffixIndex:
 
         split = durable(many.select("before", "suffix", "blk", "i", "lo", "n", "q", "whole").mapInArrow(divide, "k1 long, k2 long, f1 long, f2 long, blk long, i int, lo int, n int, whole boolean, h array<long>"))
         some = F.xxhash64("blk", "i", "lo")
-        stretches = split.groupBy("k1", "k2", "f1", "f2").agg(F.count("*").alias("copies"), F.min(F.struct(some.alias("o"), "blk", "i", "lo", "whole", "h")).alias("s"))
-        stretches = durable(stretches.select("k1", "k2", "f1", "f2", "copies", "s.*"))
-        equal = stretches.where("copies > 1").select(F.col("f1").alias("e1"), F.col("f2").alias("e2"))
+        fresh = F.max(F.shiftright("blk", PLACE + TASK) == number).alias("fresh")
+        stretches = split.groupBy("k1", "k2", "f1", "f2").agg(F.count("*").alias("copies"), fresh, F.min(F.struct(some.alias("o"), "blk", "i", "lo", "whole", "h")).alias("s"))
+        stretches = durable(stretches.select("k1", "k2", "f1", "f2", "copies", "fresh", "s.*"))
+        equal = stretches.where("copies > 1 AND fresh").select(F.col("f1").alias("e1"), F.col("f2").alias("e2"))
         whole = split.where("NOT whole").join(equal, F.expr("f1 = e1 AND f2 = e2")).select("blk", "i", "lo", "n")
-        shared = stretches.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).count().where("count > 1").select("s1", "s2")
+        shared = stretches.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(F.count("*").alias("n"), F.max("fresh").alias("fresh")).where("n > 1 AND fresh").select("s1", "s2")
         single = stretches.join(shared, F.expr("k1 = s1 AND k2 = s2"))
         single = single.select("blk", "i", "lo", F.expr("whole OR copies > 1").alias("done"), "h", F.explode(F.sequence(F.lit(0), (F.size("h") / 2 - 1).cast("int"))).alias("at"))
         single = single.select("blk", "i", F.expr("lo + at").alias("lo"), "done", F.expr("h[2 * at]").alias("h1"), F.expr("h[2 * at + 1]").alias("h2"))

@@ -10,7 +10,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from foliospark.llm import decontam, licenses, mixing, quality, secrets, tiff, toxicity
 
 DATA = "/root/testdata/sf0.001"
@@ -61,7 +60,7 @@ def test_mixing(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = mixing.table(docs)
     assert key(tuple(r) for r in got.select(*sorted(got.columns)).collect()) == key(con.sql(f"SELECT {', '.join(sorted(got.columns))} FROM ({mixing.oracle()})").fetchall())
-    raked = mixing.rake(mixing.keyed(docs).groupBy("m_source", "m_lang", "m_topic").agg(F.sum("m_tokens").alias("tokens")).coalesce(1), rounds=30).toPandas()
+    raked = mixing.rake(mixing.cells_of(docs).coalesce(1), rounds=30).toPandas()
     by = raked.groupby("m_lang")[["tokens", "w"]].sum()
     assert np.allclose(by.w / by.w.sum(), by.tokens**0.7 / (by.tokens**0.7).sum(), rtol=1e-3)
     assert mixing.sample(frame(spark, [])).count() == 0
@@ -80,11 +79,48 @@ def test_secrets(spark):
     assert key not in kept[10] and kept[3] == "plain words here" and kept[1] is None
 
 
+def test_mixing_shares(spark):
+    """Given shares are met, values that they don't name share the rest, and the path for many cells gives the same."""
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, "w " * rng.randint(1, 60), rng.choice("abc"), rng.choice(["en", "fr", None]), rng.choice(["t", "u"]), "k") for i in range(400)], "doc_id long, text string, source string, lang string, m_topic string, c_source string")
+    shares = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.2)], "value string, share double"), "topic": spark.createDataFrame([("t", 3.0), ("u", 1.0)], "value string, share double")}
+    by = F.col("m_topic")
+    found = {}
+    for few in (True, False):
+        raked = mixing.rake(mixing.cells_of(docs, by), shares=shares, few=few).toPandas()
+        total = raked.tokens.sum()
+        for margin, want in (("m_source", {"a": 0.5, "b": 0.2, "c": 0.3}), ("m_topic", {"t": 0.75, "u": 0.25})):
+            got = raked.groupby(margin).w.sum() / total
+            assert all(abs(got[k] - v) < 1e-3 for k, v in want.items())
+        found[few] = sorted((r.m_source, r.m_lang, r.m_topic, round(r.w, 6)) for r in raked.itertuples())
+    assert found[True] == found[False]
+    cells = mixing.plan(docs, shares=shares, by=by)[0].toPandas()
+    assert abs((cells.tokens * cells.p).sum() / cells.tokens.sum() - 0.5) < 1e-9 and cells.p.max() <= 1
+    few, many = (mixing.sample(docs, shares=shares, by=by, few_cells=n) for n in (50_000, 0))
+    assert few.columns == ["doc_id", "text", "source", "lang", "m_topic", "c_source", "topic", "tokens", "probability", "weight"]
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and {r["c_source"] for r in few.collect()} == {"k"}
+    with pytest.raises(ValueError, match="targets"):
+        one = spark.createDataFrame([(1, "x", "a", "en"), (2, "x y", "b", "fr")], "doc_id long, text string, source string, lang string")
+        mixing.rake(mixing.cells_of(one), shares={"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "value string, share double")}, most=2)
+
+
 def test_licenses(spark):
     lines = ["word other thing here", "numbers and lines of prose", "the use of any work in this place"]
-    rows = [*ODD, *[(100 + i, "\n".join(lines[i % 3 :] + [f"text {i}"])) for i in range(60)], (500, "x\nReleased under the MIT License.\ny"), (501, "Licensed under the Apache License, Version 2.0.")]
-    got = {(r["doc_id"], r["paragraph"], r["family"]) for r in licenses.scan_licenses(frame(spark, rows)).collect()}
-    assert got == {(500, 1, "mit"), (501, 0, "apache")}
+    twice = "x\nReleased under the MIT License.\ny"
+    rows = [*ODD, *[(100 + i, "\n".join(lines[i % 3 :] + [f"text {i}"])) for i in range(60)], (500, twice), (500, twice), (None, twice), (None, "Licensed under the Apache License, Version 2.0.")]
+    rows += [(501, "Licensed under the Apache License, Version 2.0."), (502, "one\nPermission is hereby granted, free of charge,\nto any person obtaining a copy of this software\ntwo"), (503, "the use of any work\nin this place")]
+    got = Counter((r["doc_id"], r["paragraph"], r["n_lines"], r["family"]) for r in licenses.scan_licenses(frame(spark, rows)).collect())
+    wrapped = [k for k in got if k[0] == 502]
+    assert wrapped and {k[3] for k in wrapped} == {"mit"} and {k[1] for k in wrapped} <= {1, 2}
+    assert got - Counter({k: 1 for k in wrapped}) == Counter({(500, 1, 1, "mit"): 2, (None, 1, 1, "mit"): 1, (None, 0, 1, "apache"): 1, (501, 0, 1, "apache"): 1})
+    once = {(r["doc_id"], r["paragraph"]): r["probability"] for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    again = {(r["doc_id"], r["paragraph"]): r["probability"] for r in licenses.scan_licenses(frame(spark, rows + rows)).collect()}
+    assert once.keys() == again.keys() and licenses.scan_licenses(frame(spark, [])).count() == 0
+
+
+def test_license_cut():
+    assert licenses.best_cut([(0.9, True), (0.8, True), (0.3, False), (0.1, False)]) == pytest.approx(0.55)
+    assert licenses.best_cut([]) == 0.5 and 0.3 < licenses.best_cut([(0.9, True), (0.5, False), (0.4, True), (0.2, False)]) < 0.9
 
 
 def test_toxicity(spark):
@@ -141,18 +177,6 @@ def test_tiff_table(spark):
     assert sorted((r["id"], r["page"], r["error"] is None) for r in tiff.decode(media).collect()) == [(1, 0, True), (2, None, False), (3, None, False)]
 
 
-def test_pipeline(spark):
-    got = corpus_pipeline.run(spark, DATA)
-    ids = [r["doc_id"] for r in got.select("doc_id").collect()]
-    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    assert len(ids) == len(set(ids)) and set(ids) <= set(docs) and len(ids) > 0.2 * len(docs)
-    texts = [docs[i] for i in ids]
-    assert len(texts) == len(set(texts))
-    items = [r["text"] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
-    assert not any(i in t for t in texts for i in items)
-    assert not any("AKIA" in r["text"] and secrets.ACCESS.search(r["text"]) and len(secrets.ACCESS.search(r["text"])[0]) >= 20 for r in got.collect())
-
-
 def test_repeated_ids_are_learnt_once(spark):
     """A third of all rows under one labelled id must not reach the driver row by row."""
     rows = [(i, "fine words here" if i % 2 else "scum and more words") for i in range(60)] + [(3, "fine words here")] * 200
