@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliospark.functions import textclean
+from foliospark.functions.grammar import ENVIRONMENTS, MACROS, names
+from foliospark.operators import color
+from foliospark.operators.labels import ENVIRONMENTS as ROLES
+from foliospark.operators.labels import SPOKEN
+
+PLACEHOLDER = textclean.PLACEHOLDER
+
 TOKEN = re.compile(r"%[^\n]*\n?\s*|\\[A-Za-z@]+|\\.|[\s\S]", re.S)
 DEFINERS = {"\\newcommand", "\\renewcommand", "\\newenvironment", "\\renewenvironment"}
 
@@ -168,34 +176,71 @@ def expand_macros(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else Expander().run(t) if t else "")
 
 
+def take_out(text: str) -> tuple[str, dict[str, str]]:
+    """Definitions replaced by numbered placeholders, and the definitions by number."""
+    tokens, out, held, i = tokenize(text), [], {}, 0
+    while i < len(tokens):
+        stop = Expander().define(tokens, i) if tokens[i] in DEFINERS else None
+        if stop:
+            out.append(f"\\{PLACEHOLDER}{{{len(held)}}}\n")
+            held[str(len(held))] = "".join(tokens[i:stop])
+        else:
+            out.append(tokens[i])
+        i = stop or i + 1
+    return "".join(out), held
+
+
+def cleaned(text: str) -> tuple[str, dict[str, str]]:
+    """Braces balanced, a line for each package, own macros expanded, definitions taken out, and one end of the document."""
+    call = re.compile(r"\\usepackage(\[[^\]]*\])?\{([^}]*)\}")
+    text = call.sub(lambda m: "\n".join(f"\\usepackage{m[1] or ''}{{{name.strip()}}}" for name in m[2].split(",")), textclean.balanced(text))
+    text, held = take_out(Expander().run(text))
+    head, end, rest = text.partition("\\end{document}")
+    return head + end + rest.replace("\\end{document}", ""), held
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.MapType(T.StringType(), T.StringType()))]))
+def clean(text: pd.Series) -> pd.DataFrame:
+    """A document ready for the walk: text, and the definitions that were taken out of it, by number (removed)."""
+    return pd.DataFrame([(None, {}) if t is None else cleaned(t) for t in text], columns=["text", "removed"])
+
+
 LEVELS = {"title": 0, "part": 1, "chapter": 2, "section": 3, "subsection": 4, "subsubsection": 5, "paragraph": 6, "subparagraph": 7}
 
 
+#: Macros that stay as they are and whose arguments no label has.
+QUIET = {"usepackage", "documentclass", "label", "ref", "eqref", "pageref", "cite", "citep", "citet", "input", "include", "newcommand", "renewcommand", "providecommand", "newenvironment", "renewenvironment", "end", "bibliographystyle", "setlength", "setcounter", "addlength", "addcounter"}
+FORMULAS = {"equation", "align", "gather", "eqnarray", "multline", "displaymath", "math"}
+
+
 def label_of_environment(name: str | None) -> str | None:
+    """The label of the first role that a part of the name speaks of."""
     if name is None:
         return None
-    low = name.lower()
-    for parts, label in ((("title",), "Title"), (("author", "address"), "Author"), (("abstract", "keyword"), "Abstract"), (("section",), "Section"), (("footnote",), "Footer"), (("caption",), "Caption"), (("enum", "list", "itemize", "desc"), "List")):
-        if any(p in low for p in parts):
-            return label
-    return "Paragraph"
+    return next((label for parts, label in ROLES if any(p in name.lower() for p in parts)), "Paragraph")
 
 
 class Walker:
-    """Rows (pos, pos_end, kind, name, label, section, block, reading) of the words, formulas and figures of a document."""
+    """Rows (pos, pos_end, kind, name, label, section, block, reading) of the words, formulas and figures of a document.
 
-    def __init__(self):
+    What a macro takes is looked up in the document's grammar, which its own \newcommand and \newenvironment extend
+    for what follows. Of a macro that isn't in it, the groups that follow are its own and get no label."""
+
+    def __init__(self, macros: dict[str, str] | None = None, environments: dict[str, str] | None = None):
         self.rows, self.block, self.section, self.reading = [], 0, 0, 0
+        self.macros = names(MACROS) | dict(macros or {})
+        self.environments = names(ENVIRONMENTS) | dict(environments or {})
 
     def emit(self, a, b, kind, name, label):
         order = -1 if label is None else self.reading
         self.reading += label is not None
         self.rows.append((a, b, kind, name, label, self.section, self.block, order))
 
+    PIECE = re.compile(r"%[^\n]*|\n[ \t]*\n|\\begin\s*\{([^}]*)\}|\\([A-Za-z@]+)\*?|\\.|\$\$?|[{}]|[^\s\\${}%]+", re.S)
+
     def walk(self, text: str, at: int, end: int, label: str | None):
-        rx = re.compile(r"%[^\n]*|\n[ \t]*\n|\\begin\s*\{([^}]*)\}|\\([A-Za-z]+)\*?|\\.|\$\$?|[{}]|[^\s\\${}%]+", re.S)
         while at < end:
-            m = rx.search(text, at, end)
+            m = self.PIECE.search(text, at, end)
             if not m:
                 return
             at = m.end()
@@ -226,84 +271,131 @@ class Walker:
                 break
         else:
             after = end
+        begin = self.arguments(text, m.end(), stop, self.environments.get(name, ""))[1]
         self.block += label is not None
         if name == "document":
-            self.walk(text, m.end(), stop, "Paragraph")
-        elif name.rstrip("*") in ("equation", "align", "gather", "eqnarray", "multline", "displaymath", "math"):
+            self.walk(text, begin, stop, "Paragraph")
+        elif name.rstrip("*") in FORMULAS:
             self.emit(m.start(), after, "math", name, "Equation")
         elif "bibliography" in name:
             self.section += 1
-            self.walk(text, m.end(), stop, "Reference")
+            self.walk(text, begin, stop, "Reference")
+        elif any(p in name for p in ("tikz", "forest")):
+            self.emit(m.start(), after, "figure", name, "Figure")
         elif name != "CCSXML":
-            inner = "Figure" if any(p in name for p in ("tikz", "forest")) else "Table" if any(p in name for p in ("tabular", "tabbing", "longtable")) else "Paragraph" if name.startswith("algorithm") else None
-            if inner == "Figure":
-                self.emit(m.start(), after, "figure", name, "Figure")
-            else:
-                self.walk(text, m.end(), stop, inner or (label_of_environment(name) if label in (None, "Paragraph") else label))
+            inner = "Table" if any(p in name for p in ("tabular", "tabbing", "longtable")) else "Paragraph" if name.startswith("algorithm") else None
+            self.walk(text, begin, stop, inner or (label_of_environment(name) if label in (None, "Paragraph") else label))
         self.block += label is not None
         return after
 
-    def arguments(self, text, at, end):
-        """Spans of [..] and {..} right behind a macro."""
-        found = []
-        while at < end and text[at] in "[{":
-            close = {"[": "]", "{": "}"}[text[at]]
-            level, j = 0, at
-            while j < end:
-                if text[j] == "\\":
-                    j += 2
-                    continue
-                level += (text[j] == text[at]) - (text[j] == close)
-                if not level:
-                    break
-                j += 1
-            if j >= end:
-                break
-            found.append((at + 1, j))
-            at = j + 1
-        return found, at
+    BLANK = re.compile(r"(?:[ \t]|\n(?![ \t]*\n)|%[^\n]*\n?)*")
+
+    def group(self, text, at, end):
+        """The end of the group that opens at `at`, or None."""
+        opened, closed = text[at], {"[": "]", "{": "}"}[text[at]]
+        level, j = 0, at
+        while j < end:
+            if text[j] == "\\":
+                j += 2
+                continue
+            level += (text[j] == opened) - (text[j] == closed)
+            if not level:
+                return j
+            j += 1
+        return None
+
+    def arguments(self, text, at, end, args: str | None):
+        """(sign, first, end) of each argument from `at`, and where they end. args None: all groups that follow."""
+        found, signs = [], iter(args or "")
+        while True:
+            sign = next(signs, None) if args is not None else None
+            if args is not None and sign is None:
+                return found, at
+            here = self.BLANK.match(text, at, end).end()
+            c = text[here : min(here + 1, end)]
+            if sign == "*":
+                at = here + 1 if c == "*" else at
+            elif c and c in "[{" and (sign is None or c == sign):
+                stop = self.group(text, here, end)
+                if stop is None:
+                    return found, at
+                found.append((c, here + 1, stop))
+                at = stop + 1
+            elif sign == "{" and c and c not in "}]":
+                token = re.compile(r"\\[A-Za-z@]+|\\.|.", re.S).match(text, here, end)
+                found.append(("{", token.start(), token.end()))
+                at = token.end()
+            elif sign != "[":
+                return found, at
+
+    def define(self, text, spans, table):
+        """What a definition adds to the grammar: a group for each argument that it names, after an optional one."""
+        groups = [text[a:b].strip() for c, a, b in spans if c == "{"]
+        number = next((text[a:b].strip() for c, a, b in spans if c == "["), "")
+        if groups and "@" not in groups[0]:
+            table[groups[0].lstrip("\\")] = "[" + "{" * int(number) if number.isdigit() else ""
 
     def macro(self, text, m, end, label):
         name = m[2]
-        spans, after = self.arguments(text, m.end(), end)
+        if name not in self.macros:
+            return self.arguments(text, m.end(), end, None)[1]
+        signs = self.macros[name]
+        spans, after = self.arguments(text, m.end(), end, signs.removeprefix("*") if m[0].endswith("*") else signs)
+        if name in ("newcommand", "newenvironment"):
+            self.define(text, spans, self.macros if name == "newcommand" else self.environments)
+        if name == "vskip":
+            return re.compile(r"\s*-?[\d.]*\s*(?:[a-z]{2}(?![a-z])|\\[A-Za-z]+)?").match(text, after, end).end()
+        groups = [(a, b) for c, a, b in spans if c == "{"]
         if name == "par":
             self.block += 1
         elif name == "includegraphics":
             self.emit(m.start(), after, "figure", name, "Figure")
         elif name in LEVELS and LEVELS[name] < 6:
             self.section += 1
-            self.walk(text, *spans[-1], "Title" if name == "title" else "Section") if spans else None
+            if groups:
+                self.walk(text, *groups[-1], "Title" if name == "title" else "Section")
             self.block += name == "title" and label is not None
         elif "bibliography" in name:
-            self.section += 1
-        elif spans and name in ("usepackage", "documentclass", "label", "ref", "cite", "input", "include", "newcommand", "renewcommand", "end", "bibliographystyle"):
-            pass
-        elif spans:
-            own = label
-            for parts, to in ((("author", "address", "institut", "affiliat"), "Author"), (("abstract", "keyword"), "Abstract"), (("footnote", "thanks"), "Footer")):
-                if own == label and any(p in name for p in parts) and "short" not in name:
-                    own = to
-            own = "Caption" if name == "caption" else own
-            for a, b in spans:
-                if text[a - 1] == "{":
-                    self.walk(text, a, b, own)
+            self.section += name != "bibliographystyle"
+        elif name not in QUIET:
+            own = next((to for parts, to in SPOKEN if any(p in name for p in parts) and "short" not in name), label)
+            for a, b in groups:
+                self.walk(text, a, b, "Caption" if name == "caption" else own)
         return after
 
 
 def parse_latex(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, pos_end, kind, name, label, section, block, reading of every document's nodes. docs: doc_id, text."""
+    """doc_id, pos, pos_end, kind, name, label, section, block, reading of every document's nodes.
+
+    docs: doc_id, text and, if their packages are known, macros and environments (see grammar.context)."""
     columns = ["pos", "pos_end", "kind", "name", "label", "section", "block", "reading"]
+    grammar = [c for c in ("macros", "environments") if c in docs.columns]
 
     def scan(batches):
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                w = Walker()
+            for doc, text, *added in zip(batch["doc_id"], batch["text"], *[batch[c] for c in grammar], strict=True):
+                w = Walker(**dict(zip(grammar, (dict(x) if x is not None else {} for x in added), strict=True)))
                 w.walk(text or "", 0, len(text or ""), None)
                 if w.rows:
                     yield pd.DataFrame(w.rows, columns=columns).assign(doc_id=doc)[["doc_id", *columns]]
 
-    return docs.select("doc_id", "text").mapInPandas(scan, "doc_id long, pos int, pos_end int, kind string, name string, label string, section int, block int, reading int")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", *grammar).mapInPandas(scan, f"doc_id {kind}, pos int, pos_end int, kind string, name string, label string, section int, block int, reading int")
+
+
+def colored_documents(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """doc_id, text: the texts (doc_id, text) with every labelled row (doc_id, pos, pos_end, kind, reading, color_key) in its colour:
+    words and formulas by \\color, figures by \\colorbox. The rest of a text stays as it is."""
+    part = lambda a, b: F.substr("text", a + 1, b - a)
+    live = rows.where("label IS NOT NULL").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "pos_end", "kind", "color_key"))).alias("all"))
+    joined = docs.join(live, "doc_id", "left")
 
+    def piece(x, i):
+        before = F.when(i > 0, F.get("all", i - 1)["pos_end"]).otherwise(0)
+        own = part(x["pos"], x["pos_end"])
+        figure = F.concat(F.lit("\\colorbox[rgb]{"), x["color_key"], F.lit("}{"), own, F.lit("}"))
+        return F.concat(part(before, x["pos"]), F.when(x["kind"] == "figure", figure).otherwise(color.colored_text(own, x["color_key"])))
 
-def colored(word: str, rgb: tuple[int, int, int]) -> str:
-    return "{\\color[RGB]{%d, %d, %d}%s}" % (*rgb, word)
+    last = F.coalesce(F.element_at("all", -1)["pos_end"], F.lit(0))
+    body = F.concat(F.array_join(F.transform("all", piece), ""), part(last, F.length("text")))
+    return joined.select("doc_id", F.when(F.col("all").isNull(), F.col("text")).otherwise(body).alias("text"))

@@ -22,13 +22,14 @@ def closure(edges: DataFrame, limit: int = 1000) -> DataFrame:
     raise ValueError(f"a chain of more than {limit} includes")
 
 
-def longest_arguments(keys: DataFrame, signs: str = "[{*", known: DataFrame | None = None) -> DataFrame:
+def longest_arguments(keys: DataFrame, signs: str = "[{*", known: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """name, args: of keys `name[opt]{arg}` (key, ord) the longest argument signs of every name, the first at a tie.
 
-    Names whose signs aren't all among `signs`, that end in _ or that `known` (name) has already are left out."""
-    parts = keys.select("ord", F.regexp_extract("key", r"^([\w\\_:]+)", 1).alias("name"), F.col("key"))
+    Names whose signs aren't all among `signs`, that end in _ or that `known` (name) has already are left out. by: parts of
+    the struct ord within which names are apart."""
+    parts = keys.select("ord", *[F.col(f"ord.{c}").alias(c) for c in by], F.regexp_extract("key", r"^([\w\\_:]+)", 1).alias("name"), F.col("key"))
     parts = parts.withColumn("args", F.regexp_replace(F.expr("substring(key, length(name) + 1)"), r"[}\]>]", ""))
-    longest = parts.where("name <> ''").groupBy("name").agg(F.max_by("args", F.struct(F.length("args"), -F.col("ord"))).alias("args"))
+    longest = parts.where("name <> ''").withColumn("size", F.length("args")).groupBy(*by, "name").agg(F.max("size").alias("most"), F.min_by("args", F.struct(-F.col("size"), "ord")).alias("args")).drop("most")
     allowed = F.array(*[F.lit(c) for c in signs])
     longest = longest.where((F.size(F.array_except(F.filter(F.split("args", ""), lambda c: c != ""), allowed)) == 0) & ~F.col("name").endswith("_"))
     return longest.join(known.select("name"), "name", "left_anti") if known is not None else longest

@@ -8,6 +8,8 @@ ENVIRONMENTS = (
     (("title",), "Title"), (("author", "address"), "Author"), (("abstract", "keyword"), "Abstract"), (("section",), "Section"),
     (("footnote",), "Footer"), (("caption",), "Caption"), (("enum", "list", "itemize", "desc"), "List"),
 )
+#: Fixed values: (parts of a macro's name, label of its arguments).
+SPOKEN = ((("author", "address", "institut", "affiliat"), "Author"), (("abstract", "keyword"), "Abstract"), (("footnote", "thanks"), "Footer"))
 PALETTE = ("Abstract", "Author", "Caption", "Equation", "Figure", "Footer", "List", "Paragraph", "Reference", "Section", "Table", "Title")
 
 
@@ -29,11 +31,12 @@ def by_environment(name: Column) -> Column:
 def by_macro(name: Column, current: Column) -> Column:
     """Label that a macro gives its arguments; other macros keep the current label."""
     short = name.contains("short")
+    author, abstract, footer = (_any(name, parts) for parts, _ in SPOKEN)
     return (
         F.when(name.contains("title") & ~short, "Title")
-        .when(_any(name, ("author", "address", "institut", "affiliat")) & ~short, "Author")
-        .when(_any(name, ("abstract", "keyword")), "Abstract")
-        .when(_any(name, ("footnote", "thanks")), "Footer")
+        .when(author & ~short, "Author")
+        .when(abstract, "Abstract")
+        .when(footer, "Footer")
         .when(name == "caption", "Caption")
         .when(name.contains("section") | name.isin("chapter", "part"), "Section")
         .otherwise(current)

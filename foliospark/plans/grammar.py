@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions import article, html, latex, symbols, textclean
+from foliospark.functions import article, grammar, html, latex, rendering, symbols, textclean
 from foliospark.operators import catalogues, color, labels, logs
 from foliospark.plans.registry import query, table
-from foliospark.sources import archives, files
+from foliospark.sources import archives, files, papers
 
 
 def _q(text: str) -> str:
@@ -406,3 +406,101 @@ def parse_latex(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("\\documentclass{article}\n\\begin{document}\n"), F.array_join(F.transform(F.split("text", "\n"), tex), "\n"), F.lit("\n\\end{document}\n")).alias("text"))
     found = latex.parse_latex(docs)
     return found.join(docs, "doc_id").select("doc_id", "reading", F.substr("text", F.col("pos") + 1, F.col("pos_end") - F.col("pos")).alias("text"), "label", "section")
+
+
+_WALKED = r"""CASE WHEN p_size % 2 = 0 THEN 'Title' END"""
+
+
+@query(r"""WITH w AS (SELECT p_partkey AS doc_id, p_size, list_concat(list_concat([p_size::VARCHAR], string_split(p_name, ' ')), CASE WHEN p_size % 2 = 0 THEN [p_brand] ELSE [] END) AS w FROM part)
+ SELECT doc_id, unnest(range(len(w)))::INT AS reading, unnest(w) AS text FROM w""")
+def parse_macros(spark, d):
+    """Arguments of unknown macros have no label; a definition, or a package, makes a macro known."""
+    p = table(spark, d, "part").withColumn("doc_id", F.col("p_partkey"))
+    own = F.when(F.col("p_size") % 2 == 0, "\\newcommand{\\odd}[1]{x}").otherwise("")
+    tex = F.concat(F.lit("\\begin{document}"), own, F.lit("\\strange{no}[nor] % \n {this} "), "p_size", F.lit(" \\packed{"), "p_name", F.lit("}{x}\\odd{"), "p_brand", F.lit("}\\end{document}"))
+    # {x} is \packed's second argument where the package says so; it has none of its own
+    docs = p.select("doc_id", F.concat(F.lit("\\usepackage{one}"), F.replace(tex, F.lit("{x}\\odd"), F.lit("\\odd"))).alias("text"))
+    entries = spark.createDataFrame([("two", "cmds", "packed", "{")], "package string, kind string, name string, args string")
+    found = latex.parse_latex(grammar.context(docs, entries, spark.createDataFrame([("one", "two")], "package string, includes string")))
+    return found.join(docs, "doc_id").select("doc_id", "reading", F.substr("text", F.col("pos") + 1, F.col("pos_end") - F.col("pos")).alias("text"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'p' || (p_partkey % 40) AS package, 'p' || (p_partkey % 40 * 3 + 1) % 40 AS includes FROM part), c AS (SELECT DISTINCT package AS root, package FROM e UNION SELECT c.root, e.includes FROM c JOIN e ON e.package = c.package),
+ k AS (SELECT DISTINCT 'p' || (p_partkey % 40) AS package, 'm' || (p_size % 17) AS name, repeat('{', (p_partkey % 3)::INT) AS args FROM part), l AS (SELECT package, name, arg_max(args, length(args)) AS args FROM k GROUP BY ALL),
+ d AS (SELECT doc_id, 'p' || (doc_id % 40) AS root FROM documents), r AS (SELECT DISTINCT doc_id, package FROM d JOIN c USING (root)), f AS (SELECT doc_id, name, arg_min(args, package) AS args FROM r JOIN l USING (package) GROUP BY ALL)
+ SELECT d.doc_id, coalesce(string_agg(name || args, ',' ORDER BY name), '') AS macros FROM d LEFT JOIN f USING (doc_id) GROUP BY 1""")
+def grammar_context(spark, d):
+    p = table(spark, d, "part").select(F.concat(F.lit("p"), F.col("p_partkey") % 40).alias("package"), F.concat(F.lit("p"), (F.col("p_partkey") % 40 * 3 + 1) % 40).alias("includes"), F.concat(F.lit("m"), F.col("p_size") % 17, F.repeat(F.lit("{}"), (F.col("p_partkey") % 3).cast("int"))).alias("key"))
+    cmds = p.groupBy("package").agg(F.collect_set("key").alias("keys")).select("package", F.map_from_arrays("keys", F.transform("keys", lambda _: F.lit(""))).alias("cmds"), F.lit(None).cast("map<string,string>").alias("envs"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("\\documentclass[x]{a}\n\\usepackage [y] {q, p"), F.col("doc_id") % 40, F.lit("}")).alias("text"))
+    found = grammar.context(docs, grammar.entries(cmds), p.select("package", "includes").distinct())
+    return found.select("doc_id", F.array_join(F.transform(F.map_entries("macros"), lambda e: F.concat(e["key"], e["value"])), ",").alias("macros"))
+
+
+@query("""WITH l AS (SELECT 'f' || (p_partkey % 20) AS package, p_size % 3 AS k, p_size AS n FROM part) SELECT DISTINCT package, CASE k WHEN 0 THEN 'includes' WHEN 1 THEN 'cmds' ELSE 'envs' END AS kind, CASE k WHEN 0 THEN 'g' || n WHEN 1 THEN 'm' || n || '{}[]' ELSE 'e' || n || '{}' END AS key FROM l""")
+def package_files(spark, d):
+    k, n = F.col("p_size") % 3, F.col("p_size").cast("string")
+    line = F.when(k == 0, F.concat(F.lit("#include:g"), n)).when(k == 1, F.concat(F.lit("\\m"), n, F.lit("{arg}[an option]#n"))).otherwise(F.concat(F.lit("\\begin{e"), n, F.lit("}{x}")))
+    lines = table(spark, d, "part").select(F.concat(F.lit("f"), F.col("p_partkey") % 20, F.lit(".cwl")).alias("file"), line.alias("line"))
+    found = files.packages_of(lines.union(lines.select(F.lit("expl3.cwl"), F.lit("\\no"))))
+    part = lambda kind, keys: found.select("package", F.lit(kind).alias("kind"), F.explode(keys).alias("key"))
+    return part("includes", F.col("includes")).union(part("cmds", F.map_keys("cmds"))).union(part("envs", F.map_keys("envs")))
+
+
+@query("""SELECT p_partkey AS id, chr(10) || chr(10) || '§ ' || upper(p_name) || chr(10) || p_type || ' ' || p_size || '/2[' || p_brand || '] ' || p_name || ' <u>' || chr(10) || '  * 5% ' || p_size || chr(10) || '  x y' AS text FROM part""")
+def tex_rendering(spark, d):
+    tex = F.concat(F.lit("\\section*{"), "p_name", F.lit("}\\textbf{"), "p_type", F.lit("} \\frac{"), "p_size", F.lit("}2\\footnote{"), "p_brand", F.lit("} \\href{u}{"), "p_name", F.lit("}\\begin{itemize}\\item 5\\% "), "p_size", F.lit("\\label{z}\\item[x] y% note\n\\end{itemize}"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), rendering.to_text(tex).alias("text"))
+
+
+@query(r"""SELECT p_partkey AS id, '\usepackage{a}' || chr(10) || '\usepackage{' || p_brand || '}\foliokept{0}' || chr(10) || '\begin{document}<' || p_name || '>\end{document} z' AS text, '\newcommand{\v}[1]{<#1>}' AS removed FROM part""")
+def clean_tex(spark, d):
+    tex = F.concat(F.lit("\\usepackage{a, "), "p_brand", F.lit("}}\\newcommand{\\v}[1]{<#1>}\\begin{document}\\v{"), "p_name", F.lit("}\\end{document}{ z\\end{document}"))
+    found = table(spark, d, "part").select("p_partkey", latex.clean(tex).alias("c"))
+    return found.select(F.col("p_partkey").alias("id"), "c.text", F.col("c.removed")["0"].alias("removed"))
+
+
+# -- papers of several files, made of the lines of documents, four to a file
+
+_PAPER = r"""l AS (SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)), v AS (SELECT doc_id, i, i // 4 AS k, regexp_extract_all(line, '[A-Za-z]+') AS w FROM l),
+ c AS (SELECT doc_id, k, string_agg(array_to_string(w, ' '), chr(10) ORDER BY i) AS body FROM v GROUP BY ALL)"""
+_HEAD, _TAIL = "\\documentclass{article}\n\\begin{document}\n", "\n\\input{gone}\n\\end{document}"
+
+
+def _members(spark, d) -> DataFrame:
+    words = lambda x: F.array_join(F.regexp_extract_all(x, F.lit("[A-Za-z]+"), F.lit(0)), " ")
+    lines = table(spark, d, "documents").select("doc_id", F.transform(F.split("text", "\n"), words).alias("l"))
+    n = F.ceil(F.size("l") / 4).cast("int")
+    each = lines.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.array_join(F.slice("l", k * 4 + 1, F.lit(4)), "\n"))).alias("k", "body"))
+    k = F.col("k").cast("string")
+    chapters = each.select("doc_id", F.concat(F.lit("c"), k, F.lit(".tex")).alias("member"), F.concat(F.when(F.col("k") % 3 == 0, F.concat(F.lit("\\input{ d"), k, F.lit("}\n"))).otherwise(""), "body").alias("text"))
+    deep = each.where("k % 3 = 0").select("doc_id", F.concat(F.lit("d"), k, F.lit(".latex")).alias("member"), F.concat(F.lit("D"), k).alias("text"))
+    main = lines.select("doc_id", F.lit("main.tex").alias("member"), F.concat(F.lit(_HEAD), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.concat(F.lit("\\include{c"), k.cast("string"), F.lit(".tex}"))), "\n"), F.lit(_TAIL)).alias("text"))
+    return chapters.union(deep).union(main)
+
+
+@query(f"""WITH {_PAPER} SELECT doc_id, 'main.tex' AS member, k::INT AS n, 'c' || k || '.tex' AS name, 'c' || k || '.tex' AS included FROM c UNION ALL SELECT doc_id, 'c' || k || '.tex', 0, 'd' || k, 'd' || k || '.latex' FROM c WHERE k % 3 = 0
+ UNION ALL SELECT doc_id, 'main.tex', count(*)::INT, 'gone', '' FROM c GROUP BY 1""")
+def paper_includes(spark, d):
+    return papers.includes(_members(spark, d))
+
+
+@query(f"WITH {_PAPER} SELECT doc_id, 'main.tex' AS member FROM c GROUP BY 1 UNION ALL SELECT doc_id, 'c' || k || '.tex' FROM c UNION ALL SELECT doc_id, 'd' || k || '.latex' FROM c WHERE k % 3 = 0")
+def paper_files(spark, d):
+    return papers.reached(_members(spark, d))
+
+
+@query(f"WITH {_PAPER} SELECT doc_id, 'main.tex' AS root, {_q(_HEAD)} || string_agg(CASE WHEN k % 3 = 0 THEN 'D' || k || chr(10) ELSE '' END || body, chr(10) ORDER BY k) || {_q(_TAIL)} AS text FROM c GROUP BY 1")
+def paper_text(spark, d):
+    return papers.inlined(_members(spark, d))
+
+
+@query(rf"""WITH {_PAPER}, t AS (SELECT doc_id, k, -1 AS i, ['D' || k] AS w FROM c WHERE k % 3 = 0 UNION ALL SELECT doc_id, k, i, w FROM v), n AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY doc_id ORDER BY k, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM t),
+ p AS (SELECT doc_id, k, i, array_to_string(list_transform(w, lambda x, j: '{{\color[RGB]{{' || ((before + j - 1) * 7 // 65536 % 256) || ', ' || ((before + j - 1) * 7 // 256 % 256) || ', ' || ((before + j - 1) * 7 % 256) || '}}' || x || '}}'), ' ') AS line FROM n)
+ SELECT doc_id, {_q(_HEAD)} || '\newcommand{{\kept}}{{K}}' || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY k, i) || {_q(_TAIL)} AS text FROM p GROUP BY 1""")
+def paper_colored(spark, d):
+    """From files to coloured text: includes, cleaning with definitions taken out and put back, the walk, and a colour a word."""
+    members = _members(spark, d).withColumn("text", F.when(F.col("member") == "main.tex", F.replace("text", F.lit(_HEAD), F.lit(_HEAD + "\\newcommand{\\kept}{K}\n"))).otherwise(F.col("text")))
+    colors = spark.range(table(spark, d, "documents").agg(F.max(F.length("text"))).first()[0]).select(F.col("id").cast("int").alias("reading"), color.hex_key(F.col("id") * 7).alias("color_key"))
+    _, text = papers.annotated(papers.ready(members), colors)
+    return text

@@ -72,3 +72,54 @@ def contents_url(url: Column) -> Column:
     p = r"^https://github\.com/([^/]+)/([^/]+)/(?:tree|blob)/([^/]+)/(.*)$"
     part = lambda i: F.regexp_extract(url, p, i)
     return F.when(url.rlike(p), F.concat(F.lit("https://api.github.com/repos/"), part(1), F.lit("/"), part(2), F.lit("/contents/"), part(4), F.lit("?ref="), part(3)))
+
+
+#: Completion files that aren't read, those whose keys have blanks to drop, and those named otherwise.
+UNREAD = ("diagxy.cwl", "calculator.cwl", "calculus.cwl", "expl3.cwl")
+TIGHT = ("chemformula.cwl", "context-document.cwl", "class-beamer.cwl", "csquotes.cwl", "datatool.cwl", "newclude.cwl", "pgfplots.cwl", "tabu.cwl", "tikz.cwl")
+RENAMED = {"yathesis": "class-yathesis"}
+
+
+def read_completions(spark: SparkSession, folder: str) -> DataFrame:
+    """file, line of the completion files of a folder."""
+    lines = spark.read.text(f"{folder}/*.cwl")
+    return lines.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file"), F.col("value").alias("line"))
+
+
+def packages_of(completions: DataFrame) -> DataFrame:
+    """package, includes, cmds, envs from lines (file, line): #include lines name packages, \\begin lines environments, other
+    lines that begin with a macro its key, without what follows # and without the names in its groups."""
+    rows = completions.where(~F.col("file").isin(*UNREAD))
+    stem = F.regexp_replace("file", r"\.cwl$", "")
+    for old, new in RENAMED.items():
+        stem = F.when(stem == old, new).otherwise(stem)
+    text = F.rtrim(F.when(F.col("file").isin(*TIGHT), F.replace("line", F.lit(" "), F.lit(""))).otherwise(F.col("line")))
+    key = F.regexp_replace(F.regexp_replace(text, r"#.*$", ""), r"(?<=[\[{(<])[^\]})>]*(?=[\]})>])", "")
+    rows = rows.select(stem.alias("package"), F.regexp_extract(text, r"^#include:(.*)$", 1).alias("include"), F.regexp_extract(text, r"^\\begin\{([^}]*)\}", 1).alias("env"), F.regexp_extract(key, r"^\\(?!begin\b|end\b)(\S.*)$", 1).alias("cmd"), key.alias("key"))
+    env = F.when(F.col("env") != "", F.concat("env", F.regexp_replace("key", r"^\\begin\{[^}]*\}", "")))
+    names = lambda c: F.array_sort(F.collect_set(c))
+    blank = lambda a: F.map_from_arrays(a, F.transform(a, lambda _: F.lit(None).cast("string")))
+    found = rows.groupBy("package").agg(names(F.when(F.col("include") != "", F.col("include"))).alias("includes"), names(F.when(F.col("cmd") != "", F.col("cmd"))).alias("c"), names(env).alias("e"))
+    return found.select("package", "includes", blank(F.col("c")).alias("cmds"), blank(F.col("e")).alias("envs"))
+
+
+def read_tex(spark: SparkSession, folder: str) -> DataFrame:
+    """file, text of the .tex and .latex files of a folder (not of those below it)."""
+    parts = [spark.read.text(f"{folder}/*{end}", wholetext=True) for end in (".tex", ".latex") if _any_file(spark, f"{folder}/*{end}")]
+    if not parts:
+        return spark.createDataFrame([], "file string, text string")
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file"), F.col("value").alias("text"))
+
+
+def _any_file(spark: SparkSession, glob: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    return len(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []) > 0
+
+
+def catalogue(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(package, kind, name, args) and (package, includes) of a folder of package files, for grammar.context."""
+    from foliospark.functions import grammar
+
+    packages = read_packages(spark, folder)
+    return grammar.entries(packages), packages.select("package", F.explode("includes").alias("includes"))
