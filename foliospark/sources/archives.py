@@ -59,16 +59,20 @@ def unpack(archives: DataFrame) -> DataFrame:
 MARKS = (("EFBBBF", "UTF-8"), ("FFFE", "UTF-16LE"), ("FEFF", "UTF-16BE"))
 
 
+#: What Windows-1252 has in the places of Latin-1's control characters.
+WESTERN = {chr(b): bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)}
+
+
 def decode(content: Column) -> Column:
     """By its byte order mark; without one UTF-16 where every other byte of the first ones is 0, UTF-8 where valid, else
-    Latin-1 (Windows-1252 where it has signs of that only)."""
+    Windows-1252, which has Latin-1 but for its control characters."""
     head = F.hex(F.substring(content, 1, 8))
     out = F.when(content.isNull(), F.lit(None).cast("string"))
     for mark, name in MARKS:
         out = out.when(head.startswith(mark), F.decode(F.substring(content, 1 + len(mark) // 2, 1 << 30), name))
     out = out.when(head.rlike("^(?:[2-7][0-9A-F]00){2,}$"), F.decode(content, "UTF-16LE")).when(head.rlike("^(?:00[2-7][0-9A-F]){2,}$"), F.decode(content, "UTF-16BE"))
-    western = F.decode(content, "ISO-8859-1").rlike("[\u0080-\u009f]")
-    return out.when(western & ~F.is_valid_utf8(content.cast("string")), F.decode(content, "windows-1252")).when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
+    one_byte = F.translate(F.decode(content, "ISO-8859-1"), "".join(WESTERN), "".join(WESTERN.values()))
+    return out.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(one_byte)
 
 
 def resolve(wanted: DataFrame, members: DataFrame) -> DataFrame:
