@@ -66,6 +66,17 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def fetched(rows: DataFrame, most_bytes: int) -> list:
+    """Rows (with a text) in their order, until the texts hold more than most_bytes: a bound on what reaches the driver."""
+    out, size = [], 0
+    for row in rows.toLocalIterator():
+        size += len(row["text"] or "")
+        if out and size > most_bytes:
+            break
+        out.append(row)
+    return out
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its row offsets, without building Python strings."""
     if isinstance(column, pa.ChunkedArray):

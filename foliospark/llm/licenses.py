@@ -6,7 +6,8 @@ sparse word 1- to 3-grams is trained on the templates below (whole, cut and with
 families and on a bounded sample of the corpus's own different lines without licence words as the unknown class. Every
 paragraph is scored where it is, without a shuffle. A prediction counts if its probability reaches a cut,
 calibrated on other variants and other lines than those the model has learnt from (the cut with the best F1, in the
-middle of its gap), and if the paragraph shares half the template's or its own words.
+middle of its gap), and if the paragraph shares half a template's words, or has half its own, four at least, from one.
+The second condition is cheaper and so tested first; what can't meet it isn't cut into n-grams (see needed()).
 
 Defined cases: null and empty texts have no paragraphs; repeated paragraphs, rows of one id and rows without an id
 are judged each for itself and give a row each; extra columns are ignored; an empty table gives an empty result.
@@ -53,15 +54,55 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, wrap: int = 160) -> DataFrame:
-    """row (of docs), doc_id, paragraph (its first line, from 0), n_lines (1 or 2), line (its text): all paragraphs with a letter."""
+    """row (of docs), doc_id, paragraph (its first line, from 0), n_lines (1 or 2), words: all paragraphs with a word."""
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.split(F.coalesce("text", F.lit("")), "\n").alias("l"))
     short = lambda x: (F.length(x) <= wrap) & x.rlike(r"\p{L}")
-    unit = lambda i, n, x: F.struct(i.cast("int").alias("paragraph"), F.lit(n).alias("n_lines"), x.alias("line"))
+    unit = lambda i, n, x: F.struct(i.cast("int").alias("paragraph"), F.lit(n).alias("n_lines"), words(x).alias("words"))
     single = F.transform("l", lambda x, i: unit(i, 1, x))
     both = F.zip_with("l", F.slice("l", 2, F.size("l")), lambda a, b: F.when(short(a) & short(b), F.concat(a, F.lit(" "), b)))
-    pairs = F.filter(F.transform(both, lambda x, i: unit(i, 2, x)), lambda u: u["line"].isNotNull())
+    pairs = F.filter(F.transform(both, lambda x, i: unit(i, 2, x)), lambda u: u["words"].isNotNull())
     found = own.select("row", "doc_id", F.explode(F.concat(single, pairs)).alias("u")).select("row", "doc_id", "u.*")
-    return found.where(F.col("line").rlike(r"\p{L}"))
+    return found.where(F.size("words") > 0)
+
+
+#: Words in the order in which text has them most often.
+COMMON = "the of and to in a is for it on with as be by this are or an not from you all any may can use under".split()
+
+
+def marks(templates: list[set[str]]) -> set[str]:
+    """Words of which a text that has half the words of a template has at least one: the template's others are fewer than half.
+
+    Common words are marks only where a template needs them for that, the rarer ones first."""
+    out = set().union(*templates) - set(COMMON)
+    for t in templates:
+        for word in reversed([w for w in COMMON if w in t]):
+            if 2 * len(t - out) < len(t):
+                break
+            out.add(word)
+    return out
+
+
+def needed(overlap: float) -> Column:
+    """What every paragraph meets that shares enough words with a template (see scan_licenses), whatever the overlap from a half on: it has
+    a mark, or so few words that half of them can come from less than half a template."""
+    templates = [set(_plain_words(t)) for f in FAMILIES for t in TEMPLATES[f]]
+    if overlap < 0.5:
+        return F.lit(True)
+    few = F.size(F.array_distinct("words")) < max(map(len, templates))
+    return F.arrays_overlap("words", F.array(*[F.lit(w) for w in sorted(marks(templates))])) | few
+
+
+def shares(word_set: Column) -> list[Column]:
+    """For each family, the greatest part of a template's words, or of the own words (four at least), that both have."""
+    out = []
+    for f in FAMILIES:
+        parts = []
+        for t in TEMPLATES[f]:
+            tw = sorted(set(_plain_words(t)))
+            shared = F.size(F.array_intersect(word_set, F.array(*[F.lit(w) for w in tw])))
+            parts.append(F.greatest(shared / len(tw), F.when(shared >= 4, shared / F.size(word_set)).otherwise(0.0)))
+        out.append(F.greatest(*parts) if len(parts) > 1 else parts[0])
+    return out
 
 
 def variants(text: str) -> tuple[list[str], list[str]]:
@@ -115,19 +156,12 @@ def fit(docs: DataFrame, sample: int = 2000):
 def scan_licenses(docs: DataFrame, sample: int = 2000, overlap: float = 0.5, wrap: int = 160) -> DataFrame:
     """doc_id, paragraph, n_lines, family, probability, overlap: one row for each licence paragraph."""
     counts, model, cut = fit(docs, sample)
-    scored = model.transform(counts.transform(paragraphs(docs, wrap).withColumn("words", words(F.col("line"))).withColumn("grams", grams(F.col("words")))))
+    like = paragraphs(docs, wrap).where(needed(overlap)).withColumn("shares", F.array(*shares(F.array_distinct("words")))).where(F.array_max("shares") >= overlap)
+    scored = model.transform(counts.transform(like.withColumn("grams", grams(F.col("words")))))
     p = F.slice(vector_to_array("probability"), 2, len(FAMILIES))
-    scored = scored.select("row", "doc_id", "paragraph", "n_lines", F.array_distinct("words").alias("words"), F.array_max(p).alias("probability"), F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), F.array_position(p, F.array_max(p)).cast("int")).alias("family"))
-    scored = scored.where(F.col("probability") >= cut)
-    own = F.lit(0.0)
-    for f in FAMILIES:
-        shares = []
-        for t in TEMPLATES[f]:
-            tw = F.array(*[F.lit(w) for w in sorted(set(_plain_words(t)))])
-            shared = F.size(F.array_intersect("words", tw))
-            shares.append(F.greatest(shared / F.size(tw), F.when(shared >= 4, shared / F.size("words")).otherwise(0.0)))
-        own = F.when(F.col("family") == f, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(own)
-    hits = scored.withColumn("overlap", F.round(own, 4)).where(F.col("overlap") >= overlap)
+    best = F.array_position(p, F.array_max(p)).cast("int")
+    scored = scored.select("row", "doc_id", "paragraph", "n_lines", F.array_max(p).alias("probability"), F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), best).alias("family"), F.round(F.element_at("shares", best), 4).alias("overlap"))
+    hits = scored.where((F.col("probability") >= cut) & (F.col("overlap") >= overlap))
     # a pair of lines counts where neither line does by itself, and no pair before it has its first line
     at = Window.partitionBy("row").orderBy("paragraph")
     near = F.max(F.when(F.col("n_lines") == 1, 1)).over(at.rangeBetween(0, 1)).isNotNull()
@@ -140,4 +174,4 @@ def _plain_words(text: str) -> list[str]:
     return [w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split() if w]
 
 
-__all__ = ["FAMILIES", "TEMPLATES", "fit", "grams", "lines", "paragraphs", "scan_licenses", "words"]
+__all__ = ["FAMILIES", "TEMPLATES", "fit", "grams", "lines", "marks", "paragraphs", "scan_licenses", "words"]

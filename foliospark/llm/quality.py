@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import batch_of, blocks, utf8
+from .base import batch_of, blocks, fetched, utf8
 from .windows import BYTE_UNIT, WHITESPACE, mix, word_bounds, word_units
 
 BITS = 14
@@ -166,13 +166,13 @@ def patterns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, pattern int")
 
 
-def train(docs: DataFrame, sample: int = 4000):
-    """(posterior by pattern, linear scorer)."""
+def train(docs: DataFrame, sample: int = 4000, most_bytes: int = 1 << 26):
+    """(posterior by pattern, linear scorer). At most `sample` documents and most_bytes characters of text reach the driver."""
     counts = {r["pattern"]: r["n"] for r in patterns(docs).groupBy("pattern").agg(F.count("*").alias("n")).collect()}  # 729 patterns at most
     posterior = estimate(counts)
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).toPandas().sort_values(["doc_id"], kind="stable")
-    texts = [(t or "").encode() for t in rows.text]
+    rows = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    texts = [(r["text"] or "").encode() for r in sorted(fetched(rows, most_bytes), key=lambda r: r["doc_id"])]
     model = Linear()
     if texts:
         parts, targets, base = [], [], 0
