@@ -6,6 +6,7 @@ State is a document's own; nothing is kept from one to the next.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
@@ -220,16 +221,23 @@ def label_of_environment(name: str | None) -> str | None:
     return next((label for parts, label in ROLES if any(p in name.lower() for p in parts)), "Paragraph")
 
 
+#: (text, at, end) -> ([(sign, first, end)], end).
+Parser = Callable[[str, int, int], tuple[list[tuple[str, int, int]], int]]
+
+
 class Walker:
     """Rows (pos, pos_end, kind, name, label, section, block, reading) of the words, formulas and figures of a document.
 
     What a macro takes is looked up in the document's grammar, which its own \newcommand and \newenvironment extend
-    for what follows. Of a macro that isn't in it, the groups that follow are its own and get no label."""
+    for what follows. Of a macro that isn't in it, the groups that follow are its own and get no label.
 
-    def __init__(self, macros: dict[str, str] | None = None, environments: dict[str, str] | None = None):
+    parsers: for a macro a function (text, at, end) that gives its arguments, as (sign, first, end), and where they end."""
+
+    def __init__(self, macros: dict[str, str] | None = None, environments: dict[str, str] | None = None, parsers: dict[str, Parser] | None = None):
         self.rows, self.block, self.section, self.reading = [], 0, 0, 0
         self.macros = names(MACROS) | dict(macros or {})
         self.environments = names(ENVIRONMENTS) | dict(environments or {})
+        self.parsers = parsers or {}
 
     def emit(self, a, b, kind, name, label):
         order = -1 if label is None else self.reading
@@ -337,10 +345,13 @@ class Walker:
 
     def macro(self, text, m, end, label):
         name = m[2]
-        if name not in self.macros:
+        if name in self.parsers:
+            spans, after = self.parsers[name](text, m.end(), end)
+        elif name not in self.macros:
             return self.arguments(text, m.end(), end, None)[1]
-        signs = self.macros[name]
-        spans, after = self.arguments(text, m.end(), end, signs.removeprefix("*") if m[0].endswith("*") else signs)
+        else:
+            signs = self.macros[name]
+            spans, after = self.arguments(text, m.end(), end, signs.removeprefix("*") if m[0].endswith("*") else signs)
         if name in ("newcommand", "newenvironment"):
             self.define(text, spans, self.macros if name == "newcommand" else self.environments)
         if name == "vskip":
@@ -364,7 +375,7 @@ class Walker:
         return after
 
 
-def parse_latex(docs: DataFrame) -> DataFrame:
+def parse_latex(docs: DataFrame, parsers: dict[str, Parser] | None = None) -> DataFrame:
     """doc_id, pos, pos_end, kind, name, label, section, block, reading of every document's nodes.
 
     docs: doc_id, text and, if their packages are known, macros and environments (see grammar.context)."""
@@ -374,7 +385,7 @@ def parse_latex(docs: DataFrame) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for doc, text, *added in zip(batch["doc_id"], batch["text"], *[batch[c] for c in grammar], strict=True):
-                w = Walker(**dict(zip(grammar, (dict(x) if x is not None else {} for x in added), strict=True)))
+                w = Walker(**dict(zip(grammar, (dict(x) if x is not None else {} for x in added), strict=True)), parsers=parsers)
                 w.walk(text or "", 0, len(text or ""), None)
                 if w.rows:
                     yield pd.DataFrame(w.rows, columns=columns).assign(doc_id=doc)[["doc_id", *columns]]

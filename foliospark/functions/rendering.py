@@ -7,8 +7,10 @@ grammar's; a macro without a template gives the text of its arguments, one that
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +30,13 @@ GROUP = re.compile(r"\{(\^?)(\d)\}")
 
 
 class Renderer:
-    def __init__(self):
-        self.macros, self.environments = names(MACROS), names(ENVIRONMENTS)
+    """templates: more of them, or a function of (groups, options) in the place of one; macros: what more of them take."""
+
+    def __init__(self, templates: dict[str, str | Callable[[list[str], list[str]], str]] | None = None, macros: dict[str, str] | None = None):
+        self.macros, self.environments = names(MACROS) | (macros or {}), names(ENVIRONMENTS)
+        self.templates = TEMPLATES | (templates or {})
         self.kept: dict[str, str] = {}
+        self.reader = Walker()
 
     def title(self) -> str:
         """The heading that \\maketitle makes of title, author and date."""
@@ -53,12 +59,13 @@ class Renderer:
             return "\n  " + options[0]
         if name in SILENT:
             return ""
-        return self.fill(TEMPLATES[name], groups) if name in TEMPLATES else "".join(groups)
+        made = self.templates.get(name)
+        return made(groups, options) if callable(made) else "".join(groups) if made is None else self.fill(made, groups)
 
     PIECE = re.compile(r"%[^\n]*\n?[ \t]*|\\(begin|end)\s*\{([^}]*)\}|\\([A-Za-z@]+|.)|[{}$]|[^\\{}$%]+", re.S)
 
     def render(self, text: str) -> str:
-        read, out, at = Walker().arguments, [], 0
+        read, out, at = self.reader.arguments, [], 0
         while m := self.PIECE.match(text, at):
             at = m.end()
             if m[1]:
@@ -78,10 +85,18 @@ class Renderer:
         return "".join(out)
 
 
-def plain(text: str) -> str:
-    return Renderer().render(unicode_text(text))
+def plain(text: str, **more) -> str:
+    return Renderer(**more).render(unicode_text(text))
+
+
+def renderer(**more) -> Callable[[Column], Column]:
+    """A column function like to_text with templates and macros of one's own (see Renderer)."""
+
+    @F.pandas_udf(T.StringType())
+    def made(tex: pd.Series) -> pd.Series:
+        return tex.map(lambda t: None if t is None else plain(t, **more))
+
+    return made
 
 
-@F.pandas_udf(T.StringType())
-def to_text(tex: pd.Series) -> pd.Series:
-    return tex.map(lambda t: None if t is None else plain(t))
+to_text = renderer()

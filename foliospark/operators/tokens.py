@@ -12,9 +12,10 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, col, text, pos: whitespace tokens in document order, numbered within their row, without a shuffle."""
-    word = lambda line, i: F.transform(F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0)), lambda w, j: F.struct(i.alias("line_no"), j.alias("col"), w.alias("text")))
+def tokens(docs: DataFrame, pattern: str = r"\S+") -> DataFrame:
+    """doc_id, line_no, col, text, pos: the tokens that a pattern finds (whitespace tokens) in document order, numbered within
+    their row, without a shuffle."""
+    word = lambda line, i: F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda w, j: F.struct(i.alias("line_no"), j.alias("col"), w.alias("text")))
     found = docs.select("doc_id", F.posexplode(F.flatten(F.transform(F.split("text", "\n"), word))).alias("pos", "w"))
     return found.select("doc_id", "w.line_no", "w.col", "w.text", "pos")
 

@@ -6,6 +6,11 @@ orders, line items), and its SQL says from the same rows what must come out, not
 
 from __future__ import annotations
 
+import gzip
+import io
+import tarfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -271,6 +276,32 @@ def decode_text(spark, d):
     return table(spark, d, "documents").select("doc_id", archives.decode(F.coalesce(content, marked, plain)).alias("text"))
 
 
+@query("""SELECT doc_id::VARCHAR AS doc_id, unnest(CASE doc_id % 3 WHEN 0 THEN ['a/main.tex', 'b.sty'] WHEN 1 THEN ['main.tex'] ELSE ['file.pdf'] END) AS member, unnest(CASE doc_id % 3 WHEN 0 THEN ['tar', 'tar'] WHEN 1 THEN ['gz'] ELSE ['pdf'] END) AS kind,
+ unnest(CASE doc_id % 3 WHEN 0 THEN [text, lang] WHEN 1 THEN [text] ELSE ['%PDF' || text] END) AS text FROM documents""")
+def unpack_archives(spark, d):
+    """Archives written from documents: tars with a file that would leave its folder, single files, and bytes of neither kind."""
+
+    @F.pandas_udf("binary")
+    def packed(i: pd.Series, text: pd.Series, lang: pd.Series) -> pd.Series:
+        def one(i, text, lang):
+            if i % 3 == 1:
+                return gzip.compress(text.encode(), 1)
+            if i % 3 == 2:
+                return b"%PDF" + text.encode()
+            out = io.BytesIO()
+            with tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as tar:
+                for name, data in (("a/main.tex", text), ("../out.tex", "no"), ("b.sty", lang)):
+                    info = tarfile.TarInfo(name)
+                    info.size = len(data.encode())
+                    tar.addfile(info, io.BytesIO(data.encode()))
+            return out.getvalue()
+
+        return pd.Series([one(*row) for row in zip(i, text, lang, strict=True)])
+
+    blobs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), packed("doc_id", "text", "lang").alias("content"))
+    return archives.unpack(blobs).select("doc_id", "member", "kind", archives.decode(F.col("content")).alias("text"))
+
+
 # -- catalogues and files
 
 _MEMBERS = "CASE p_partkey % 5 WHEN 0 THEN [n] WHEN 1 THEN [n || '.tex'] WHEN 2 THEN [n || '.latex'] WHEN 3 THEN [n || '.latex', n || '.tex'] ELSE [] END"
@@ -354,6 +385,23 @@ def article_markdown(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("id"), article.article(page).getField("markdown").alias("markdown"))
 
 
+_NODES = "node::INT AS node, coalesce(parent, -1)::INT AS parent, ord::INT AS ord, kind, text"
+
+
+@query(f"""SELECT p_partkey AS id, {_NODES} FROM part, (VALUES (0, NULL, 0, 'article'), (1, 0, 0, 'section'), (2, 1, 0, 'heading'), (3, 2, 0, 'text'), (4, 1, 1, 'paragraph'), (5, 4, 0, 'text'), (6, 4, 1, 'italic'), (7, 6, 0, 'text'), (8, 1, 2, 'math'), (9, 1, 3, 'list'), (10, 9, 0, 'item'), (11, 10, 0, 'text')) n(node, parent, ord, kind),
+ LATERAL (SELECT CASE node WHEN 3 THEN p_name WHEN 5 THEN p_type || ' ' WHEN 7 THEN p_brand WHEN 8 THEN 'x_' || p_size WHEN 11 THEN p_name END AS text)""")
+def article_nodes(spark, d):
+    page = F.concat(F.lit('<section class="ltx_section"><h2 class="ltx_title">'), "p_name", F.lit('</h2><p class="ltx_p">'), "p_type", F.lit(' <em class="ltx_emph ltx_font_italic">'), "p_brand", F.lit('</em></p><math class="ltx_Math" alttext="x_'), "p_size", F.lit('"></math><div class="ltx_rule">no</div><ul class="ltx_itemize"><li class="ltx_item">'), "p_name", F.lit("</li></ul></section>"))
+    return article.nodes(table(spark, d, "part").select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
+
+
+@query(f"""SELECT p_partkey AS id, {_NODES} FROM part, (VALUES (0, NULL, 0, 'document'), (1, 0, 0, 'div'), (2, 1, 0, 'p'), (3, 2, 0, 'text'), (4, 2, 1, 'br'), (5, 1, 1, 'p'), (6, 5, 0, 'text'), (7, 5, 1, 'b'), (8, 7, 0, 'text')) n(node, parent, ord, kind),
+ LATERAL (SELECT CASE node WHEN 3 THEN p_name WHEN 6 THEN p_type || ' & ' WHEN 8 THEN p_brand END AS text)""")
+def html_nodes(spark, d):
+    page = F.concat(F.lit("<div><p>"), "p_name", F.lit("<br><p>"), "p_type", F.lit(" &amp; <b>"), "p_brand", F.lit("</b></div>"))
+    return html.nodes(table(spark, d, "part").select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
+
+
 @query(r"""WITH r AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, l_partkey AS p FROM lineitem)
  SELECT k AS id, '\begin{table}' || chr(10) || '\begin{tabular}{l|r}' || chr(10) || string_agg(CASE WHEN p % 2 = 0 THEN '\hline' || chr(10) ELSE '' END || 'A\&' || n || ' & ' || p || ' \\', chr(10) ORDER BY n, p) || chr(10) || '\end{tabular}' || chr(10) || '\end{table}' || chr(10) || 'Order ' || k || '.' AS tex FROM r GROUP BY 1""")
 def article_tables(spark, d):

@@ -57,6 +57,19 @@ def test_renderings():
     assert rendering.plain(r"\chapter{one} \frac{\alpha}{2} \textbf{b}") == "\n\nCHAPTER: ONE\n α/2 b"
 
 
+def test_own_templates_and_parsers(spark):
+    assert rendering.plain(r"\frac12 \unit{k}{g}", templates={"frac": "{1}:{2}", "unit": lambda groups, options: " ".join(groups)}, macros={"unit": "{{"}) == "1:2 k g"
+    upper = rendering.renderer(templates={"emph": "{^1}"})
+    assert spark.createDataFrame([(r"\emph{a}b",), (None,)], "t string").select(upper("t").alias("r")).collect() == [("Ab",), (None,)]
+
+    def between(text, at, end):  # an argument between bars
+        close = text.index("|", at + 1)
+        return [("{", at + 1, close)], close + 1
+
+    assert walked(r"\verbal|a b| c", parsers={"verbal": between}) == [("a", "Paragraph"), ("b", "Paragraph"), ("c", "Paragraph")]
+    assert [r["text"] for r in tokens.tokens(spark.createDataFrame([(1, "a-b c")], "doc_id long, text string"), r"[a-z]").orderBy("pos").collect()] == ["a", "b", "c"]
+
+
 def test_papers(spark):
     rows = [
         (1, "a.tex", "\\documentclass{x}\\input{b}\\include{ sub/c }\\input{nowhere}"), (1, "b.tex", "B\\input{a}\\input{c.tex}"), (1, "sub/c.latex", "C"), (1, "c.tex", "D\\input{c}"), (1, "z.tex", "\\documentclass{y}"),
