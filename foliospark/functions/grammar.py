@@ -26,10 +26,10 @@ MACROS = {
     "[{": "caption cite citep citet documentclass footnote footnotetext includegraphics RequirePackage selectlanguage sqrt title usepackage",
     "[{{": "colorbox textcolor",
     "[{[{{": "fcolorbox",
-    "{": "address bibliography bibliographystyle bfseries date emph eqref ensuremath fbox hat include input keywords label mathbb mathbf mathcal mathfrak mathit mathrm mathsf mathtt mbox overline pageref ref text textbf textit textmd textrm textsc"
+    "{": "address bibliography bibliographystyle bfseries ce date emph eqref ensuremath fbox hat include input keywords label mathbb mathbf mathcal mathfrak mathit mathrm mathsf mathtt mbox overline pageref ref text textbf textit textmd textrm textsc"
     " textsf textsl texttt textup thanks thispagestyle pagestyle tilde underline url vec widehat widetilde bibitem institute email affiliation abstract",
-    "{{": "addcounter addlength frac href nicefrac setcounter setlength textfrac",
-    "{{{": "multicolumn multirow",
+    "{{": "scalebox titlearea addcounter addlength frac href nicefrac setcounter setlength textfrac",
+    "{{{": "multicolumn multirow resizebox",
 }
 #: Environments of plain LaTeX by their arguments.
 ENVIRONMENTS = {

@@ -366,12 +366,24 @@ class Walker:
             if groups:
                 self.walk(text, *groups[-1], "Title" if name == "title" else "Section")
             self.block += name == "title" and label is not None
-        elif "bibliography" in name:
-            self.section += name != "bibliographystyle"
+        elif name in ("lstinputlisting", "ce"):
+            self.emit(m.start(), after, "math", name, "Equation")
+            self.block += name != "ce" and label is not None
+        elif name == "titlearea":
+            self.section += 1
+            for (a, b), to in zip(groups, ("Title", "Author"), strict=False):
+                self.walk(text, a, b, to)
+            self.block += label is not None
+        elif "bibliography" in name and name != "bibliographystyle":
+            self.section += 1
+            self.emit(m.start(), after, "macro", name, "Reference")
+            self.block += label is not None
         elif name not in QUIET:
-            own = next((to for parts, to in SPOKEN if any(p in name for p in parts) and "short" not in name), label)
-            for a, b in groups:
-                self.walk(text, a, b, "Caption" if name == "caption" else own)
+            role = "Caption" if name == "caption" else next((to for parts, to in SPOKEN if any(p in name for p in parts) and "short" not in name), None)
+            # a role is that of the last argument; other macros hand their label on to all of them
+            for a, b in groups[-1:] if role or name in ("scalebox", "resizebox") else groups:
+                self.walk(text, a, b, role or label)
+            self.block += role in ("Author", "Abstract") and label is not None
         return after
 
 

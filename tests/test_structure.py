@@ -57,6 +57,15 @@ def test_renderings():
     assert rendering.plain(r"\chapter{one} \frac{\alpha}{2} \textbf{b}") == "\n\nCHAPTER: ONE\n α/2 b"
 
 
+def test_roles_of_macros():
+    assert walked(r"\ce{H2O} \lstinputlisting[x]{f.py}") == [(r"\ce{H2O}", "Equation"), (r"\lstinputlisting[x]{f.py}", "Equation")]
+    assert walked(r"\titlearea{T}{A}") == [("T", "Title"), ("A", "Author")] and walked(r"\scalebox{0.5}{x}") == [("x", "Paragraph")]
+    w = latex.Walker()
+    text = r"\bibliography{refs} a \author[s]{N}"
+    w.walk(text, 0, len(text), "Paragraph")
+    assert [(r[3], r[4], r[5], r[6]) for r in w.rows] == [("bibliography", "Reference", 1, 0), (None, "Paragraph", 1, 1), (None, "Author", 1, 1)] and w.block == 2
+
+
 def test_own_templates_and_parsers(spark):
     assert rendering.plain(r"\frac12 \unit{k}{g}", templates={"frac": "{1}:{2}", "unit": lambda groups, options: " ".join(groups)}, macros={"unit": "{{"}) == "1:2 k g"
     upper = rendering.renderer(templates={"emph": "{^1}"})
