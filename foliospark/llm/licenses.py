@@ -38,7 +38,7 @@ NOTICE = r"licen[cs]e|copyright|permission|redistribut|rights reserved|warrant"
 
 
 def words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
 def grams(w: Column) -> Column:
@@ -55,14 +55,13 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def paragraphs(docs: DataFrame, wrap: int = 160) -> DataFrame:
     """row (of docs), doc_id, paragraph (its first line, from 0), n_lines (1 or 2), words: all paragraphs with a word."""
-    own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.split(F.coalesce("text", F.lit("")), "\n").alias("l"))
-    short = lambda x: (F.length(x) <= wrap) & x.rlike(r"\p{L}")
-    unit = lambda i, n, x: F.struct(i.cast("int").alias("paragraph"), F.lit(n).alias("n_lines"), words(x).alias("words"))
-    single = F.transform("l", lambda x, i: unit(i, 1, x))
-    both = F.zip_with("l", F.slice("l", 2, F.size("l")), lambda a, b: F.when(short(a) & short(b), F.concat(a, F.lit(" "), b)))
-    pairs = F.filter(F.transform(both, lambda x, i: unit(i, 2, x)), lambda u: u["words"].isNotNull())
-    found = own.select("row", "doc_id", F.explode(F.concat(single, pairs)).alias("u")).select("row", "doc_id", "u.*")
-    return found.where(F.size("words") > 0)
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.split(F.coalesce("text", F.lit("")), "\n").alias("line"))
+    following = F.slice("line", 2, F.size("line")).alias("next")
+    at = own.select("row", "doc_id", F.posexplode(F.arrays_zip("line", following)).alias("paragraph", "z")).select("row", "doc_id", "paragraph", "z.line", "z.next")
+    wrapped = (F.length("line") <= wrap) & (F.length("next") <= wrap) & F.col("line").rlike(r"\p{L}") & F.col("next").rlike(r"\p{L}")
+    unit = lambda n, text: F.struct(F.lit(n).alias("n_lines"), words(text).alias("words"))
+    units = F.array_compact(F.array(unit(1, F.col("line")), F.when(wrapped, unit(2, F.concat("line", F.lit(" "), "next")))))
+    return at.select("row", "doc_id", "paragraph", F.explode(units).alias("u")).select("row", "doc_id", "paragraph", "u.*").where(F.size("words") > 0)
 
 
 #: Words in the order in which text has them most often.
@@ -83,26 +82,35 @@ def marks(templates: list[set[str]]) -> set[str]:
 
 
 def needed(overlap: float) -> Column:
-    """What every paragraph meets that shares enough words with a template (see scan_licenses), whatever the overlap from a half on: it has
-    a mark, or so few words that half of them can come from less than half a template."""
+    """What every paragraph meets that shares enough words with a template (see scan_licenses), whatever the overlap from a half on:
+    it has a mark and as many words of templates as half the shortest has, or four of them and so few words that this may be half."""
     templates = [set(_plain_words(t)) for f in FAMILIES for t in TEMPLATES[f]]
     if overlap < 0.5:
         return F.lit(True)
+    literal = lambda ws: F.array(*[F.lit(w) for w in sorted(ws)])
+    known = F.size(F.array_intersect("words", literal(set().union(*templates))))
     few = F.size(F.array_distinct("words")) < max(map(len, templates))
-    return F.arrays_overlap("words", F.array(*[F.lit(w) for w in sorted(marks(templates))])) | few
-
-
-def shares(word_set: Column) -> list[Column]:
-    """For each family, the greatest part of a template's words, or of the own words (four at least), that both have."""
-    out = []
-    for f in FAMILIES:
-        parts = []
-        for t in TEMPLATES[f]:
-            tw = sorted(set(_plain_words(t)))
-            shared = F.size(F.array_intersect(word_set, F.array(*[F.lit(w) for w in tw])))
-            parts.append(F.greatest(shared / len(tw), F.when(shared >= 4, shared / F.size(word_set)).otherwise(0.0)))
-        out.append(F.greatest(*parts) if len(parts) > 1 else parts[0])
-    return out
+    return (F.arrays_overlap("words", literal(marks(templates))) & (known >= min((len(t) + 1) // 2 for t in templates))) | (few & (known >= 4))
+
+
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def shares(word_set: Column) -> Column:
+    """An array with, for each family, the greatest part of a template's words, or of the own words (four at least), that both have."""
+    templates = [(f, sorted(set(_plain_words(t)))) for f in FAMILIES for t in TEMPLATES[f]]
+    literal = lambda ws: F.array(*[F.lit(w) for w in ws])
+    every = literal(sorted({w for _, ws in templates for w in ws}))
+
+    def families(n, own):
+        part = lambda i, ws: F.greatest(n[i] / len(ws), F.when(n[i] >= 4, n[i] / own).otherwise(0.0))
+        of = lambda f: [part(i, ws) for i, (g, ws) in enumerate(templates) if g == f]
+        return F.array(*[F.greatest(*of(f)) if len(of(f)) > 1 else of(f)[0] for f in FAMILIES])
+
+    shared = lambda ws: F.transform(F.array(*[literal(t) for _, t in templates]), lambda t: F.size(F.array_intersect(ws, t)))
+    return let(word_set, lambda ws: let(F.array_intersect(ws, every), lambda known: let(shared(known), lambda n: families(n, F.size(ws)))))
 
 
 def variants(text: str) -> tuple[list[str], list[str]]:
@@ -156,7 +164,7 @@ def fit(docs: DataFrame, sample: int = 2000):
 def scan_licenses(docs: DataFrame, sample: int = 2000, overlap: float = 0.5, wrap: int = 160) -> DataFrame:
     """doc_id, paragraph, n_lines, family, probability, overlap: one row for each licence paragraph."""
     counts, model, cut = fit(docs, sample)
-    like = paragraphs(docs, wrap).where(needed(overlap)).withColumn("shares", F.array(*shares(F.array_distinct("words")))).where(F.array_max("shares") >= overlap)
+    like = paragraphs(docs, wrap).where(needed(overlap)).withColumn("shares", shares(F.array_distinct("words"))).where(F.array_max("shares") >= overlap)
     scored = model.transform(counts.transform(like.withColumn("grams", grams(F.col("words")))))
     p = F.slice(vector_to_array("probability"), 2, len(FAMILIES))
     best = F.array_position(p, F.array_max(p)).cast("int")
