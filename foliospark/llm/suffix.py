@@ -218,7 +218,7 @@ class SuffixIndex:
 
     def scan(self, levels: list[Level], crowded: DataFrame, number: int) -> DataFrame:
         """Windows that entries below the anchors in crowded have in common, of which one at least is of batch `number`: blk, i, lo, n."""
-        wanted = durable(crowded.select(F.col("g").alias("wg"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("ws")))
+        wanted = crowded.select(F.col("g").alias("wg"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("ws"))
         both = None
         for level in levels:
             part = level.tables["entries"].join(wanted.hint("shuffle_hash"), F.expr("g = wg AND s = ws"), "left_semi")
