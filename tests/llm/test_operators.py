@@ -192,3 +192,23 @@ def test_words_seen_in_few_texts_have_no_embedding():
     net.fit(texts, np.arange(20) % 2 * np.float32(1), epochs=1, seen=3)
     ids = lambda w: toxicity.word_ids(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0]
     assert not net.table[0][ids(b"rare3")[0]].any() and net.table[0][ids(b"common")[0]].any()
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    bench = spark.createDataFrame([(1, "some words of an item")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert decontam.contaminated(none, bench).count() == 0 and decontam.without(none, bench).count() == 0
+    assert secrets.table(none).count() == 0 and secrets.redact(none).count() == 0
+    assert toxicity.table(none, labels).count() == 0 and toxicity.table(none, labels.limit(0)).count() == 0
+    assert tiff.digests(tiff.text_media(none)).count() == 0 and tiff.decode(spark.createDataFrame([], "id long, media binary")).count() == 0
+
+
+def test_items_of_one_id(spark):
+    """Items that share an id are matched each, with their own size; labels that contradict each other teach nothing."""
+    bench = spark.createDataFrame([(1, "a rather long item with several words"), (1, "another item of that id, and it is a longer one")], "item_id long, text string")
+    docs = frame(spark, [(5, "x a rather long item with several words y"), (5, "another item of that id, and it is a longer one")])
+    assert sorted(r["item_chars"] for r in decontam.contaminated(docs, bench).collect()) == [37, 47]
+    rows = [(i, "fine words here" if i % 2 else "scum and more words") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(60)] + [(i, 1, 1) for i in range(1, 20, 2)], "doc_id long, quality int, toxic int")
+    assert all(r["predicted"] == (r["doc_id"] % 2 == 0) for r in toxicity.table(frame(spark, rows), labels).collect())
