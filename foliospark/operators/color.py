@@ -102,7 +102,7 @@ def standardized(annotations: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def paint(rows: DataFrame, colors: DataFrame, black: str = "#000000") -> DataFrame:
     """Rows with the colour of their label (label, color; a row for each label), black where it has none."""
-    return rows.join(F.broadcast(colors), "label", "left").withColumn("color", F.coalesce("color", F.lit(black)))
+    return rows.join(colors, "label", "left").withColumn("color", F.coalesce("color", F.lit(black)))
 
 
 def colored_text(word: Column, key: Column) -> Column:
