@@ -133,7 +133,12 @@ def diffuse_vote_originals(spark, d):
     return diffuse.vote_originals(_rows(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {LAB}, ln AS (SELECT doc_id, line_no, list(label ORDER BY pos) AS l, list(pos ORDER BY pos) AS p FROM rows_ GROUP BY ALL),
+ t(doc_id, line_no, l, p, k, done) USING KEY (doc_id, line_no) AS (SELECT doc_id, line_no, l, p, 1, []::VARCHAR[] FROM ln UNION
+ SELECT doc_id, line_no, l, p, k + 1, list_append(done, CASE WHEN l[k] IS NOT NULL THEN l[k] WHEN len(a) > 0 AND len(b) > 0 THEN list_max(list_transform(list_distinct(list_concat(a, b)), lambda x: {{'n': len(list_filter(list_concat(a, b), lambda y: y = x)), 'p': -list_position(list_concat(a, b), x), 'x': x}})).x
+ WHEN len(a) > 0 THEN a[-1] ELSE b[1] END) FROM (SELECT *, list_filter(done[greatest(1, k - 20):k - 1], lambda x: x IS NOT NULL) AS a, list_filter(l[k + 1:k + 19], lambda x: x IS NOT NULL) AS b FROM t WHERE k <= len(l))),
+ v AS (SELECT doc_id, line_no, unnest(p) AS pos, unnest(done) AS voted FROM t)
+ SELECT s.doc_id, s.line_no, s.pos, v.voted AS label, s.reading_order, s.block_id FROM ({diffuse.SPREAD.format(t='rows_')}) s JOIN v USING (doc_id, pos)""")
 def diffuse_exact(spark, d):
     return diffuse.spread_exact(_rows(spark, d))
 
