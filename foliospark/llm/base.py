@@ -35,6 +35,11 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slim(df: DataFrame) -> DataFrame:
+    """durable() for what is left of far larger tables: by a quarter of the usual number of tasks, so in fewer files."""
+    return durable(df.coalesce(max(1, partitions(df.sparkSession) // 4)))
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete the files behind tables that nothing reads any more."""
     for df in tables:

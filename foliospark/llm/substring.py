@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import batch_of, drop, durable, partitions, scratch
+from .base import batch_of, drop, durable, partitions, scratch, slim
 from .textlog import PLACE, TASK, bucketed, in_blocks, opened, store
 from .windows import WHITESPACE, covered, digests, joined, occurrences, word_bounds, word_units
 
@@ -195,7 +195,7 @@ class WindowIndex:
         own = tables["classes"]
         shape = own.groupBy("g").agg(F.min("c1").alias("c1"), F.max("c1").alias("d1"), F.min("c2").alias("c2"), F.max("c2").alias("d2"))
         paths["anchors"], tables["anchors"] = self.table("anchors", shape.withColumn("several", F.expr("c1 <> d1 OR c2 <> d2")), buckets)
-        crowded = durable(self.crowded(tables["anchors"]))
+        crowded = slim(self.crowded(tables["anchors"]))
 
         runs = range(len(self.runs))
         seen = self.known("classes", own, ("first",))
@@ -218,7 +218,7 @@ class WindowIndex:
         marked = marked.groupBy(F.col("c1").alias("m1"), F.col("c2").alias("m2")).agg(F.collect_list("at").alias("ats"))
         outcome = seen.join(marked, F.expr("c1 = m1 AND c2 = m2"), "left").where("least < last OR ats IS NOT NULL")
         # written, so that both sides of the next join are plain shuffles and a class of very many copies can be split
-        outcome = durable(outcome.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "least", "ats"))
+        outcome = slim(outcome.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "least", "ats"))
         hits = found.join(outcome, F.expr("c1 = k1 AND c2 = k2")).where("doc > least OR ats IS NOT NULL")
         spans = hits.select("blk", "i", "lo", F.when(F.col("doc") > F.col("least"), F.col("n")).alias("n"), F.when(F.col("doc") <= F.col("least"), F.col("ats")).alias("ats"))
         spans = durable(spans.groupBy(F.col("blk").alias("sblk")).agg(F.collect_list(F.struct("i", "lo", "n", "ats")).alias("spans")))

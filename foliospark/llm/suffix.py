@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import batch_of, drop, durable, partitions, scratch
+from .base import batch_of, drop, durable, partitions, scratch, slim
 from .substring import by_id
 from .textlog import PLACE, TASK, bucketed, in_blocks, store
 from .windows import BYTE_UNIT, covered, digests, occurrences
@@ -183,7 +183,7 @@ class SuffixIndex:
         classes = self.table(found.groupBy("c1", "c2").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("q").alias("q"), *place, F.count("*").alias("copies")), "c1", "c2")
         shape = classes.groupBy("g").agg(F.min("c1").alias("c1"), F.max("c1").alias("d1"), F.min("c2").alias("c2"), F.max("c2").alias("d2"))
         anchors = self.table(shape.select("g", "c1", "c2", F.expr("c1 <> d1 OR c2 <> d2").alias("several")), "g")
-        crowded = durable(self.crowded(anchors))
+        crowded = slim(self.crowded(anchors))
 
         seen = classes
         for k, level in enumerate(self.levels):
@@ -196,7 +196,7 @@ class SuffixIndex:
         seen = seen.select("c1", "c2", "g", "n", "q", "blk", "i", "lo", "copies", past.alias("past"), *held)
         seen = durable(seen) if self.levels else seen
         # written, so that both sides of the next join are plain shuffles and an entry of very many copies can be split
-        again = durable(seen.where("copies + past > 1").select(F.col("c1").alias("a1"), F.col("c2").alias("a2")))
+        again = slim(seen.where("copies + past > 1").select(F.col("c1").alias("a1"), F.col("c2").alias("a2")))
         spans = found.join(again, F.expr("c1 = a1 AND c2 = a2")).select("blk", "i", "lo", "n")
         spans = spans.unionByName(seen.where("past = 1").select(F.col("old_blk").alias("blk"), F.col("old_i").alias("i"), F.col("old_lo").alias("lo"), "n"))
         spans = durable(spans)
