@@ -346,8 +346,8 @@ def train(docs: DataFrame, labels: DataFrame, least: int = 40, shard_rows: int =
     agreed = fit.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").drop("other")
     rows = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & ~held_out())
     # texts stay where they are while sizes are taken
-    each = rows.select("doc_id", F.octet_length("text").alias("bytes")).join(agreed, "doc_id")
-    each = each.groupBy("doc_id", "toxic").agg(F.count("*").alias("n"), F.max("bytes").alias("bytes")).withColumn("used", used())
+    each = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("bytes"))
+    each = each.join(agreed, "doc_id", "left").withColumn("used", used() & F.col("toxic").isNotNull())
     size = F.coalesce(F.sum(F.when(F.col("used"), F.col("bytes"))), F.lit(0)).alias("bytes")
     known = each.agg(F.count_if("used").alias("used"), size, F.max("n").alias("most"), F.min("toxic").alias("low"), F.max("toxic").alias("high")).first()
     if known["low"] == known["high"] or not known["used"]:
