@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm import decontam, mixing, nearcopies, secrets, toxicity
-from foliospark.llm.base import drop, durable, free, row_key
+from foliospark.llm.base import drop, durable, free, row_key, small_batches
 from foliospark.session import ship
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score reaches the threshold of their language go; null and empty texts have the score of an empty text."""
+    small_batches(spark)
     model, cuts = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score, flag = free(docs, "toxicity"), free(docs, "toxic")
     kept = toxicity.score(docs, model, cuts, score, flag)
@@ -26,6 +27,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (5-word shingles, similarity 0.8 or more) exactly one row stays, the least by id (null last)
     and row key; null and empty texts are copies of each other, and of rows of one id and one text one stays."""
+    small_batches(spark)
     key, kept_id, kept_key = free(docs, "row_key"), free(docs, "kept_id"), free(docs, "kept_key")
     first = durable(nearcopies.firsts(docs).select(F.col("doc_id").alias(kept_id), F.col("key").alias(kept_key)))
     keyed = docs.withColumn(key, row_key())
@@ -37,11 +39,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a benchmark item go, whatever their id; null and empty texts hold none."""
+    small_batches(spark)
     return decontam.without(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; n_chars follows. Null and empty texts stay as they are."""
+    small_batches(spark)
     count = free(docs, "secrets")
     clean = secrets.redact(docs, count=count)
     if "n_chars" in docs.columns:

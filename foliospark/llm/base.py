@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handled at once in a Python worker (a longer document makes a block of its own).
 BLOCK_BYTES = 1 << 19
+#: Bytes of rows that go to a Python worker at once in the pipeline (a longer row makes a batch of its own).
+BATCH_BYTES = 1 << 21
 
 
 def scratch(spark: SparkSession) -> str:
@@ -49,6 +51,14 @@ def drop(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session hold about BATCH_BYTES at most, not only 10,000 rows or 64 MB: a worker, and the JVM
+    beside it, keep what their largest batch took. Rows and results are the same; a lower bound that is set stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def free(docs: DataFrame, name: str) -> str:
     """A column name that docs doesn't have, whatever the case of letters."""
     have = {c.lower() for c in docs.columns}

@@ -21,8 +21,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import free
-
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
@@ -123,26 +121,28 @@ def redact(docs: DataFrame, mark: str = "[secret]", count: str = "secrets") -> D
     """docs with every stretch that spans cover replaced by a mark, and their number in a column (in the place of one of that
     name); other texts stay as they are."""
     docs = docs.drop(count)
-    names, spans_in = docs.columns, free(docs, "spans")
-    mark_rows = scan_secrets(docs, column=spans_in)
+    names = docs.columns
     schema = docs.withColumn(count, F.lit(0)).schema
 
     def cut(batches):
+        # spans are found here too: a scan of its own before this would take a second worker for each task
+        novelty = Novelty()
         for batch in batches:
             texts, counts = batch.column("text").to_pylist(), []
-            for i, found in enumerate(batch.column(spans_in).to_pylist()):
+            for i, text in enumerate(texts):
+                found = spans(text or "", novelty)
                 counts.append(len(found))
                 if found:
-                    parts, at, text = [], 0, texts[i]
-                    for s in sorted(found, key=lambda s: s["start"]):
-                        if s["start"] >= at:
-                            parts += [text[at : s["start"]], mark]
-                        at = max(at, s["end"])
+                    parts, at = [], 0
+                    for _, a, b, _ in found:
+                        if a >= at:
+                            parts += [text[at:a], mark]
+                        at = max(at, b)
                     texts[i] = "".join(parts) + text[at:]
             columns = [pa.array(texts, batch.schema.field(c).type) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, count])
 
-    return mark_rows.mapInArrow(cut, schema)
+    return docs.mapInArrow(cut, schema)
 
 
 def table(docs: DataFrame) -> DataFrame:
