@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .base import partitions
+
 #: Short notices of common licence families.
 TEMPLATES = {
     "apache": ["Licensed under the Apache License, Version 2.0.", "you may not use this file except in compliance with the License", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS"],
@@ -36,6 +38,9 @@ FAMILIES = sorted(TEMPLATES)
 #: Words of which a line of the unknown class may have none.
 NOTICE = r"licen[cs]e|copyright|permission|redistribut|rights reserved|warrant"
 
+#: Shuffle partitions that go into one of the result.
+PER_FILE = 8
+
 
 def words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
@@ -175,7 +180,9 @@ def scan_licenses(docs: DataFrame, sample: int = 2000, overlap: float = 0.5, wra
     near = F.max(F.when(F.col("n_lines") == 1, 1)).over(at.rangeBetween(0, 1)).isNotNull()
     earlier = F.max(F.when(F.col("n_lines") == 2, 1)).over(at.rangeBetween(-1, -1)).isNotNull()
     kept = hits.withColumn("hidden", (F.col("n_lines") == 2) & (near | earlier)).where("NOT hidden")
-    return kept.select("doc_id", "paragraph", "n_lines", "family", F.round("probability", 4).alias("probability"), "overlap")
+    found = kept.select("doc_id", "paragraph", "n_lines", "family", F.round("probability", 4).alias("probability"), "overlap")
+    # far smaller than docs, so in fewer files: for each an executor's JVM starts processes that share its memory while they start
+    return found.coalesce(-(-partitions(docs.sparkSession) // PER_FILE))
 
 
 def _plain_words(text: str) -> list[str]:
