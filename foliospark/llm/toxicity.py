@@ -256,9 +256,10 @@ def by_shard(batches):
         yield last, done, np.array(labels, np.float32)
 
 
-def summed(fitted: DataFrame, work) -> list[np.ndarray]:
-    """What work(word ids, labels) returns, a list of arrays, added up over the shards: rows of a first array in PARTS pieces, with
-    the number of shards where the row's last entry isn't 0 as a further column, and a second array. Shards are added in their order, so that partitions don't matter."""
+def summed(fitted: DataFrame, work, made) -> list[np.ndarray]:
+    """What work(word ids, labels) returns, a list of arrays, added up over the shards: rows of a first array in PARTS pieces, of which
+    the driver gets what made(sums, number of shards where the row's last entry isn't 0) is, in 32 bits, and a second array with the number of shards.
+    Shards are added in their order, so that partitions don't matter. A piece of gains has 295 KB: arrays of 512 KB or more take whole regions of the driver's heap."""
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("a", pa.binary())])
     result = pa.schema([("part", pa.int32()), ("a", pa.binary())])
 
@@ -269,13 +270,17 @@ def summed(fitted: DataFrame, work) -> list[np.ndarray]:
                 yield batch_of(schema, [[i], [shard], [x.astype(np.float32).tobytes()]])
             yield batch_of(schema, [[PARTS], [shard], [rest.astype(np.float64).tobytes()]])
 
+    def ended(part, total):
+        x = made(total[:, :-1], total[:, -1:]).astype(np.float32) if part < PARTS else total
+        return batch_of(result, [[part], [x.tobytes()]])
+
     def add(batches):
         last, total = None, None
         for batch in batches:
             for part, a in zip(batch.column("part").to_pylist(), batch.column("a").to_pylist(), strict=True):
                 if part != last:
                     if last is not None:
-                        yield batch_of(result, [[last], [total.tobytes()]])
+                        yield ended(last, total)
                     last, total = part, 0.0
                 if part < PARTS:
                     x = np.frombuffer(a, np.float32).reshape((2 << BITS) // PARTS, -1)
@@ -283,11 +288,11 @@ def summed(fitted: DataFrame, work) -> list[np.ndarray]:
                 else:
                     total = total + np.append(np.frombuffer(a), 1.0)
         if last is not None:
-            yield batch_of(result, [[last], [total.tobytes()]])
+            yield ended(last, total)
 
     parts = fitted.mapInArrow(each, "part int, shard int, a binary")
     found = parts.repartition(PARTS, "part").sortWithinPartitions("part", "shard").mapInArrow(add, "part int, a binary")
-    got = {r["part"]: np.frombuffer(r["a"]) for r in found.collect()}  # of fixed size
+    got = {r["part"]: np.frombuffer(r["a"], np.float32 if r["part"] < PARTS else np.float64) for r in found.collect()}  # of fixed size
     return [np.concatenate([got[i].reshape((2 << BITS) // PARTS, -1) for i in range(PARTS)]), got[PARTS]]
 
 
@@ -295,7 +300,7 @@ def learnt(fitted: DataFrame, shards: int, epochs: int, seen: int = 3) -> TextCn
     """The model of all rows: one round of all epochs with one shard, else a round an epoch."""
     model = TextCnn()
     model.start()
-    counts, _ = summed(fitted, lambda done, labels: (slots(done).reshape(-1, 1), np.zeros(0)))
+    counts, _ = summed(fitted, lambda done, labels: (slots(done).reshape(-1, 1), np.zeros(0)), lambda sums, shards: sums)
     model.keep(counts[:, 0].reshape(2, -1), seen)
     context = fitted.sparkSession.sparkContext
     for i in range(1 if shards == 1 else epochs):
@@ -307,8 +312,8 @@ def learnt(fitted: DataFrame, shards: int, epochs: int, seen: int = 3) -> TextCn
             net.learn(done, labels, epochs if shards == 1 else 1, seed=i + 1)
             return net.words() - words, net.rest() - rest
 
-        words, rest = summed(fitted, work)
-        model.gain((words[:, :-1] / np.maximum(1, words[:, -1:])).astype(np.float32), rest[:-1] / rest[-1])
+        words, rest = summed(fitted, work, lambda sums, shards: sums / np.maximum(1, shards))
+        model.gain(words, rest[:-1] / rest[-1])
         held.destroy()
     return model
 
