@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions import article, grammar, html, latex, rendering, symbols, textclean
+from foliospark.functions import arrow, article, grammar, html, latex, rendering, symbols, textclean
 from foliospark.operators import catalogues, color, labels, logs
 from foliospark.plans.registry import query, table
 from foliospark.sources import archives, files, papers
@@ -518,13 +518,16 @@ _HEAD, _TAIL = "\\documentclass{article}\n\\begin{document}\n", "\n\\input{gone}
 def _members(spark, d) -> DataFrame:
     words = lambda x: F.array_join(F.regexp_extract_all(x, F.lit("[A-Za-z]+"), F.lit(0)), " ")
     lines = table(spark, d, "documents").select("doc_id", F.transform(F.split("text", "\n"), words).alias("l"))
-    n = F.ceil(F.size("l") / 4).cast("int")
-    each = lines.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.array_join(F.slice("l", k * 4 + 1, F.lit(4)), "\n"))).alias("k", "body"))
-    k = F.col("k").cast("string")
-    chapters = each.select("doc_id", F.concat(F.lit("c"), k, F.lit(".tex")).alias("member"), F.concat(F.when(F.col("k") % 3 == 0, F.concat(F.lit("\\input{ d"), k, F.lit("}\n"))).otherwise(""), "body").alias("text"))
-    deep = each.where("k % 3 = 0").select("doc_id", F.concat(F.lit("d"), k, F.lit(".latex")).alias("member"), F.concat(F.lit("D"), k).alias("text"))
-    main = lines.select("doc_id", F.lit("main.tex").alias("member"), F.concat(F.lit(_HEAD), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.concat(F.lit("\\include{c"), k.cast("string"), F.lit(".tex}"))), "\n"), F.lit(_TAIL)).alias("text"))
-    return chapters.union(deep).union(main)
+    ks = F.sequence(F.lit(0), F.ceil(F.size("l") / 4).cast("int") - 1)
+    deep = F.filter(ks, lambda k: k % 3 == 0)
+    file = lambda member, text: F.struct(member.alias("member"), text.alias("text"))
+    input = lambda k: F.when(k % 3 == 0, F.concat(F.lit("\\input{ d"), k.cast("string"), F.lit("}\n"))).otherwise("")
+    main = F.concat(F.lit(_HEAD), F.array_join(F.transform(ks, lambda k: F.concat(F.lit("\\include{c"), k.cast("string"), F.lit(".tex}"))), "\n"), F.lit(_TAIL))
+    files = F.concat(
+        F.transform(ks, lambda k: file(F.concat(F.lit("c"), k.cast("string"), F.lit(".tex")), F.concat(input(k), F.array_join(F.slice("l", k * 4 + 1, F.lit(4)), "\n")))),
+        F.transform(deep, lambda k: file(F.concat(F.lit("d"), k.cast("string"), F.lit(".latex")), F.concat(F.lit("D"), k.cast("string")))), F.array(file(F.lit("main.tex"), main)),
+    )
+    return lines.select("doc_id", F.explode(files).alias("f")).select("doc_id", "f.member", "f.text")
 
 
 @query(f"""WITH {_PAPER} SELECT doc_id, 'main.tex' AS member, k::INT AS n, 'c' || k || '.tex' AS name, 'c' || k || '.tex' AS included FROM c UNION ALL SELECT doc_id, 'c' || k || '.tex', 0, 'd' || k, 'd' || k || '.latex' FROM c WHERE k % 3 = 0

@@ -5,43 +5,87 @@ Members are rows (doc_id, member, text). A paper's files meet in one row of a pa
 
 from __future__ import annotations
 
+import functools
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from foliospark.functions import grammar, latex, textclean
-from foliospark.operators import catalogues
-from foliospark.sources import archives
+from foliospark.functions import arrow, grammar, latex, textclean
+from foliospark.session import checkpoint
 
 INCLUDE = r"\\(?:input|include)\s*\{\s*([^}]*?)\s*\}"
+CALL = re.compile(INCLUDE, re.ASCII)
 #: Endings of a name for which a file is looked for, in order.
 ENDINGS = ("", ".tex", ".latex")
 
 
+def calls(members: DataFrame) -> DataFrame:
+    """doc_id, files: of each member of a paper its name (member), the names that it includes, in order, and whether it has a \\documentclass."""
+    own = members.select("doc_id", F.struct("member", F.regexp_extract_all("text", F.lit(INCLUDE), F.lit(1)).alias("names"), F.col("text").contains("\\documentclass").alias("main")).alias("f"))
+    return own.groupBy("doc_id").agg(F.collect_list("f").alias("files"))
+
+
+def resolved(files: list[dict]) -> list[tuple[str, int, str, str]]:
+    """(member, n, name, included) of every include of a paper's files."""
+    have = {f["member"] for f in files}
+    means = functools.cache(lambda name: next((name + e for e in ENDINGS if name + e in have), ""))
+    return [(f["member"], n, name, means(name)) for f in files for n, name in enumerate(f["names"] or ())]
+
+
+def root_of(files: list[dict], found: list[tuple]) -> str | None:
+    """The first file by name that has a \\documentclass and that none includes, else the first that has one."""
+    inner = {included for *_, included in found}
+    return min(((f["member"] in inner, f["member"]) for f in files if f["main"]), default=(None, None))[1]
+
+
+def below(root: str, found: list[tuple]) -> dict[str, None]:
+    """root and what it includes, directly or not."""
+    step, seen, todo = {}, {root: None}, [root]
+    for member, _, _, included in found:
+        if included:
+            step.setdefault(member, []).append(included)
+    while todo:
+        fresh = [x for x in step.get(todo.pop(), ()) if x not in seen]
+        seen |= dict.fromkeys(fresh)
+        todo += fresh
+    return seen
+
+
+def _each(papers: DataFrame, rows, columns: str) -> DataFrame:
+    """Rows that a function of a paper's files gives, doc_id before them."""
+    schema = f"doc_id {papers.schema['doc_id'].dataType.simpleString()}, {columns}"
+    types = to_arrow_schema(T._parse_datatype_string(schema))
+    made = lambda batches: ((doc, *row) for doc, files in arrow.rows_of(batches, "doc_id", "files") for row in rows(files))
+    return papers.where("doc_id IS NOT NULL").select("doc_id", "files").mapInArrow(lambda batches: arrow.batched(made(batches), types), schema)
+
+
 def includes(members: DataFrame) -> DataFrame:
     """doc_id, member, n, name, included: every \\input and \\include of a file, and the file that it means ('' if none)."""
-    calls = members.select("doc_id", "member", F.posexplode(F.regexp_extract_all("text", F.lit(INCLUDE), F.lit(1))).alias("n", "name"))
-    found = archives.resolve(calls.select("doc_id", "name").distinct(), members)
-    return calls.join(found.select("doc_id", "name", F.col("member").alias("included")), ["doc_id", "name"]).select("doc_id", "member", "n", "name", "included")
+    return _each(calls(members), resolved, "member string, n int, name string, included string")
 
 
 def roots(members: DataFrame) -> DataFrame:
     """doc_id, root: the first file by name that has a \\documentclass and that no other file includes, else the first that has one."""
-    main = members.where(F.col("text").contains("\\documentclass")).select("doc_id", "member")
-    inner = includes(members).where("included <> ''").select("doc_id", F.col("included").alias("member")).distinct().withColumn("inner", F.lit(True))
-    return main.join(inner, ["doc_id", "member"], "left").groupBy("doc_id").agg(F.min(F.struct(F.coalesce("inner", F.lit(False)).alias("inner"), "member")).alias("m")).select("doc_id", F.col("m.member").alias("root"))
+
+    def rows(files):
+        root = root_of(files, resolved(files))
+        return [] if root is None else [(root,)]
+
+    return _each(calls(members), rows, "root string")
 
 
 def reached(members: DataFrame) -> DataFrame:
     """doc_id, member: the files that a paper's root includes, directly or not, itself too."""
-    key = lambda c: F.concat(F.col("doc_id").cast("string"), F.lit("\u0000"), F.col(c))
-    edges = includes(members).where("included <> ''").select(key("member").alias("package"), key("included").alias("includes"))
-    start = roots(members)
-    below = start.withColumn("k", key("root")).join(catalogues.closure(edges).select(F.col("root").alias("k"), "package"), "k", "left")
-    return below.select("doc_id", F.coalesce(F.substring_index("package", "\u0000", -1), "root").alias("member"))
+
+    def rows(files):
+        found = resolved(files)
+        root = root_of(files, found)
+        return [] if root is None else [(m,) for m in below(root, found)]
+
+    return _each(calls(members), rows, "member string")
 
 
 def inline(files: dict[str, str], root: str, above: tuple[str, ...] = ()) -> str:
@@ -54,15 +98,19 @@ def inline(files: dict[str, str], root: str, above: tuple[str, ...] = ()) -> str
     return re.sub(INCLUDE, put, files[root])
 
 
-@F.pandas_udf(T.StringType())
-def _inlined(files: pd.Series, root: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else inline(dict(f), r) for f, r in zip(files, root, strict=True)])
-
-
 def inlined(members: DataFrame) -> DataFrame:
     """doc_id, root, text: one text of each paper that has a root."""
-    files = members.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("member", F.coalesce("text", F.lit(""))))).alias("files"))
-    return files.join(roots(members), "doc_id").select("doc_id", "root", _inlined("files", "root").alias("text"))
+    own = members.select("doc_id", F.struct("member", F.coalesce("text", F.lit("")).alias("text")).alias("f")).groupBy("doc_id").agg(F.collect_list("f").alias("files"))
+
+    def rows(files):
+        texts = {f["member"]: f["text"] for f in files}
+        if len(texts) < len(files):
+            raise ValueError("a paper has two files of one name")
+        plain = [{"member": m, "names": CALL.findall(t), "main": "\\documentclass" in t} for m, t in texts.items()]
+        root = root_of(plain, resolved(plain))
+        return [] if root is None else [(root, inline(texts, root))]
+
+    return _each(own, rows, "root string, text string")
 
 
 def ready(members: DataFrame, catalogue: DataFrame | None = None, packages: DataFrame | None = None) -> DataFrame:
@@ -75,7 +123,7 @@ def annotated(docs: DataFrame, colors: DataFrame) -> tuple[DataFrame, DataFrame]
     """Papers from ready() with their labelled rows in colour: (rows with color_key, doc_id and text with the definitions back).
 
     colors: reading, color_key: the colour of the n-th labelled row; figures take theirs as they are given."""
+    docs = checkpoint(docs)  # read by the walk and again by what it paints
     rows = latex.parse_latex(docs).join(colors, "reading", "left")
-    painted = latex.colored_documents(docs.select("doc_id", "text"), rows)
-    back = painted.join(docs.select("doc_id", "removed"), "doc_id").select("doc_id", textclean.restore_placeholders(F.col("text"), F.col("removed")).alias("text"))
-    return rows, back
+    painted = latex.colored_documents(docs.select("doc_id", "removed", "text"), rows)
+    return rows, painted.select("doc_id", textclean.restore_placeholders(F.col("text"), F.col("removed")).alias("text"))
