@@ -452,8 +452,7 @@ def parse_latex(spark, d):
         return F.when(body == "", "").otherwise(made.when(kind == 2, F.concat(F.lit("\n% a note\n"), body)).otherwise(body))
 
     docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("\\documentclass{article}\n\\begin{document}\n"), F.array_join(F.transform(F.split("text", "\n"), tex), "\n"), F.lit("\n\\end{document}\n")).alias("text"))
-    found = latex.parse_latex(docs)
-    return found.join(docs, "doc_id").select("doc_id", "reading", F.substr("text", F.col("pos") + 1, F.col("pos_end") - F.col("pos")).alias("text"), "label", "section")
+    return latex.parse_latex(docs, texts=True).select("doc_id", "reading", "text", "label", "section")
 
 
 _WALKED = r"""CASE WHEN p_size % 2 = 0 THEN 'Title' END"""

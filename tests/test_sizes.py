@@ -27,3 +27,8 @@ def test_paper_colored_without_substrings(spark):
     assert "substr" not in plan(found).lower()
     got = {r["doc_id"]: r["text"] for r in found.collect()}
     assert got[1] == "\\begin{document}é {\\color[RGB]{10, 0, 255}b} " + "é b " * 59 + "\\colorbox[rgb]{0.1,0.2,1.0}{\\includegraphics{f}}\\end{document}" and got[2] is None
+
+
+def test_parse_latex_without_a_join(spark):
+    found = catalogue.QUERIES["parse_latex"](spark, DATA)
+    assert "Join" not in plan(found) and "Exchange" not in plan(found)
