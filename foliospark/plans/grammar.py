@@ -468,8 +468,8 @@ def parse_macros(spark, d):
     # {x} is \packed's second argument where the package says so; it has none of its own
     docs = p.select("doc_id", F.concat(F.lit("\\usepackage{one}"), F.replace(tex, F.lit("{x}\\odd"), F.lit("\\odd"))).alias("text"))
     entries = spark.createDataFrame([("two", "cmds", "packed", "{")], "package string, kind string, name string, args string")
-    found = latex.parse_latex(grammar.context(docs, entries, spark.createDataFrame([("one", "two")], "package string, includes string")))
-    return found.join(docs, "doc_id").select("doc_id", "reading", F.substr("text", F.col("pos") + 1, F.col("pos_end") - F.col("pos")).alias("text"))
+    found = latex.parse_latex(arrow.dealt(grammar.context(docs, entries, spark.createDataFrame([("one", "two")], "package string, includes string"))), texts=True)
+    return found.select("doc_id", "reading", "text")
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT 'p' || (p_partkey % 40) AS package, 'p' || (p_partkey % 40 * 3 + 1) % 40 AS includes FROM part), c AS (SELECT DISTINCT package AS root, package FROM e UNION SELECT c.root, e.includes FROM c JOIN e ON e.package = c.package),

@@ -32,3 +32,8 @@ def test_paper_colored_without_substrings(spark):
 def test_parse_latex_without_a_join(spark):
     found = catalogue.QUERIES["parse_latex"](spark, DATA)
     assert "Join" not in plan(found) and "Exchange" not in plan(found)
+
+
+def test_parse_macros_dealt_to_all_tasks(spark):
+    found = catalogue.QUERIES["parse_macros"](spark, DATA)
+    assert "REPARTITION_BY_NUM" in plan(found) and found.select("reading").mapInArrow(lambda batches: (b.slice(0, 1) for b in batches if b.num_rows), "reading int").count() > 1
