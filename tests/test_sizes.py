@@ -2,7 +2,7 @@
 
 import pytest
 
-from foliospark.functions import latex
+from foliospark.functions import article, html, latex
 from foliospark.plans import catalogue
 from foliospark.sources import papers
 
@@ -37,3 +37,23 @@ def test_parse_latex_without_a_join(spark):
 def test_parse_macros_dealt_to_all_tasks(spark):
     found = catalogue.QUERIES["parse_macros"](spark, DATA)
     assert "REPARTITION_BY_NUM" in plan(found) and found.select("reading").mapInArrow(lambda batches: (b.slice(0, 1) for b in batches if b.num_rows), "reading int").count() > 1
+
+
+def dealt_by(frame) -> str:
+    text = plan(frame)
+    return text[text.rindex("REPARTITION_BY_NUM") - 60 :] if "REPARTITION_BY_NUM" in text else ""
+
+
+def test_article_tables_make_html_behind_the_shuffle(spark):
+    """One shuffle of an order's numbers, to a fixed number of tasks; the rows' HTML went through it before."""
+    text = plan(catalogue.QUERIES["article_tables"](spark, DATA))
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text and "ltx_tr" not in text[text.rindex("REPARTITION_BY_NUM") :]
+
+
+def test_plain_pages_as_the_parser_reads_them():
+    for page in ("<!DOCTYPE html><p>a &amp; b<br><p class=\"x\">c</p><td a=\"1\"/>&", "<title>a</title><script>x<!-- c --></script>", "<script>x", "<a b='c'>d</a>", "a < b", "<li/><li>x<li>y", "<P A=\"&lt;\"></P\n>"):
+        tree = html.Tree()
+        tree.feed(page)
+        tree.close()
+        assert html.parse(page) == tree.rows and article.elements(page)
+    assert html._fast("<p a=\"b\">c &amp; d</p>") is not None and html._fast("<script>a") is None
