@@ -57,3 +57,7 @@ def test_plain_pages_as_the_parser_reads_them():
         tree.close()
         assert html.parse(page) == tree.rows and article.elements(page)
     assert html._fast("<p a=\"b\">c &amp; d</p>") is not None and html._fast("<script>a") is None
+
+
+def test_article_markdown_dealt_to_all_tasks(spark):
+    assert dealt_by(catalogue.QUERIES["article_markdown"](spark, DATA))
