@@ -241,7 +241,7 @@ def math_normalize(spark, d):
 def expand_macros(spark, d):
     head = "\\newcommand{\\v}[2]{<#1|#2>}\\newcommand{\\k}{K}\\newenvironment{n}[1]{(#1)}{!}\\begin{document}"
     tex = F.concat(F.lit(head + "\\v{"), "p_name", F.lit("}{"), "p_type", F.lit("} \\k "), "p_brand", F.lit("\\begin{n}{"), "p_size", F.lit("}in"), "p_name", F.lit("\\end{n}\\end{document}"))
-    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), latex.expand_macros(tex).alias("result"))
+    return arrow.dealt(table(spark, d, "part")).select(F.col("p_partkey").alias("id"), latex.expand_macros(tex).alias("result"))
 
 
 @query(rf"""SELECT p_partkey AS id, '\begin{{document}}' || p_name || CASE WHEN p_size % 2 = 0 THEN '' ELSE '\{textclean.PLACEHOLDER}{{9}}' END || p_type AS kept, p_name || p_type AS bare FROM part""")

@@ -61,3 +61,7 @@ def test_plain_pages_as_the_parser_reads_them():
 
 def test_article_markdown_dealt_to_all_tasks(spark):
     assert dealt_by(catalogue.QUERIES["article_markdown"](spark, DATA))
+
+
+def test_expand_macros_dealt_to_all_tasks(spark):
+    assert dealt_by(catalogue.QUERIES["expand_macros"](spark, DATA))
