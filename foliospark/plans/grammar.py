@@ -392,7 +392,7 @@ _NODES = "node::INT AS node, coalesce(parent, -1)::INT AS parent, ord::INT AS or
  LATERAL (SELECT CASE node WHEN 3 THEN p_name WHEN 5 THEN p_type || ' ' WHEN 7 THEN p_brand WHEN 8 THEN 'x_' || p_size WHEN 11 THEN p_name END AS text)""")
 def article_nodes(spark, d):
     page = F.concat(F.lit('<section class="ltx_section"><h2 class="ltx_title">'), "p_name", F.lit('</h2><p class="ltx_p">'), "p_type", F.lit(' <em class="ltx_emph ltx_font_italic">'), "p_brand", F.lit('</em></p><math class="ltx_Math" alttext="x_'), "p_size", F.lit('"></math><div class="ltx_rule">no</div><ul class="ltx_itemize"><li class="ltx_item">'), "p_name", F.lit("</li></ul></section>"))
-    return article.nodes(table(spark, d, "part").select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
+    return article.nodes(arrow.dealt(table(spark, d, "part")).select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
 
 
 @query(f"""SELECT p_partkey AS id, {_NODES} FROM part, (VALUES (0, NULL, 0, 'document'), (1, 0, 0, 'div'), (2, 1, 0, 'p'), (3, 2, 0, 'text'), (4, 2, 1, 'br'), (5, 1, 1, 'p'), (6, 5, 0, 'text'), (7, 5, 1, 'b'), (8, 7, 0, 'text')) n(node, parent, ord, kind),

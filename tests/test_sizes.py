@@ -65,3 +65,7 @@ def test_article_markdown_dealt_to_all_tasks(spark):
 
 def test_expand_macros_dealt_to_all_tasks(spark):
     assert dealt_by(catalogue.QUERIES["expand_macros"](spark, DATA))
+
+
+def test_article_nodes_dealt_to_all_tasks(spark):
+    assert dealt_by(catalogue.QUERIES["article_nodes"](spark, DATA))
