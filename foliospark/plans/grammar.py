@@ -399,7 +399,7 @@ def article_nodes(spark, d):
  LATERAL (SELECT CASE node WHEN 3 THEN p_name WHEN 6 THEN p_type || ' & ' WHEN 8 THEN p_brand END AS text)""")
 def html_nodes(spark, d):
     page = F.concat(F.lit("<div><p>"), "p_name", F.lit("<br><p>"), "p_type", F.lit(" &amp; <b>"), "p_brand", F.lit("</b></div>"))
-    return html.nodes(table(spark, d, "part").select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
+    return html.nodes(arrow.dealt(table(spark, d, "part")).select(F.col("p_partkey").alias("id"), page.alias("html")), "id").select("id", "node", F.coalesce("parent", F.lit(-1)).alias("parent"), "ord", "kind", "text")
 
 
 @query(r"""WITH r AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, l_partkey AS p FROM lineitem)

@@ -69,3 +69,7 @@ def test_expand_macros_dealt_to_all_tasks(spark):
 
 def test_article_nodes_dealt_to_all_tasks(spark):
     assert dealt_by(catalogue.QUERIES["article_nodes"](spark, DATA))
+
+
+def test_html_nodes_dealt_to_all_tasks(spark):
+    assert dealt_by(catalogue.QUERIES["html_nodes"](spark, DATA))
