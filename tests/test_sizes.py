@@ -73,3 +73,9 @@ def test_article_nodes_dealt_to_all_tasks(spark):
 
 def test_html_nodes_dealt_to_all_tasks(spark):
     assert dealt_by(catalogue.QUERIES["html_nodes"](spark, DATA))
+
+
+def test_brace_balance_gets_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 26))
+    catalogue.QUERIES["brace_balance"](spark, DATA)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 1 << 21
