@@ -79,3 +79,10 @@ def test_brace_balance_gets_small_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 26))
     catalogue.QUERIES["brace_balance"](spark, DATA)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 1 << 21
+
+
+def test_parse_html_in_small_blocks(spark):
+    pages = spark.createDataFrame([(i, "<p>x</p>" * 40) for i in range(1000)], "page_id long, html string").coalesce(1)
+    for made in (html.nodes(pages), article.nodes(pages)):
+        sizes = [r["n"] for r in made.select("node").mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()]
+        assert sum(sizes) == 81_000 and max(sizes) <= 10_000
