@@ -86,3 +86,9 @@ def test_parse_html_in_small_blocks(spark):
     for made in (html.nodes(pages), article.nodes(pages)):
         sizes = [r["n"] for r in made.select("node").mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()]
         assert sum(sizes) == 81_000 and max(sizes) <= 10_000
+
+
+def test_paper_files_in_one_shuffle(paper, spark):
+    """Which file includes which is read once, a paper in a row; rounds of joins over all pairs of files took its place before."""
+    assert plan(papers.reached(paper)).count("Exchange") == 1 and "Join" not in plan(papers.reached(paper))
+    assert sorted(map(tuple, papers.reached(paper).collect())) == [(1, "b.tex"), (1, "c.latex"), (1, "m.tex")]
