@@ -92,3 +92,10 @@ def test_paper_files_in_one_shuffle(paper, spark):
     """Which file includes which is read once, a paper in a row; rounds of joins over all pairs of files took its place before."""
     assert plan(papers.reached(paper)).count("Exchange") == 1 and "Join" not in plan(papers.reached(paper))
     assert sorted(map(tuple, papers.reached(paper).collect())) == [(1, "b.tex"), (1, "c.latex"), (1, "m.tex")]
+
+
+def test_paper_includes_in_one_shuffle(paper, spark):
+    found = papers.includes(paper)
+    assert plan(found).count("Exchange") == 1 and "Join" not in plan(found)
+    want = [(1, "b.tex", 0, "c", "c.latex"), (1, "b.tex", 1, "b", "b.tex"), (1, "m.tex", 0, "b", "b.tex"), (1, "m.tex", 1, "no", ""), (1, "z.tex", 0, "m", "m.tex")]
+    assert sorted(map(tuple, found.collect())) == want
