@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.functions import arrow, grammar, latex, textclean
-from foliospark.session import checkpoint
 
 INCLUDE = r"\\(?:input|include)\s*\{\s*([^}]*?)\s*\}"
 CALL = re.compile(INCLUDE, re.ASCII)
+#: Colours that are taken to the documents; the words go to more of them.
+HELD = 1 << 18
 #: Endings of a name for which a file is looked for, in order.
 ENDINGS = ("", ".tex", ".latex")
 
@@ -123,7 +124,11 @@ def annotated(docs: DataFrame, colors: DataFrame) -> tuple[DataFrame, DataFrame]
     """Papers from ready() with their labelled rows in colour: (rows with color_key, doc_id and text with the definitions back).
 
     colors: reading, color_key: the colour of the n-th labelled row; figures take theirs as they are given."""
-    docs = checkpoint(docs)  # read by the walk and again by what it paints
     rows = latex.parse_latex(docs).join(colors, "reading", "left")
-    painted = latex.colored_documents(docs.select("doc_id", "removed", "text"), rows)
+    few = colors.select("reading", "color_key").limit(HELD + 1).collect()
+    keys = {r["reading"]: r["color_key"] for r in few}
+    if len(keys) == len(few) <= HELD:  # small enough for each worker: no word leaves its document
+        painted = latex.painted_documents(docs.drop("root"), docs.sparkSession.sparkContext.broadcast(keys))
+    else:
+        painted = latex.colored_documents(docs.select("doc_id", "removed", "text"), rows)
     return rows, painted.select("doc_id", textclean.restore_placeholders(F.col("text"), F.col("removed")).alias("text"))

@@ -1,6 +1,7 @@
 """Work that grows with its input: long texts and many files in passes over them, rows dealt to all tasks, workers' batches small."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.functions import article, html, latex
 from foliospark.plans import catalogue
@@ -99,3 +100,13 @@ def test_paper_includes_in_one_shuffle(paper, spark):
     assert plan(found).count("Exchange") == 1 and "Join" not in plan(found)
     want = [(1, "b.tex", 0, "c", "c.latex"), (1, "b.tex", 1, "b", "b.tex"), (1, "m.tex", 0, "b", "b.tex"), (1, "m.tex", 1, "no", ""), (1, "z.tex", 0, "m", "m.tex")]
     assert sorted(map(tuple, found.collect())) == want
+
+
+def test_papers_painted_without_a_shuffle_of_words(paper, spark, monkeypatch):
+    docs = papers.ready(paper.withColumn("text", F.concat(F.lit("\\begin{document}a $x$ b c "), "text")))
+    colors = spark.createDataFrame([(0, "#0a00ff"), (2, "#000001")], "reading int, color_key string")
+    _, found = papers.annotated(docs, colors)
+    got = sorted(map(tuple, found.collect()))
+    assert "Join" not in plan(found) and len(got) == 1 and "color" in got[0][1]
+    monkeypatch.setattr(papers, "HELD", 1)
+    assert sorted(map(tuple, papers.annotated(docs, colors)[1].collect())) == got
