@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,12 +27,27 @@ def dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def objects(column: pa.Array) -> list:
+    """What to_pylist gives; lists and structs are put together from their parts, each part made Python objects at once."""
+    kind = column.type
+    if not (pa.types.is_list(kind) or pa.types.is_struct(kind)):
+        return column.to_pylist()
+    if pa.types.is_list(kind):
+        items = objects(column.flatten())
+        ends = list(itertools.accumulate(column.value_lengths().fill_null(0).to_pylist(), initial=0))
+        made = [items[a:b] for a, b in itertools.pairwise(ends)]
+    else:
+        names = [f.name for f in kind]
+        made = [dict(zip(names, row, strict=True)) for row in zip(*map(objects, column.flatten()), strict=True)] if names else [{} for _ in range(len(column))]
+    return [x if y else None for x, y in zip(made, column.is_valid().to_pylist(), strict=True)] if column.null_count else made
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """The rows of batches as tuples of Python objects, a few at a time; a map is a list of pairs, a struct a dict."""
     for batch in batches:
         for at in range(0, batch.num_rows, STEP):
             part = batch.slice(at, STEP)
-            yield from zip(*[part.column(c).to_pylist() for c in columns], strict=True)
+            yield from zip(*[objects(part.column(c)) for c in columns], strict=True)
 
 
 def batched(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

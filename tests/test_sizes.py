@@ -1,9 +1,10 @@
 """Work that grows with its input: long texts and many files in passes over them, rows dealt to all tasks, workers' batches small."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.functions import article, html, latex
+from foliospark.functions import arrow, article, html, latex
 from foliospark.plans import catalogue
 from foliospark.sources import papers
 
@@ -95,6 +96,16 @@ def test_paper_files_in_one_shuffle(paper, spark):
     assert sorted(map(tuple, papers.reached(paper).collect())) == [(1, "b.tex"), (1, "c.latex"), (1, "m.tex")]
 
 
+def test_files_of_a_paper_are_read_by_their_parts():
+    """Lists of structs, with nulls and slices, as to_pylist has them, which takes them apart one by one."""
+    files = [[{"member": "a", "names": ["x", None], "main": True}, None], None, [], [{"member": None, "names": None, "main": None}, {"member": "é", "names": [], "main": False}]]
+    column = pa.array(files, pa.list_(pa.struct([("member", pa.string()), ("names", pa.list_(pa.string())), ("main", pa.bool_())])))
+    for at in range(5):
+        for n in range(5):
+            assert arrow.objects(column.slice(at, n)) == files[at : at + n]
+    assert [r for (r,) in arrow.rows_of([pa.record_batch([column], ["files"])], "files")] == files
+
+
 def test_paper_includes_in_one_shuffle(paper, spark):
     found = papers.includes(paper)
     assert plan(found).count("Exchange") == 1 and "Join" not in plan(found)
