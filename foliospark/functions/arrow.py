@@ -45,19 +45,26 @@ def objects(column: pa.Array) -> list:
 def rows_of(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """The rows of batches as tuples of Python objects, a few at a time; a map is a list of pairs, a struct a dict."""
     for batch in batches:
-        for at in range(0, batch.num_rows, STEP):
-            part = batch.slice(at, STEP)
+        step = max(1, min(STEP, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
             yield from zip(*[objects(part.column(c)) for c in columns], strict=True)
 
 
 def batched(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Tuples as record batches of BATCH_ROWS at most."""
-    held = []
+    """Tuples as record batches of BATCH_ROWS at most, and of about BATCH_BYTES of text (a longer row makes a batch of its own)."""
+    texts = [i for i, f in enumerate(schema) if pa.types.is_string(f.type)]
+    held, size = [], 0
     for row in rows:
+        own = sum(len(row[i]) for i in texts if row[i])
+        if held and size + own > BATCH_BYTES:
+            yield packed(held, schema)
+            held, size = [], 0
         held.append(row)
+        size += own
         if len(held) == BATCH_ROWS:
             yield packed(held, schema)
-            held = []
+            held, size = [], 0
     if held:
         yield packed(held, schema)
 

@@ -90,6 +90,15 @@ def test_parse_html_in_small_blocks(spark):
         assert sum(sizes) == 81_000 and max(sizes) <= 10_000
 
 
+def test_parse_html_of_long_texts_in_small_blocks(spark):
+    """A block of few nodes with long texts has no more bytes than one of many short ones; one of 8,192 nodes had 400 MB here."""
+    pages = spark.range(120).selectExpr("id AS page_id", "concat('<p>', repeat('x', 100000), '</p>') AS html").coalesce(1)
+    sizes = html.nodes(pages).select("text").mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows], "text": [sum(len(t) for t in b.column("text").to_pylist() if t)]}) for b in batches), "n long, text long").collect()
+    assert sum(r["n"] for r in sizes) == 360 and sum(r["text"] for r in sizes) == 12_000_000
+    made = list(arrow.batched(((i, "x" * 100_000) for i in range(120)), pa.schema([("page", pa.int64()), ("text", pa.string())])))
+    assert sum(b.num_rows for b in made) == 120 and max(b.nbytes for b in made) < 1 << 22
+
+
 def test_paper_files_in_one_shuffle(paper, spark):
     """Which file includes which is read once, a paper in a row; rounds of joins over all pairs of files took its place before."""
     assert plan(papers.reached(paper)).count("Exchange") == 1 and "Join" not in plan(papers.reached(paper))
