@@ -99,6 +99,15 @@ def test_parse_html_of_long_texts_in_small_blocks(spark):
     assert sum(b.num_rows for b in made) == 120 and max(b.nbytes for b in made) < 1 << 22
 
 
+def test_parse_article_of_a_long_text(spark):
+    """A text that is longer than a block makes one of its own, between those of the others."""
+    page = "<p class=\"ltx_p\">" + "y" * (3 << 20) + "</p>"
+    found = article.nodes(spark.createDataFrame([(1, page), (2, "<p>a</p>"), (3, None)], "page_id long, html string").coalesce(1))
+    assert sorted((r["page_id"], len(r["text"])) for r in found.collect() if r["text"]) == [(1, 3 << 20), (2, 1)]
+    rows = [("y" * (3 << 20),), ("a",), (None,), ("b" * 10,)]
+    assert [b.num_rows for b in arrow.batched(rows, pa.schema([("text", pa.string())]))] == [1, 3]
+
+
 def test_paper_files_in_one_shuffle(paper, spark):
     """Which file includes which is read once, a paper in a row; rounds of joins over all pairs of files took its place before."""
     assert plan(papers.reached(paper)).count("Exchange") == 1 and "Join" not in plan(papers.reached(paper))
