@@ -108,6 +108,30 @@ def test_parse_article_of_a_long_text(spark):
     assert [b.num_rows for b in arrow.batched(rows, pa.schema([("text", pa.string())]))] == [1, 3]
 
 
+def test_parse_article_of_long_attributes_in_small_blocks(spark):
+    """What attributes hold counts for a block as texts do; 120 links with targets of 100 KB were one block of 12 MB."""
+    pages = spark.range(120).selectExpr("id AS page_id", """concat('<a href="', repeat('x', 100000), id, '">y</a>') AS html""").coalesce(1)
+    found = article.nodes(pages).selectExpr("count(*)", "sum(length(attributes['target']))").first()
+    assert tuple(found) == (360, 12_000_250)
+    kinds = pa.schema([("map", pa.map_(pa.string(), pa.string())), ("list", pa.list_(pa.struct([("a", pa.string()), ("n", pa.int64())])))])
+    long = "x" * 100_000
+    for row in (([("a", long)], None), ([(long, None)], []), (None, [{"a": long, "n": 1}, None]), ([], [{"a": long, "n": None}])):
+        made = list(arrow.batched([row] * 120, kinds))
+        assert sum(b.num_rows for b in made) == 120 and max(b.nbytes for b in made) < 1 << 22
+        assert made[0].to_pylist()[0] == dict(zip(("map", "list"), row, strict=True))
+
+
+def test_long_tags_are_not_kept():
+    """16,384 tags of any length were kept with their attributes, which grew with the input up to gigabytes."""
+    long = "x" * 1000
+    cases = ((html._tag, ("<p>",), (f'<a href="{long}">',)), (article.looks, ("p", "a"), ("p", f"ltx_p {long}")), (article._look, ("a", ""), ("ltx_align_justify", f"width:{long}")))
+    for f, short, texts in cases:
+        f(*short)
+        before = f.cache_info().currsize
+        assert f(*texts) == f(*texts) and f(*short) == f(*short) and f.cache_info().currsize == before
+    assert [(r[3], r[4]) for r in article.elements(f'<a href="{long}">y</a>')] == [("article", {}), ("link", {"target": long}), ("text", {})]
+
+
 def test_paper_files_in_one_shuffle(paper, spark):
     """Which file includes which is read once, a paper in a row; rounds of joins over all pairs of files took its place before."""
     assert plan(papers.reached(paper)).count("Exchange") == 1 and "Join" not in plan(papers.reached(paper))
